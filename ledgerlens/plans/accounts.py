@@ -98,47 +98,56 @@ def pass_through_gaps(ledger: DataFrame) -> DataFrame:
 
     An account may hold any share of the ledger, so its events are first merged per second
     (map-side, at most 86,400 rows per account and day remain). Neighbouring seconds are then
-    paired inside one day, and the last second of a day with the first of the next active day
-    through a per-day summary: no window exceeds a day of seconds or the list of active days.
+    paired inside one day. The first second of a day is paired with the last second of the
+    previous active day by looking at first and last seconds only: no window exceeds a day of
+    seconds or two rows per active day.
     """
-    seconds = _account_seconds(ledger).withColumn("day", day_number(F.col("t")))
     in_day = Window.partitionBy("account", "day").orderBy("t")
-    neighbours = seconds.select(
-        "t",
-        "has_in",
-        "out_label",
-        F.lag("t").over(in_day).alias("prev_t"),
-        F.lag("has_out").over(in_day).alias("prev_out"),
-    )
-    days = seconds.groupBy("account", "day").agg(
-        F.min("t").alias("t"),
-        F.min_by("has_in", "t").alias("has_in"),
-        F.min_by("out_label", "t").alias("out_label"),
-        F.max("t").alias("last_t"),
-        F.max_by("has_out", "t").alias("last_out"),
-    )
-    over_days = Window.partitionBy("account").orderBy("day")
-    across = days.select(
-        "t",
-        "has_in",
-        "out_label",
-        F.lag("last_t").over(over_days).alias("prev_t"),
-        F.lag("last_out").over(over_days).alias("prev_out"),
-    )
-    # In, then out, inside one second.
-    inside = seconds.where("has_in = 1 AND has_out = 1").select(
-        F.col("out_label").alias("is_laundering"), F.lit(0).cast("bigint").alias("gap_sec")
+    seconds = (
+        _account_seconds(ledger)
+        .withColumn("day", day_number(F.col("t")))
+        .select(
+            "account",
+            "t",
+            "has_in",
+            "has_out",
+            "out_label",
+            F.lag("t").over(in_day).alias("prev_t"),
+            F.lag("has_out").over(in_day).alias("prev_out"),
+            F.lead("t").over(in_day).alias("next_t"),
+        )
     )
-    # The earlier second ended with an in (it had no out); the later one starts with an out.
-    between = (
-        neighbours.unionByName(across)
-        .where("prev_out = 0 AND has_in = 0")
+    # The last second of the previous active day is the previous row among the edge rows.
+    over_days = Window.partitionBy("account").orderBy("t")
+    first_of_day = (
+        seconds.where(F.col("prev_t").isNull() | F.col("next_t").isNull())
         .select(
-            F.col("out_label").alias("is_laundering"),
-            (F.col("t") - F.col("prev_t")).alias("gap_sec"),
+            "account",
+            "t",
+            "has_in",
+            "has_out",
+            "out_label",
+            F.lag("t").over(over_days).alias("edge_t"),
+            F.lag("has_out").over(over_days).alias("edge_out"),
+            "prev_t",
         )
+        .where(F.col("prev_t").isNull())
+        .select("t", "has_in", "has_out", "out_label", "edge_t", "edge_out")
+    )
+    later_in_day = seconds.where(F.col("prev_t").isNotNull()).select(
+        "t", "has_in", "has_out", "out_label", "prev_t", "prev_out"
+    )
+    # Inside one second the ins come first; between two seconds the earlier one must have
+    # ended with an in (no out at all) and the later one must start with an out (no in).
+    # The two cases exclude each other, so a second closes at most one gap.
+    gap = F.when(
+        (F.col("has_in") == 1) & (F.col("has_out") == 1), F.lit(0).cast("bigint")
+    ).when((F.col("prev_out") == 0) & (F.col("has_in") == 0), F.col("t") - F.col("prev_t"))
+    return (
+        later_in_day.union(first_of_day)
+        .select(F.col("out_label").alias("is_laundering"), gap.alias("gap_sec"))
+        .where(F.col("gap_sec").isNotNull())
     )
-    return inside.unionByName(between)
 
 
 def pass_through_histogram(ledger: DataFrame) -> DataFrame:

@@ -9,33 +9,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_R = "(user_id % 30)"
-_TO_USER = (
-    f"(user_id - {_R} + CASE WHEN {_R} < 20 THEN ({_R} + event_id) % 20 "
-    f"WHEN {_R} < 27 THEN 20 + ({_R} + event_id) % 7 "
-    f"WHEN {_R} = 27 THEN 27 ELSE 28 + event_id % 2 END)"
-)
-_AMOUNT = (
-    "CAST(CAST(value AS DECIMAL(12,2)) * (CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 100 "
-    "WHEN 2 THEN 10000 ELSE 1000000 END) AS DECIMAL(20,4))"
-)
-_PAYMENT_CURRENCY = (
-    "CASE event_id % 6 WHEN 0 THEN 'US Dollar' WHEN 1 THEN 'US Dollar' WHEN 2 THEN 'Euro' "
-    "WHEN 3 THEN 'Yen' WHEN 4 THEN 'Swiss Franc' ELSE 'Yuan' END"
-)
-
-#: column -> expression over ``events``
+#: helper column -> expression over ``events``
+HELPER_SQL = {
+    "event_id": "event_id",
+    "ts": "ts",
+    "user_id": "user_id",
+    "event_type": "event_type",
+    "to_user": (
+        "user_id - user_id % 30 + CASE "
+        "WHEN user_id % 30 < 20 THEN (user_id % 30 + event_id) % 20 "
+        "WHEN user_id % 30 < 27 THEN 20 + (user_id % 30 + event_id) % 7 "
+        "WHEN user_id % 30 = 27 THEN 27 ELSE 28 + event_id % 2 END"
+    ),
+    "amount": (
+        "CAST(CAST(value AS DECIMAL(12,2)) * (CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 100 "
+        "WHEN 2 THEN 10000 ELSE 1000000 END) AS DECIMAL(20,4))"
+    ),
+    "currency": (
+        "CASE event_id % 6 WHEN 0 THEN 'US Dollar' WHEN 1 THEN 'US Dollar' WHEN 2 THEN 'Euro' "
+        "WHEN 3 THEN 'Yen' WHEN 4 THEN 'Swiss Franc' ELSE 'Yuan' END"
+    ),
+}
+
+#: column -> expression over the helper columns
 TRANSACTIONS_SQL = {
     "txn_id": "event_id + 1",
     "ts": "CAST(ts AS TIMESTAMP)",
     "from_bank": "CAST((user_id - user_id % 3) / 3 AS INT) % 23",
     "from_account": "concat('A', CAST(user_id AS STRING))",
-    "to_bank": f"CAST(({_TO_USER} - {_TO_USER} % 3) / 3 AS INT) % 23",
-    "to_account": f"concat('A', CAST({_TO_USER} AS STRING))",
-    "amount_received": _AMOUNT,
-    "receiving_currency": f"CASE WHEN event_id % 17 = 0 THEN 'Euro' ELSE {_PAYMENT_CURRENCY} END",
-    "amount_paid": _AMOUNT,
-    "payment_currency": _PAYMENT_CURRENCY,
+    "to_bank": "CAST((to_user - to_user % 3) / 3 AS INT) % 23",
+    "to_account": "concat('A', CAST(to_user AS STRING))",
+    "amount_received": "amount",
+    "receiving_currency": "CASE WHEN event_id % 17 = 0 THEN 'Euro' ELSE currency END",
+    "amount_paid": "amount",
+    "payment_currency": "currency",
     "payment_format": (
         "CASE event_id % 7 WHEN 0 THEN 'Cheque' WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'ACH' "
         "WHEN 3 THEN 'Cash' WHEN 4 THEN 'Reinvestment' WHEN 5 THEN 'Wire' ELSE 'Bitcoin' END"
@@ -107,7 +114,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "events").selectExpr(*select_list(TRANSACTIONS_SQL))
+    events = _table(spark, sf_dir, "events").selectExpr(*select_list(HELPER_SQL))
+    return events.selectExpr(*select_list(TRANSACTIONS_SQL))
 
 
 def laundering_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:

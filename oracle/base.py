@@ -9,7 +9,10 @@ def _select(columns: dict[str, str]) -> str:
     return ",\n       ".join(derived.select_list(columns))
 
 
-_TRANSACTIONS = f"transactions AS (\nSELECT {_select(derived.TRANSACTIONS_SQL)}\nFROM events)"
+_TRANSACTIONS = (
+    f"helper AS (\nSELECT {_select(derived.HELPER_SQL)}\nFROM events),\n"
+    f"transactions AS (\nSELECT {_select(derived.TRANSACTIONS_SQL)}\nFROM helper)"
+)
 _PATTERNS = (
     f"laundering_patterns AS (\nSELECT {_select(derived.PATTERNS_SQL)}\n"
     "FROM transactions WHERE is_laundering = 1)"
