@@ -20,8 +20,11 @@ def ratio_or_zero(numerator: Column, denominator: Column) -> Column:
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """Share in percent, six decimals, zero for an empty whole."""
-    return F.round(ratio_or_zero(part, whole) * F.lit(100.0), 6)
+    """Share in percent, six decimals, zero for an empty whole.
+
+    Multiplying before dividing keeps an exact decimal tie exact, so it rounds half up.
+    """
+    return F.round(ratio_or_zero(part * F.lit(100), whole), 6)
 
 
 def f1_score(precision: Column, recall: Column) -> Column:

@@ -6,8 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from ledgerlens.operators.trailing import RECEIVER, SENDER
 from ledgerlens.plans import accounts as account_plans
-from ledgerlens.plans import activity, banks, patterns
+from ledgerlens.plans import (
+    activity,
+    banks,
+    evaluation,
+    features,
+    patterns,
+    quality,
+    rollups,
+    rules,
+)
 from ledgerlens.session import pin_session
 from ledgerlens.sources import derived
 
@@ -64,5 +76,276 @@ def report_queries() -> dict[str, Query]:
     }
 
 
+def _chart(report: str, chart, **parameters) -> Query:
+    """A chart table computed from a report."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return chart(report_queries()[report](spark, sf_dir), **parameters)
+
+    return run
+
+
+def chart_queries() -> dict[str, Query]:
+    return {
+        "r1_format_share": _chart("q2", rollups.format_share),
+        "r2_scope_share": _chart("q4", rollups.share_within_class, scope="scope"),
+        "r2_currency_scope_share": _chart(
+            "q13", rollups.share_within_class, scope="currency_scope"
+        ),
+        "r3_canonical_sizes": _chart("q6", rollups.canonical_sizes),
+        "r4_busiest_receivers": _chart("q8", rollups.busiest_banks, by="in_transactions"),
+        "r4_busiest_senders": _chart("q8", rollups.busiest_banks, by="out_transactions"),
+        "r5_bank_spread_summary": _chart("q9", rollups.bank_spread_summary),
+        "r6_amount_shape": _chart("q11", rollups.amount_shape),
+        "r7_weekday_grid": _chart("q12", rollups.weekday_grid),
+        "r8_duration_boxes": _chart("q14", rollups.duration_boxes),
+        "r9_degree_ccdf": _chart("q15", rollups.degree_ccdf),
+        "r10_component_buckets": _chart("q16", rollups.ordered_component_buckets),
+        "r11_gap_density": _chart("q17", rollups.class_density, bin_column="decade"),
+        "r11_structuring_density": _chart("b1", rollups.class_density, bin_column="bin_lo"),
+        "r11_lifetime_density": _chart(
+            "b15",
+            rollups.class_density,
+            bin_column="lifetime_bucket",
+            label="ever_laundering",
+            amount="n_accounts",
+            all_bins=7,
+        ),
+        "r11_hour_density": _chart(
+            "b16", rollups.class_density, bin_column="hour_of_day", all_bins=24
+        ),
+        "r12_bank_spread_grid": _chart("q18", rollups.bank_spread_grid),
+        "r13_currency_grid": _chart("q19", rollups.currency_grid),
+        "r14_corridors_by_volume": _chart("q20", rollups.top_corridors, by="n_total"),
+        "r14_corridors_by_rate": _chart("q20", rollups.top_corridors, by="laundering_rate"),
+        "r15_visibility_by_type": _chart("b4", rollups.visibility_by_type),
+        "r16_coverage_curve": _chart("b5", rollups.coverage_curve),
+        "r16_coverage_at": _chart("b5", rollups.coverage_at),
+        "r17_cross_bank_by_type": _chart("b6", rollups.cross_bank_by_type),
+        "r18_value_by_type": _query(rollups.value_by_canonical_type, SCHEMES),
+        "r19_scatter_accounts": _chart("q5", rollups.scatter_accounts),
+        "r20_bank_matrix_log": _chart(
+            "q7", rollups.log_matrix, source="from_bank", target="to_bank"
+        ),
+        "r20_rank_matrix_log": _chart(
+            "q7b", rollups.log_matrix, source="from_rank", target="to_rank"
+        ),
+        "r22_daily_rate_percent": _chart("q1", rollups.daily_rate_percent),
+        "r22_bank_rank_size": _query(rollups.bank_rank_size, LEDGER),
+    }
+
+
+# The derived ledger has at most 11 rows per sender and day, so the alert limits and the
+# alert budget of the checks are set to where they separate its rows.
+RULE_LIMITS = rules.RuleThresholds(
+    structuring_min_rows=3,
+    structuring_max_amount=1000000.0,
+    structuring_min_total=30000.0,
+    velocity_min_in=2,
+    velocity_min_out=1,
+    velocity_max_residual=0.5,
+    cross_bank_min_banks=4,
+    cross_bank_min_rows=5,
+)
+ALERTS_PER_DAY = 60
+PINNED = 0.55
+SCORE_MODEL = "activity_score"
+
+
+def _numbers(frame: DataFrame, columns: list[str]) -> DataFrame:
+    """Row key and feature columns; decimals as doubles for the comparison."""
+    kinds = dict(frame.dtypes)
+    return frame.select(
+        "txn_id",
+        *[
+            F.col(name).cast("double").alias(name)
+            if kinds[name].startswith("decimal")
+            else F.col(name)
+            for name in columns
+        ],
+    )
+
+
+def row_feature_table(ledger: DataFrame) -> DataFrame:
+    extra = ["ts_unix", "payment_currency_bucket", "receiving_currency_bucket"]
+    table = _numbers(features.add_row_features(ledger), features.ROW_FEATURES + extra)
+    return table.withColumn("log_amount", F.round("log_amount", 6))
+
+
+def sender_feature_table(ledger: DataFrame) -> DataFrame:
+    return _numbers(features.build_features(ledger), SENDER.columns())
+
+
+def receiver_feature_table(ledger: DataFrame) -> DataFrame:
+    return _numbers(features.build_features(ledger), RECEIVER.columns())
+
+
+def _cutoff(ledger: DataFrame) -> int:
+    """The temporal cutoff needs the timestamps only, not the feature windows."""
+    return features.temporal_cutoff(features.add_row_features(ledger).select("ts_unix"))
+
+
+def split_table(ledger: DataFrame) -> DataFrame:
+    """rows, flagged rows and time range of both sides of the split."""
+    rows = features.add_row_features(ledger)
+    cutoff = _cutoff(ledger)
+    side = F.when(F.col("ts_unix") <= cutoff, F.lit("train")).otherwise(F.lit("test"))
+    return rows.groupBy(side.alias("part")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("is_laundering").alias("positives"),
+        F.min("ts_unix").alias("first_second"),
+        F.max("ts_unix").alias("last_second"),
+    )
+
+
+def _labelled_split(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = features.add_row_features(ledger).withColumnRenamed("is_laundering", "label")
+    return features.temporal_split(rows, _cutoff(ledger))
+
+
+def prior_table(ledger: DataFrame) -> DataFrame:
+    """F5 + F6: both priors on every row, learnt from the train rows."""
+    train, test = _labelled_split(ledger)
+    priors = features.bank_priors(train)
+    names = [features.SENDER_PRIOR, features.RECEIVER_PRIOR]
+    joined = features.join_priors(train.unionByName(test), priors)
+    return joined.select("txn_id", *[F.round(name, 9).alias(name) for name in names])
+
+
+def riskiest_bank_table(ledger: DataFrame) -> DataFrame:
+    train, _ = _labelled_split(ledger)
+    top = features.riskiest_banks(features.bank_priors(train))
+    return top.withColumn(features.SENDER_PRIOR, F.round(features.SENDER_PRIOR, 9))
+
+
+def _alerts(ledger: DataFrame) -> DataFrame:
+    return rules.apply_rules(features.build_features(ledger), RULE_LIMITS)
+
+
+def rule_flag_table(ledger: DataFrame) -> DataFrame:
+    return _alerts(ledger).select("txn_id", *rules.RULES)
+
+
+def _test_alerts(ledger: DataFrame) -> DataFrame:
+    return features.temporal_split(_alerts(ledger), _cutoff(ledger))[1]
+
+
+def rule_metric_table(ledger: DataFrame) -> DataFrame:
+    return rules.rule_metrics(_test_alerts(ledger))
+
+
+def rule_value_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.rule_value_rows(_test_alerts(ledger))
+
+
+def _scored(ledger: DataFrame) -> DataFrame:
+    """A score that SQL can repeat: recent activity of the sender, squeezed into 0..1."""
+    activity_level = F.col("out_count_24h").cast("double")
+    scored = features.build_features(ledger).withColumn(
+        "proba_positive", activity_level / (activity_level + F.lit(3.0))
+    )
+    return scored.withColumn("prediction", (F.col("proba_positive") >= PINNED).cast("int"))
+
+
+def _scored_test(ledger: DataFrame) -> DataFrame:
+    return features.temporal_split(_scored(ledger), _cutoff(ledger))[1]
+
+
+def threshold_sweep_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.threshold_sweep(
+        _scored_test(ledger), evaluation.CALIBRATION_GRID, SCORE_MODEL
+    )
+
+
+def value_sweep_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.value_sweep(_scored_test(ledger), evaluation.CALIBRATION_GRID, SCORE_MODEL)
+
+
+def pattern_recall_table(ledger: DataFrame, schemes: DataFrame) -> DataFrame:
+    return evaluation.pattern_recall(_scored_test(ledger), schemes, SCORE_MODEL)
+
+
+def weekend_recall_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.weekend_recall(_scored_test(ledger), SCORE_MODEL)
+
+
+def pinned_threshold_table(ledger: DataFrame) -> DataFrame:
+    """M7: calibration on the last tenth of the train rows."""
+    train, _ = features.temporal_split(_scored(ledger), _cutoff(ledger))
+    start = features.temporal_cutoff(
+        _labelled_split(ledger)[0].select("ts_unix"), 1.0 - features.CALIBRATION_FRACTION
+    )
+    return evaluation.pin_threshold(
+        features.temporal_split(train, start)[1], SCORE_MODEL, alerts_per_day=ALERTS_PER_DAY
+    )
+
+
+def precision_recall_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.precision_recall_points(threshold_sweep_table(ledger))
+
+
+def value_recall_table(ledger: DataFrame) -> DataFrame:
+    return evaluation.value_recall_points(value_sweep_table(ledger))
+
+
+def feature_queries() -> dict[str, Query]:
+    return {
+        "f1_row_features": _query(row_feature_table, LEDGER),
+        "f2_sender_windows": _query(sender_feature_table, LEDGER),
+        "f4_receiver_windows": _query(receiver_feature_table, LEDGER),
+        "f5_bank_priors": _query(prior_table, LEDGER),
+        "f7_temporal_split": _query(split_table, LEDGER),
+        "o8_riskiest_banks": _query(riskiest_bank_table, LEDGER),
+        "x4_rule_flags": _query(rule_flag_table, LEDGER),
+        "x5_rule_metrics": _query(rule_metric_table, LEDGER),
+        "m7_pinned_threshold": _query(pinned_threshold_table, LEDGER),
+        "e3_threshold_sweep": _query(threshold_sweep_table, LEDGER),
+        "e4_value_sweep": _query(value_sweep_table, LEDGER),
+        "e5_rule_value": _query(rule_value_table, LEDGER),
+        "e6_pattern_recall": _query(pattern_recall_table, LEDGER, SCHEMES),
+        "e6_duplicate_keys": _query(evaluation.duplicate_pattern_keys, SCHEMES),
+        "e7_weekend_recall": _query(weekend_recall_table, LEDGER),
+        "r21_precision_recall": _query(precision_recall_table, LEDGER),
+        "r21_value_recall": _query(value_recall_table, LEDGER),
+    }
+
+
+def table_counts(ledger: DataFrame, schemes: DataFrame, accounts: DataFrame) -> DataFrame:
+    return quality.row_counts(
+        {"transactions": ledger, "laundering_patterns": schemes, "accounts": accounts}
+    )
+
+
+def ledger_sample(ledger: DataFrame) -> DataFrame:
+    sample = quality.sample_rows_by_key(ledger, "txn_id")
+    return sample.select(
+        "txn_id", "from_bank", "from_account", "to_bank", "to_account",
+        F.col("amount_paid").cast("double").alias("amount_paid"),
+        "payment_currency", "payment_format", "is_laundering", "txn_date",
+    )
+
+
+def bucket_cardinalities(ledger: DataFrame) -> DataFrame:
+    return quality.cardinalities(
+        features.add_row_features(ledger),
+        ["payment_format", "payment_currency_bucket", "receiving_currency_bucket"],
+    )
+
+
+def active_window_days(ledger: DataFrame, until: str) -> DataFrame:
+    return activity.daily_rate(ledger.where(F.col("txn_date") <= F.to_date(F.lit(until))))
+
+
+def quality_queries() -> dict[str, Query]:
+    return {
+        "d1_row_counts": _query(table_counts, LEDGER, SCHEMES, ACCOUNTS),
+        "d3_ledger_sample": _query(ledger_sample, LEDGER),
+        "d4_sanity_checks": _query(quality.sanity_checks, LEDGER, SCHEMES),
+        "d5_class_balance": _query(quality.class_balance, LEDGER, label="is_laundering"),
+        "d6_cardinalities": _query(bucket_cardinalities, LEDGER),
+        "s7_active_window": _query(active_window_days, LEDGER, until="2024-01-28"),
+    }
+
+
 def all_queries() -> dict[str, Query]:
-    return {**report_queries()}
+    return {**report_queries(), **chart_queries(), **feature_queries(), **quality_queries()}

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from oracle import reports
+from oracle import charts, features, reports
 
 
 def answers() -> dict[str, str]:
-    return {**reports.answers()}
+    return {**reports.answers(), **charts.answers(), **features.answers()}
