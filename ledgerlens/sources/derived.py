@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens import schema
+
 #: helper column -> expression over ``events``
 HELPER_SQL = {
     "event_id": "event_id",
@@ -146,3 +148,52 @@ def volume_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return joined.selectExpr(*select_list(VOLUME_SQL))
 
+
+
+def write_scheme_text(patterns: DataFrame, path: str, timestamp_format: str) -> None:
+    """The labelled transfers as attempt-block text files, schemes in order of their number.
+
+    Schemes are range-partitioned by number, so file order is scheme order and a scheme does
+    not run over two files.
+    """
+    fields = F.concat_ws(
+        ",",
+        F.date_format("ts", timestamp_format),
+        "from_bank", "from_account", "to_bank", "to_account", "amount_received",
+        "receiving_currency", "amount_paid", "payment_currency", "payment_format",
+        "is_laundering",
+    )
+    schemes = patterns.groupBy("pattern_group").agg(F.max("pattern_type").alias("kind"))
+    marker = "LAUNDERING ATTEMPT"
+    opening = schemes.select(
+        "pattern_group", F.lit(-1).cast("bigint").alias("place"),
+        F.concat(F.lit(f"BEGIN {marker} - "), F.col("kind")).alias("line"),
+    )
+    closing = schemes.select(
+        "pattern_group", F.lit((1 << 62)).cast("bigint").alias("place"),
+        F.lit(f"END {marker}").alias("line"),
+    )
+    rows = patterns.select("pattern_group", F.col("pattern_id").alias("place"), fields.alias("line"))
+    (
+        opening.union(rows)
+        .union(closing)
+        .repartitionByRange("pattern_group")
+        .sortWithinPartitions("pattern_group", "place")
+        .select("line")
+        .write.mode("overwrite")
+        .text(path)
+    )
+
+
+def write_transfer_csv(ledger: DataFrame, path: str, timestamp_format: str) -> None:
+    """The ledger as header CSV files in key order, without the key."""
+    (
+        ledger.select("txn_id", *schema.TRANSFER_COLUMNS)
+        .repartitionByRange("txn_id")
+        .sortWithinPartitions("txn_id")
+        .drop("txn_id")
+        .write.mode("overwrite")
+        .option("header", True)
+        .option("timestampFormat", timestamp_format)
+        .csv(path)
+    )

@@ -353,4 +353,18 @@ def answers() -> dict[str, str]:
             f"{rounded('sum(is_laundering)', 'count(*)')} AS rate FROM transactions "
             "WHERE txn_date <= DATE '2024-01-28' GROUP BY 1"
         ),
+        "s5_numbered_load": with_tables(
+            "SELECT row_number() OVER (ORDER BY txn_id) AS txn_id, date_trunc('second', ts) AS ts, "
+            "from_bank, from_account, to_bank, to_account, "
+            f"{double('amount_paid')} AS amount_paid, payment_currency, payment_format, "
+            "is_laundering FROM transactions"
+        ),
+        "s6_scheme_text": with_tables(
+            "SELECT CAST(dense_rank() OVER (ORDER BY pattern_group) AS INTEGER) AS pattern_group, "
+            "pattern_type, strftime(ts, '%Y/%m/%d %H:%M:%S') AS timestamp, "
+            "from_bank::VARCHAR AS from_bank, from_account, to_bank::VARCHAR AS to_bank, "
+            "to_account, amount_received::VARCHAR AS amount_received, receiving_currency, "
+            "amount_paid::VARCHAR AS amount_paid, payment_currency, payment_format, "
+            "is_laundering::VARCHAR AS is_laundering FROM laundering_patterns"
+        ),
     }
