@@ -78,15 +78,17 @@ RECEIVER = TrailingSide(
 )
 
 
-def sample_deviation(count: Column, total: Column, squares: Column) -> Column:
+def sample_deviation(
+    count: Column, total: Column, squares: Column, rough_squares: Column
+) -> Column:
     """Sample standard deviation from count, sum and sum of squares; 0 for a single row.
 
     The numerator is taken in decimals, so equal or nearly equal amounts do not cancel. Only
-    where it outgrows a decimal does the double form step in.
+    where it outgrows a decimal (NULL) do the doubles step in.
     """
     rows = count.cast("decimal(18,0)")
     exact = F.try_subtract(F.try_multiply(rows, squares), F.try_multiply(total, total))
-    rough = count * squares.cast("double") - total.cast("double") * total.cast("double")
+    rough = count * rough_squares - total.cast("double") * total.cast("double")
     numerator = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
     freedom = count.cast("double") * (count - F.lit(1)).cast("double")
     return F.when(count > 1, F.sqrt(numerator / F.nullif(freedom, F.lit(0.0)))).otherwise(
@@ -100,7 +102,9 @@ def _finish(side: TrailingSide, found: dict[str, Column]) -> list[Column]:
     outputs = {
         **found,
         "mean_24h": total.cast("double") / count,
-        "std_24h": sample_deviation(count, total, found["squares_24h"]),
+        "std_24h": sample_deviation(
+            count, total, found["squares_24h"], found["rough_24h"]
+        ),
     }
     return [outputs[name.removeprefix(f"{side.prefix}_")].alias(name) for name in side.columns()]
 
@@ -112,7 +116,8 @@ def direct(frame: DataFrame, side: TrailingSide) -> DataFrame:
     raw = {
         "count_24h": F.count(F.lit(1)).over(day),
         "sum_24h": F.sum(amount).over(day),
-        "squares_24h": F.sum(amount * amount).over(day),
+        "squares_24h": F.try_sum(amount * amount).over(day),
+        "rough_24h": F.sum(amount.cast("double") * amount.cast("double")).over(day),
     }
     if side.extremes:
         raw["max_24h"] = F.max(amount).over(day)
@@ -153,6 +158,7 @@ def _amount_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
         for way in ("f", "b"):
             defaults |= {
                 f"{way}_n": zero, f"{way}_s": zero_amount, f"{way}_q": zero_square,
+                f"{way}_r": F.lit(0.0),
                 f"{way}_hn": zero, f"{way}_hs": zero_amount,
             }
         filled = {**defaults, **values}
@@ -164,13 +170,15 @@ def _amount_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
         )
 
     square = (amount * amount).cast("decimal(38,6)")
+    rough = amount.cast("double") * amount.cast("double")
     amount = amount.cast("decimal(20,4)")
     arrival = event(
-        own, second, own=one, f_n=one, f_s=amount, f_q=square, f_hn=one, f_hs=amount,
-        extreme_f=amount,
+        own, second, own=one, f_n=one, f_s=amount, f_q=square, f_r=rough, f_hn=one,
+        f_hs=amount, extreme_f=amount,
     )
     next_day = event(
-        own + 1, second + DAY_SECONDS, b_n=one, b_s=amount, b_q=square, extreme_b=amount
+        own + 1, second + DAY_SECONDS, b_n=one, b_s=amount, b_q=square, b_r=rough,
+        extreme_b=amount,
     )
     hour_end = second + HOUR_SPAN
     negative = (-amount).cast("decimal(20,4)")
@@ -247,11 +255,18 @@ def bucketed(frame: DataFrame, side: TrailingSide) -> DataFrame:
         ],
     )
     counted = [f"{way}_d_{stem}" for way in ("f", "b") for stem in stems]
+    events = amounts.unionByName(kinds, allowMissingColumns=True)
+    # Zero for what an event does not carry, so that a NULL sum can only mean an overflow.
+    events = events.withColumns(
+        {name: F.coalesce(name, F.lit(0)) for name in sums + counted}
+    )
     merged = (
-        amounts.unionByName(kinds, allowMissingColumns=True)
-        .groupBy("account", "bucket", "pos")
+        events.groupBy("account", "bucket", "pos")
         .agg(
-            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums + counted],
+            *[
+                (F.try_sum if name.endswith("_q") else F.sum)(name).alias(name)
+                for name in sums + counted
+            ],
             *[
                 how(f"extreme_{way}").alias(f"{label}_{way}")
                 for way in ("f", "b")
@@ -273,7 +288,10 @@ def bucketed(frame: DataFrame, side: TrailingSide) -> DataFrame:
     raw = {
         "count_24h": total("n"),
         "sum_24h": total("s").cast("decimal(30,4)"),
-        "squares_24h": total("q").cast("decimal(38,6)"),
+        "squares_24h": F.try_add(
+            F.try_sum("f_q").over(forward), F.try_sum("b_q").over(backward)
+        ),
+        "rough_24h": total("r"),
         **{f"unique_{stem}_24h": total(f"d_{stem}").cast("int") for stem in stems},
     }
     if side.extremes:
