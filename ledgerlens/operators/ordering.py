@@ -89,39 +89,45 @@ def running_total(
     )
 
 
+def _upto(order: str):
+    return Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def time_quantile(frame: DataFrame, column: str, fraction: float) -> int | None:
     """Exact discrete quantile of an epoch-seconds column (the first value whose share of
     rows up to it reaches ``fraction``), or None for an empty frame.
 
-    Rows are counted per second, seconds are summed per day. The day window holds one row
-    per calendar day of the ledger, the inner window at most 86,400 seconds, so neither
-    grows with the number of rows. One number comes back to the driver.
+    The first pass counts rows per day and finds the day of the quantile, the second counts
+    rows per second inside that day only. The windows run over one row per calendar day and
+    over at most 86,400 seconds, whatever the number of rows; one row per pass comes back.
     """
-    seconds = (
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_sec"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_day", F.floor(F.col("_sec") / F.lit(DAY)))
-    )
-    days = seconds.groupBy("_day").agg(F.sum("_n").alias("_day_n"))
-    upto = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    days = days.select(
-        "_day",
-        (F.sum("_day_n").over(upto) - F.col("_day_n")).alias("_earlier"),
-        F.sum("_day_n").over(Window.partitionBy()).alias("_all"),
-    )
-    within = (
-        Window.partitionBy("_day")
-        .orderBy("_sec")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    second = F.col(column)
+    days = (
+        frame.groupBy(F.floor(second / F.lit(DAY)).cast("long").alias("day"))
+        .agg(F.count(second).alias("n"))
+        .where(F.col("day").isNotNull())
+        .select(
+            "day",
+            (F.sum("n").over(_upto("day")) - F.col("n")).alias("before"),
+            F.sum("n").over(_upto("day")).alias("upto"),
+            F.sum("n").over(Window.partitionBy()).alias("total"),
+        )
     )
-    shares = (
-        seconds.withColumn("_upto", F.sum("_n").over(within))
-        .join(days, "_day")
-        .where((F.col("_earlier") + F.col("_upto")) / F.col("_all") >= F.lit(fraction))
+    found = days.where(F.col("upto") / F.col("total") >= F.lit(fraction)).orderBy("day").first()
+    if found is None:
+        return None
+    start = found["day"] * DAY
+    share = (F.lit(found["before"]) + F.sum("n").over(_upto("sec"))) / F.lit(found["total"])
+    row = (
+        frame.where((second >= start) & (second < start + DAY))
+        .groupBy(second.alias("sec"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select("sec", share.alias("share"))
+        .where(F.col("share") >= F.lit(fraction))
+        .agg(F.min("sec").alias("cut"))
+        .first()
     )
-    row = shares.agg(F.min("_sec").alias("cut")).first()
-    return None if row is None or row["cut"] is None else int(row["cut"])
+    return int(row["cut"])
 
 
 def approximate_time_quantile(

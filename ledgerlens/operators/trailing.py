@@ -313,35 +313,44 @@ def bucketed(frame: DataFrame, side: TrailingSide) -> DataFrame:
     )
 
 
-def heavy_accounts(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """account, out_deg, in_deg of the accounts above ``heavy_rows`` on either side.
+@dataclass(frozen=True)
+class HeavyAccounts:
+    """Accounts above the row limit on either side, and how many there are per side."""
+
+    accounts: DataFrame  # account, out_deg, in_deg
+    limit: int
+    senders: int
+    receivers: int
+
+    def on(self, side: TrailingSide) -> tuple[DataFrame, int]:
+        """The accounts that are heavy on this side, under the side's column name."""
+        sending = side.account == "from_account"
+        listed = self.accounts.where(F.col("out_deg" if sending else "in_deg") > self.limit)
+        return (
+            listed.select(F.col("account").alias(side.account)),
+            self.senders if sending else self.receivers,
+        )
 
-    Computed once: the list has at most 2 x rows / heavy_rows entries.
-    """
-    return materialise(
-        account_profile(ledger)
-        .where((F.col("out_deg") > heavy_rows) | (F.col("in_deg") > heavy_rows))
-        .select("account", "out_deg", "in_deg")
+
+def heavy_accounts(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> HeavyAccounts:
+    """Find the heavy accounts in one scan; the list has at most 2 x rows / heavy_rows rows."""
+    sent, received = F.col("out_deg") > heavy_rows, F.col("in_deg") > heavy_rows
+    listed = materialise(
+        account_profile(ledger).where(sent | received).select("account", "out_deg", "in_deg")
     )
+    sizes = listed.agg(F.count_if(sent).alias("s"), F.count_if(received).alias("r")).first()
+    return HeavyAccounts(listed, heavy_rows, sizes["s"], sizes["r"])
 
 
 def add_trailing(
-    frame: DataFrame,
-    side: TrailingSide,
-    base: DataFrame,
-    heavy: DataFrame,
-    heavy_rows: int = HEAVY_ROWS,
+    frame: DataFrame, side: TrailingSide, base: DataFrame, heavy: HeavyAccounts
 ) -> DataFrame:
     """Append the statistics of one side to ``frame``, choosing the way per account.
 
     ``base`` holds the same rows without earlier features: the heavy accounts are summarised
     from it, so that features computed before are not computed again for them.
     """
-    degree = {"from_account": "out_deg", "to_account": "in_deg"}[side.account]
-    listed = heavy.where(F.col(degree) > heavy_rows).select(
-        F.col("account").alias(side.account)
-    )
-    entries = listed.count()
+    listed, entries = heavy.on(side)
     if entries == 0:
         return direct(frame, side)
     if entries <= BROADCAST_ACCOUNTS:

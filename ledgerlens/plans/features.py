@@ -70,8 +70,8 @@ def build_features(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame
     """
     heavy = heavy_accounts(ledger, heavy_rows)
     rows = add_row_features(ledger)
-    features = add_trailing(rows, SENDER, rows, heavy, heavy_rows)
-    features = add_trailing(features, RECEIVER, rows, heavy, heavy_rows)
+    features = add_trailing(rows, SENDER, rows, heavy)
+    features = add_trailing(features, RECEIVER, rows, heavy)
     return features.withColumnRenamed("is_laundering", "label")
 
 

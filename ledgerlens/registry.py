@@ -273,9 +273,11 @@ def weekend_recall_table(ledger: DataFrame) -> DataFrame:
 
 def pinned_threshold_table(ledger: DataFrame) -> DataFrame:
     """M7: calibration on the last tenth of the train rows."""
-    train, _ = features.temporal_split(_scored(ledger), _cutoff(ledger))
+    seconds = features.add_row_features(ledger).select("ts_unix")
+    cutoff = features.temporal_cutoff(seconds)
+    train, _ = features.temporal_split(_scored(ledger), cutoff)
     start = features.temporal_cutoff(
-        _labelled_split(ledger)[0].select("ts_unix"), 1.0 - features.CALIBRATION_FRACTION
+        features.temporal_split(seconds, cutoff)[0], 1.0 - features.CALIBRATION_FRACTION
     )
     return evaluation.pin_threshold(
         features.temporal_split(train, start)[1], SCORE_MODEL, alerts_per_day=ALERTS_PER_DAY

@@ -117,5 +117,8 @@ def test_huge_amounts_do_not_fail(make_ledger, way):
 
 def test_heavy_list_counts_both_sides(make_ledger):
     ledger = make_ledger([{"src": "A", "dst": "B"}] * 3 + [{"src": "C", "dst": "B"}])
-    listed = {r.account for r in trailing.heavy_accounts(ledger, 2).collect()}
-    assert listed == {"A", "B"}
+    heavy = trailing.heavy_accounts(ledger, 2)
+    assert {r.account for r in heavy.accounts.collect()} == {"A", "B"}
+    assert (heavy.senders, heavy.receivers) == (1, 1)
+    senders, count = heavy.on(trailing.SENDER)
+    assert [r.from_account for r in senders.collect()] == ["A"] and count == 1
