@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialise
+from ledgerlens.session import store
 
 
 def account_graph(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -85,10 +85,10 @@ def connected_components(
 ) -> DataFrame:
     """id, component for every vertex; ``component`` is the smallest id of its component.
 
-    Each round ends in a reliable checkpoint, so a lost executor costs at most one round.
+    Each round is stored in the shared folder, so a lost executor costs at most one round.
     """
     # Larger id first; a vertex with self-loops only has no edge here and stays alone.
-    links = materialise(
+    links = store(
         edges.where(F.col("src") != F.col("dst"))
         .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
         .distinct()
@@ -96,7 +96,7 @@ def connected_components(
     for _ in range(max_rounds):
         if _is_star_forest(links):
             break
-        links = materialise(_small_star(_large_star(links)))
+        links = store(_small_star(_large_star(links)))
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     return vertices.join(links.withColumnRenamed("src", "id"), "id", "left").select(

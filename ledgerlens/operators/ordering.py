@@ -57,35 +57,41 @@ def running_total(
     key: str,
     value: str,
     name: str,
+    total: str | None = None,
     block: int = 10_000,
 ) -> DataFrame:
     """Append ``name``: the sum of ``value`` over all rows of the group with a key up to this one.
+    With ``total``, append the sum over the whole group under that name as well.
 
     ``key`` is an integer that is unique within a group. It is cut into blocks of ``block``
     consecutive values; each block is summed in its own window and shifted by the total of
     the earlier blocks, so no window holds more than ``block`` rows of data.
     """
     blocked = frame.withColumn("_block", F.floor(F.col(key) / F.lit(block)))
-    totals = blocked.groupBy(*groups, "_block").agg(F.sum(value).alias("_total"))
-    earlier = totals.withColumn(
-        "_shift",
-        F.sum("_total").over(
-            Window.partitionBy(*groups)
-            .orderBy("_block")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    group = Window.partitionBy(*groups)
+    upto = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    blocks = (
+        blocked.groupBy(*groups, "_block")
+        .agg(F.sum(value).alias("_sum"))
+        .select(
+            *groups,
+            "_block",
+            (F.sum("_sum").over(upto) - F.col("_sum")).alias("_shift"),
+            F.sum("_sum").over(group).alias("_whole"),
         )
-        - F.col("_total"),
-    ).drop("_total")
+    )
     local = F.sum(value).over(
         Window.partitionBy(*groups, "_block")
         .orderBy(key)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    outputs = [(F.col("_local") + F.col("_shift")).alias(name)]
+    if total:
+        outputs.append(F.col("_whole").alias(total))
     return (
         blocked.withColumn("_local", local)
-        .join(earlier, [*groups, "_block"])
-        .withColumn(name, F.col("_local") + F.col("_shift"))
-        .select(*frame.columns, name)
+        .join(blocks, [*groups, "_block"])
+        .select(*frame.columns, *outputs)
     )
 
 

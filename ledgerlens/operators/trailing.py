@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.clock import DAY_SECONDS, HOUR_SECONDS
 from ledgerlens.operators.profiles import account_profile
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, store
 
 #: A trailing frame [t - 86400, t] covers this many distinct seconds.
 SPAN = DAY_SECONDS + 1
@@ -356,7 +356,7 @@ def add_trailing(
     if entries <= BROADCAST_ACCOUNTS:
         listed = F.broadcast(listed)
     if frame is not base:
-        frame = materialise(frame)  # read by both branches below
+        frame = store(frame)  # read by both branches below
     ordinary = direct(frame.join(listed, side.account, "left_anti"), side)
     seconds = bucketed(base.join(listed, side.account, "left_semi"), side)
     # One row per account and second on the right: a heavy account spreads over its seconds.

@@ -18,6 +18,7 @@ from ledgerlens.operators.trailing import (
     heavy_accounts,
 )
 from ledgerlens.plans.quality import require_rows
+from ledgerlens.session import materialise
 
 # Split point and prior strength of the published method.
 TRAIN_FRACTION = 0.80
@@ -116,17 +117,38 @@ class BankPriors:
 
 
 def bank_priors(train: DataFrame, strength: int = PRIOR_STRENGTH) -> BankPriors:
-    """(flagged + strength x overall) / (rows + strength) per bank, from train rows only."""
-    row = train.agg(F.sum("label").alias("flagged"), F.count(F.lit(1)).alias("rows")).first()
-    overall = float(row["flagged"] or 0) / row["rows"] if row["rows"] else 0.0
+    """(flagged + strength x overall) / (rows + strength) per bank, from train rows only.
 
-    def side(bank: str, name: str) -> DataFrame:
-        rows, flagged = F.count(F.lit(1)), F.sum("label")
-        smoothed = (flagged + F.lit(strength * overall)) / (rows + F.lit(strength))
-        return train.groupBy(bank).agg(smoothed.alias(name))
+    The train rows are scanned once; both sides and the overall share come from the counts.
+    """
+    sides = F.array(
+        *[
+            F.struct(F.lit(name).alias("side"), F.col(name).alias("bank"), "label")
+            for name in ("from_bank", "to_bank")
+        ]
+    )
+    counts = materialise(
+        train.select(F.inline(sides))
+        .groupBy("side", "bank")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("flagged"))
+    )
+    row = (
+        counts.where(F.col("side") == "from_bank")
+        .agg(F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged"))
+        .first()
+    )
+    overall = float(row["flagged"]) / row["rows"] if row["rows"] else 0.0
+
+    def prior(bank: str, name: str) -> DataFrame:
+        smoothed = (F.col("flagged") + F.lit(strength * overall)) / (
+            F.col("rows") + F.lit(strength)
+        )
+        return counts.where(F.col("side") == bank).select(
+            F.col("bank").alias(bank), smoothed.alias(name)
+        )
 
     return BankPriors(
-        side("from_bank", SENDER_PRIOR), side("to_bank", RECEIVER_PRIOR), overall
+        prior("from_bank", SENDER_PRIOR), prior("to_bank", RECEIVER_PRIOR), overall
     )
 
 

@@ -138,7 +138,7 @@ def bank_spread_summary(spread: DataFrame) -> DataFrame:
     )
 
 
-def _two_class_percent(counts: DataFrame, groups: Sequence[str]) -> list[Column]:
+def _two_class_percent(groups: Sequence[str]) -> list[Column]:
     """Shares of ``clean`` and ``flagged`` within each group, in percent."""
     whole = Window.partitionBy(*groups)
     return [
@@ -154,26 +154,21 @@ def _by_bin(report: DataFrame, keys: Sequence[str], label: str, amount: str) ->
 
 
 def amount_shape(decades: DataFrame, k: int = 6) -> DataFrame:
-    """Amount distribution of each class in the ``k`` most used currencies."""
-    top = (
-        decades.groupBy("payment_currency")
-        .agg(F.sum("n").alias("rows"))
-        .orderBy(F.col("rows").desc(), "payment_currency")
-        .limit(k)
-        .select("payment_currency")
-    )
+    """Amount distribution of each class in the ``k`` most used currencies.
+
+    The windows see one row per currency and amount bin.
+    """
     labels = F.create_map(*[F.lit(x) for pair in AMOUNT_BIN_LABELS.items() for x in pair])
-    bins = _by_bin(
-        decades.join(F.broadcast(top), "payment_currency", "left_semi"),
-        ["payment_currency", "log10_bin"],
-        "is_laundering",
-        "n",
+    bins = _by_bin(decades, ["payment_currency", "log10_bin"], "is_laundering", "n").withColumn(
+        "rows", F.sum(F.col("clean") + F.col("flagged")).over(Window.partitionBy("payment_currency"))
     )
-    return bins.select(
+    by_use = Window.orderBy(F.col("rows").desc(), F.col("payment_currency").asc())
+    top = bins.withColumn("place", F.dense_rank().over(by_use)).where(F.col("place") <= k)
+    return top.select(
         "payment_currency",
         "log10_bin",
         F.element_at(labels, F.col("log10_bin")).alias("bin_label"),
-        *_two_class_percent(bins, ["payment_currency"]),
+        *_two_class_percent(["payment_currency"]),
     )
 
 
@@ -192,7 +187,7 @@ def class_density(
             F.col("id").cast("int").alias(bin_column)
         )
         bins = spine.join(bins, bin_column, "left").fillna(0, ["clean", "flagged"])
-    return bins.select(bin_column, *_two_class_percent(bins, []))
+    return bins.select(bin_column, *_two_class_percent([]))
 
 
 def weekday_grid(by_hour: DataFrame) -> DataFrame:
@@ -256,9 +251,8 @@ def degree_ccdf(degrees: DataFrame) -> DataFrame:
     blocked all the same.
     """
     groups = ["direction", "ever_laundering"]
-    upto = running_total(degrees, groups, "deg", "n_accounts", "_upto")
-    totals = degrees.groupBy(*groups).agg(F.sum("n_accounts").alias("_all"))
-    return upto.join(F.broadcast(totals), groups).select(
+    upto = running_total(degrees, groups, "deg", "n_accounts", "_upto", total="_all")
+    return upto.select(
         *groups,
         "deg",
         ratio(F.col("_all") - F.col("_upto") + F.col("n_accounts"), F.col("_all")).alias("ccdf"),
@@ -361,9 +355,8 @@ def coverage_curve(histogram: DataFrame) -> DataFrame:
     """Share of a class covered by the ``k`` largest banks (k is a dense rank, so the
     running sum is cut into blocks of ranks)."""
     groups = ["coverage_type", "is_laundering"]
-    upto = running_total(histogram, groups, "k", "n_at_k", "_upto")
-    totals = histogram.groupBy(*groups).agg(F.sum("n_at_k").alias("_all"))
-    return upto.join(F.broadcast(totals), groups).select(
+    upto = running_total(histogram, groups, "k", "n_at_k", "_upto", total="_all")
+    return upto.select(
         *groups, "k", percent(F.col("_upto"), F.col("_all")).alias("coverage_pct")
     )
 

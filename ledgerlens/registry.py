@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,19 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.trailing import RECEIVER, SENDER
-from ledgerlens.plans import accounts as account_plans
-from ledgerlens.plans import (
-    activity,
-    banks,
-    evaluation,
-    features,
-    models,
-    patterns,
-    quality,
-    rollups,
-    rules,
-)
-from ledgerlens.session import ensure_checkpoint_dir, materialise, pin_session
+from ledgerlens.plans import activity, evaluation, features, models, quality, rollups, rules
+from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
+from ledgerlens.session import pin_session, shared_folder, store
 from ledgerlens.sources import derived, files, pattern_text, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,42 +28,15 @@ def _query(plan, *tables: str, **parameters) -> Query:
     return run
 
 
-LEDGER, SCHEMES, ACCOUNTS = "transactions", "laundering_patterns", "accounts"
-
 #: Corridor floor for the derived ledger (1,000 for a full-size one).
 MIN_CORRIDOR_ROWS = 50
 
 
 def report_queries() -> dict[str, Query]:
+    parameters = {"q20": {"min_rows": MIN_CORRIDOR_ROWS}}
     return {
-        "q1": _query(activity.daily_rate, LEDGER),
-        "q2": _query(activity.format_by_label, LEDGER),
-        "q3": _query(banks.bank_activity, LEDGER),
-        "q4": _query(activity.scope_by_label, LEDGER),
-        "q5": _query(account_plans.account_degrees, LEDGER),
-        "q6": _query(patterns.type_sizes, SCHEMES),
-        "q7": _query(banks.top_bank_matrix, LEDGER),
-        "q7b": _query(banks.top_rank_matrix, LEDGER),
-        "q8": _query(banks.bank_risk, LEDGER, ACCOUNTS),
-        "q9": _query(patterns.bank_spread, SCHEMES),
-        "q10": _query(banks.largest_banks, LEDGER, ACCOUNTS),
-        "q11": _query(activity.amount_decades, LEDGER),
-        "q12": _query(activity.hour_by_weekday, LEDGER),
-        "q13": _query(activity.currency_scope_by_label, LEDGER),
-        "q14": _query(patterns.scheme_durations, SCHEMES),
-        "q15": _query(account_plans.degree_histogram, LEDGER),
-        "q16": _query(account_plans.component_histogram, LEDGER),
-        "q17": _query(account_plans.pass_through_histogram, LEDGER),
-        "q18": _query(patterns.bank_spread_by_type, SCHEMES),
-        "q19": _query(activity.currency_pairs, LEDGER),
-        "q20": _query(banks.busy_corridors, LEDGER, min_rows=MIN_CORRIDOR_ROWS),
-        "b1": _query(activity.structuring_histogram, LEDGER),
-        "b4": _query(banks.scheme_visibility, LEDGER, SCHEMES),
-        "b5": _query(banks.consortium_histogram, LEDGER),
-        "b6": _query(patterns.cross_bank_share, SCHEMES),
-        "b14": _query(patterns.value_by_type, SCHEMES),
-        "b15": _query(account_plans.lifetime_histogram, LEDGER),
-        "b16": _query(activity.hourly_by_label, LEDGER),
+        name: _query(report.plan, *report.tables, **parameters.get(name, {}))
+        for name, report in REPORTS.items()
     }
 
 
@@ -200,23 +162,24 @@ def split_table(ledger: DataFrame) -> DataFrame:
     )
 
 
-def _labelled_split(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _train_priors(ledger: DataFrame) -> tuple[DataFrame, features.BankPriors]:
+    """All rows with their label, and the priors learnt from the train rows."""
     rows = features.add_row_features(ledger).withColumnRenamed("is_laundering", "label")
-    return features.temporal_split(rows, _cutoff(ledger))
+    train, _ = features.temporal_split(rows, _cutoff(ledger))
+    return rows, features.bank_priors(train)
 
 
 def prior_table(ledger: DataFrame) -> DataFrame:
     """F5 + F6: both priors on every row, learnt from the train rows."""
-    train, test = _labelled_split(ledger)
-    priors = features.bank_priors(train)
+    rows, priors = _train_priors(ledger)
     names = [features.SENDER_PRIOR, features.RECEIVER_PRIOR]
-    joined = features.join_priors(train.unionByName(test), priors)
-    return joined.select("txn_id", *[F.round(name, 9).alias(name) for name in names])
+    return features.join_priors(rows, priors).select(
+        "txn_id", *[F.round(name, 9).alias(name) for name in names]
+    )
 
 
 def riskiest_bank_table(ledger: DataFrame) -> DataFrame:
-    train, _ = _labelled_split(ledger)
-    top = features.riskiest_banks(features.bank_priors(train))
+    top = features.riskiest_banks(_train_priors(ledger)[1])
     return top.withColumn(features.SENDER_PRIOR, F.round(features.SENDER_PRIOR, 9))
 
 
@@ -354,14 +317,10 @@ def quality_queries() -> dict[str, Query]:
 SECOND = "yyyy/MM/dd HH:mm:ss"
 
 
-def _shared_folder(spark: SparkSession, name: str) -> str:
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def numbered_load_table(ledger: DataFrame) -> DataFrame:
     """S2 + S4 + S5: the ledger through CSV files, checked and numbered in file order."""
     spark = ledger.sparkSession
-    folder = _shared_folder(spark, "transfers")
+    folder = shared_folder(spark, "transfers")
     derived.write_transfer_csv(ledger, folder, SECOND)
     loaded, _ = warehouse.load_transfers(files.read_transfers(spark, folder, SECOND))
     return loaded.select(
@@ -374,7 +333,7 @@ def numbered_load_table(ledger: DataFrame) -> DataFrame:
 def scheme_text_table(schemes: DataFrame) -> DataFrame:
     """The labelled transfers through attempt-block text files and back."""
     spark = schemes.sparkSession
-    folder = _shared_folder(spark, "schemes")
+    folder = shared_folder(spark, "schemes")
     derived.write_scheme_text(schemes, folder, SECOND)
     return pattern_text.parse_scheme_text(spark, folder).rows
 
@@ -387,7 +346,7 @@ def source_queries() -> dict[str, Query]:
 
 
 def _encoded(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    table = materialise(features.build_features(ledger))
+    table = store(features.build_features(ledger))
     train, test = features.temporal_split(table, _cutoff(ledger))
     priors = features.bank_priors(train)
     _, train, test = models.encode(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,10 +59,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialise(frame: DataFrame) -> DataFrame:
-    """Compute ``frame`` once into the shared checkpoint folder and cut its lineage.
+    """Compute a summary once into the shared checkpoint folder and cut its lineage.
 
-    Used where a result feeds several branches (so the ledger is scanned once) or where the
-    values depend on the physical partitioning and must not be computed a second time.
+    Used where a small result feeds several branches, so that the ledger is scanned once, or
+    where values depend on the physical partitioning and must not be computed a second time.
     """
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def store(frame: DataFrame) -> DataFrame:
+    """The same for results of ledger size: a compressed Parquet table in the shared folder.
+
+    Later passes read only the columns they need, and the planner knows the size.
+    """
+    path = shared_folder(frame.sparkSession, "stored")
+    frame.write.option("compression", "snappy").parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

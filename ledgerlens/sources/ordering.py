@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import materialise
+from ledgerlens.session import store
 
 FILE, START, SEQUENCE = "_file", "_start", "_seq"
 
@@ -33,15 +33,15 @@ def splits_in_order():
     return Window.orderBy(FILE, START)
 
 
-def number_rows(frame: DataFrame, name: str) -> DataFrame:
-    """Put ``name`` = 1..n in file order in front of a frame read directly from files.
+def _hinted(offsets: DataFrame) -> DataFrame:
+    """Broadcast hint only after the number of splits was counted."""
+    return F.broadcast(offsets) if offsets.count() <= BROADCAST_SPLITS else offsets
 
-    The placed rows are checkpointed once, since split boundaries may differ when the files
-    are scanned a second time. After that only one (count, offset) pair per split is joined.
-    """
-    placed = materialise(with_file_order(frame))
+
+def _offsets(placed: DataFrame) -> DataFrame:
+    """Per split: its first sequence number and the number of rows in earlier splits."""
     earlier = splits_in_order().rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return (
         placed.groupBy(FILE, START)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(SEQUENCE).alias("_first"))
         .select(
@@ -51,7 +51,30 @@ def number_rows(frame: DataFrame, name: str) -> DataFrame:
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         )
     )
-    if offsets.count() <= BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
+
+
+def number_rows(frame: DataFrame, name: str) -> DataFrame:
+    """Put ``name`` = 1..n in file order in front of a frame read directly from files.
+
+    The placed rows are stored once, since split boundaries may differ when the files are
+    scanned a second time. The summary reads three of their columns; after that only one
+    (first, offset) pair per split is joined and no row is shuffled.
+    """
+    placed = store(with_file_order(frame))
     number = F.col("_before") + F.col(SEQUENCE) - F.col("_first") + F.lit(1)
-    return placed.join(offsets, [FILE, START]).select(number.alias(name), *frame.columns)
+    return placed.join(_hinted(_offsets(placed)), [FILE, START]).select(
+        number.alias(name), *frame.columns
+    )
+
+
+def number_kept_rows(placed: DataFrame, name: str) -> DataFrame:
+    """The same for stored rows that were filtered after placing, so their numbers have gaps.
+
+    The position inside a split needs a window, which holds one split of text at most.
+    """
+    in_split = Window.partitionBy(FILE, START).orderBy(SEQUENCE)
+    number = F.col("_before") + F.row_number().over(in_split)
+    kept = [column for column in placed.columns if column not in (FILE, START, SEQUENCE)]
+    return placed.join(_hinted(_offsets(placed)), [FILE, START]).select(
+        number.alias(name), *kept
+    )

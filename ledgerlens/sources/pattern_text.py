@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens import schema
-from ledgerlens.session import materialise
+from ledgerlens.session import store
 from ledgerlens.sources.ordering import (
     BROADCAST_SPLITS,
     FILE,
     SEQUENCE,
     START,
+    number_kept_rows,
     splits_in_order,
     with_file_order,
 )
@@ -35,9 +36,13 @@ RAW_COLUMNS = ["timestamp", *schema.TRANSFER_COLUMNS[1:]]
 
 @dataclass
 class ParsedSchemes:
-    """rows: pattern_group, pattern_type and 11 text fields; rejects: line, reason, group."""
+    """rows: pattern_group, pattern_type and 11 text fields; rejects: line, reason, group.
+
+    ``placed`` holds the rows together with their place in the files.
+    """
 
     rows: DataFrame
+    placed: DataFrame
     rejects: DataFrame
     summary: DataFrame  # one row: n_groups, n_rows
 
@@ -57,7 +62,7 @@ def _marked_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchemes:
     """Rows of all blocks; blocks are numbered from 1 in (file, line) order."""
-    lines = materialise(_marked_lines(spark, path))
+    lines = store(_marked_lines(spark, path))
     marked_at = F.when(F.col("marker").isNotNull(), F.col(SEQUENCE))
     splits = lines.groupBy(FILE, START).agg(
         F.sum("opens").alias("_opened"), F.max_by("marker", marked_at).alias("_last")
@@ -99,14 +104,21 @@ def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchem
             F.expr("substring(_state, 2)").alias("pattern_type"),
             "value",
             F.split("value", ",", -1).alias("_fields"),
+            FILE,
+            START,
+            SEQUENCE,
         )
     )
     whole = F.size("_fields") == FIELD_COUNT
-    rows = inside.where(whole).select(
+    placed = inside.where(whole).select(
         "pattern_group",
         "pattern_type",
         *[F.col("_fields")[i].alias(name) for i, name in enumerate(RAW_COLUMNS)],
+        FILE,
+        START,
+        SEQUENCE,
     )
+    rows = placed.drop(FILE, START, SEQUENCE)
     rejects = inside.where(~whole).select(
         "pattern_group",
         F.concat(F.lit("fields: "), F.size("_fields")).alias("reason"),
@@ -117,16 +129,15 @@ def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchem
         F.coalesce(F.sum("opens"), F.lit(0)).alias("n_groups")
     ).withColumn("_one", F.lit(1))
     # One row joined to one row.
-    return ParsedSchemes(rows, rejects, n_groups.join(n_rows, "_one").drop("_one"))
+    return ParsedSchemes(rows, placed, rejects, n_groups.join(n_rows, "_one").drop("_one"))
 
 
-def typed_scheme_rows(rows: DataFrame, timestamp_format: str) -> DataFrame:
-    """Parsed text fields cast to the declared types of a labelled transfer."""
-    kinds = {field.name: field.dataType for field in schema.PATTERN_ROW.fields}
-    typed = rows.withColumn("ts", F.to_timestamp("timestamp", timestamp_format))
+def typed_scheme_rows(parsed: ParsedSchemes, timestamp_format: str) -> DataFrame:
+    """Labelled transfers with their declared types, numbered in file order."""
+    kinds = {field.name: field.dataType for field in schema.LAUNDERING_PATTERNS.fields}
+    typed = number_kept_rows(parsed.placed, "pattern_id").withColumn(
+        "ts", F.to_timestamp("timestamp", timestamp_format)
+    )
     return typed.select(
-        *[
-            F.col(name) if name == "ts" else F.col(name).cast(kinds[name]).alias(name)
-            for name in schema.PATTERN_ROW.names
-        ]
+        *[F.col(name).cast(kinds[name]).alias(name) for name in schema.LAUNDERING_PATTERNS.names]
     )

@@ -27,10 +27,11 @@ def test_running_total_matches_brute_force(spark, block):
     rng = random.Random(3)
     rows = [(g, k, rng.randint(0, 9)) for g in "ab" for k in rng.sample(range(100), 40)]
     frame = spark.createDataFrame(rows, "g string, k int, v int")
-    got = running_total(frame, ["g"], "k", "v", "total", block).collect()
+    got = running_total(frame, ["g"], "k", "v", "upto", "total", block).collect()
     assert len(got) == len(rows)
     for row in got:
-        assert row.total == sum(v for g, k, v in rows if g == row.g and k <= row.k)
+        assert row.upto == sum(v for g, k, v in rows if g == row.g and k <= row.k)
+        assert row.total == sum(v for g, k, v in rows if g == row.g)
 
 
 @pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 0.8, 0.9, 1.0])

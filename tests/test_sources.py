@@ -12,6 +12,7 @@ from ledgerlens import schema
 from ledgerlens.plans import quality
 from ledgerlens.sources import catalog, derived, files, pattern_text, warehouse
 from ledgerlens.sources.format_benchmark import compare_formats
+from ledgerlens.sources.ordering import number_kept_rows
 
 HEADER = "Timestamp,From Bank,Account,To Bank,Account,Received,Cur,Paid,Cur,Format,Flag"
 
@@ -121,6 +122,8 @@ def test_scheme_text_over_many_splits(spark, tmp_path, small_splits):
     assert parsed.rejects.count() == rejects
     assert {r.reason for r in parsed.rejects.collect()} == {"fields: 10", "fields: 12"}
     assert tuple(parsed.summary.first()) == (groups, len(rows))
+    numbered = number_kept_rows(parsed.placed, "n").orderBy("n").drop("n").collect()
+    assert [tuple(r) for r in numbered] == rows
 
 
 def test_open_block_ends_with_its_file(spark, tmp_path):
@@ -130,8 +133,11 @@ def test_open_block_ends_with_its_file(spark, tmp_path):
     assert sorted((r.pattern_group, r.pattern_type, r.to_account) for r in parsed.rows.collect()) == [
         (1, "STACK", "B1"), (2, "CYCLE", "B3")
     ]
-    typed = pattern_text.typed_scheme_rows(parsed.rows, files.RAW_TIMESTAMP)
-    assert typed.columns == schema.PATTERN_ROW.names
+    typed = pattern_text.typed_scheme_rows(parsed, files.RAW_TIMESTAMP)
+    assert typed.columns == schema.LAUNDERING_PATTERNS.names
+    assert [(r.pattern_id, r.to_account) for r in typed.orderBy("pattern_id").collect()] == [
+        (1, "B1"), (2, "B3")
+    ]
     assert typed.where("ts is null or amount_paid <> 2.25").isEmpty()
 
 
