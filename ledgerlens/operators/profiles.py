@@ -2,8 +2,8 @@
 
 Each of them reads the ledger once, turns a transfer into its two ends inside the scan
 stage, and lets map-side partial aggregation collapse a hot bank or account before any row
-is shuffled. Aggregates a caller does not select are pruned by the optimizer, so the
-profiles can offer more columns than one report needs.
+is shuffled. Columns are not pruned through the row expansion, so a caller names the groups
+of measures it needs and the scan reads only their columns.
 """
 
 from __future__ import annotations
@@ -22,46 +22,38 @@ def _ends(frame: DataFrame, key: str, outgoing: dict[str, Column], incoming: dic
     return frame.select(F.inline(F.array(out_leg, in_leg)))
 
 
-def bank_profile(ledger: DataFrame) -> DataFrame:
-    """bank, out_tx, in_tx, out_flagged, in_flagged. An intra-bank transfer counts on both sides."""
-    one, zero, flag = F.lit(1), F.lit(0), F.col("is_laundering")
-    ends = _ends(
-        ledger,
-        "bank",
-        {"o": one, "i": zero, "of": flag, "if": zero},
-        {"o": zero, "i": one, "of": zero, "if": flag},
-        "from_bank",
-        "to_bank",
-    )
-    return ends.groupBy("bank").agg(
-        F.sum("o").alias("out_tx"),
-        F.sum("i").alias("in_tx"),
-        F.sum("of").alias("out_flagged"),
-        F.sum("if").alias("in_flagged"),
-    )
-
-
-def account_profile(ledger: DataFrame) -> DataFrame:
-    """account, out_deg, in_deg, out_flagged, in_flagged (0/1, NULL if that side is empty),
-    first_ts, last_ts."""
-    one, zero, flag, ts = F.lit(1), F.lit(0), F.col("is_laundering"), F.col("ts")
-    none = F.lit(None).cast("int")
-    ends = _ends(
-        ledger,
-        "account",
-        {"o": one, "i": zero, "of": flag, "if": none, "ts": ts},
-        {"o": zero, "i": one, "of": none, "if": flag, "ts": ts},
-        "from_account",
-        "to_account",
-    )
-    return ends.groupBy("account").agg(
-        F.sum("o").alias("out_deg"),
-        F.sum("i").alias("in_deg"),
-        F.max("of").alias("out_flagged"),
-        F.max("if").alias("in_flagged"),
-        F.min("ts").alias("first_ts"),
-        F.max("ts").alias("last_ts"),
-    )
+def bank_profile(ledger: DataFrame, flags: bool = True) -> DataFrame:
+    """bank, out_tx, in_tx and, with ``flags``, out_flagged, in_flagged.
+
+    An intra-bank transfer counts on both sides.
+    """
+    one, zero = F.lit(1), F.lit(0)
+    sent, received = {"out_tx": one, "in_tx": zero}, {"out_tx": zero, "in_tx": one}
+    if flags:
+        flag = F.col("is_laundering")
+        sent |= {"out_flagged": flag, "in_flagged": zero}
+        received |= {"out_flagged": zero, "in_flagged": flag}
+    ends = _ends(ledger, "bank", sent, received, "from_bank", "to_bank")
+    return ends.groupBy("bank").agg(*[F.sum(name).alias(name) for name in sent])
+
+
+def account_profile(ledger: DataFrame, flags: bool = True, times: bool = False) -> DataFrame:
+    """account, out_deg, in_deg; with ``flags``, out_flagged and in_flagged (0/1, NULL if that
+    side is empty); with ``times``, first_ts and last_ts."""
+    one, zero, none = F.lit(1), F.lit(0), F.lit(None).cast("int")
+    sent, received = {"out_deg": one, "in_deg": zero}, {"out_deg": zero, "in_deg": one}
+    measures = [F.sum("out_deg").alias("out_deg"), F.sum("in_deg").alias("in_deg")]
+    if flags:
+        flag = F.col("is_laundering")
+        sent |= {"out_flagged": flag, "in_flagged": none}
+        received |= {"out_flagged": none, "in_flagged": flag}
+        measures += [F.max(name).alias(name) for name in ("out_flagged", "in_flagged")]
+    if times:
+        sent |= {"ts": F.col("ts")}
+        received |= {"ts": F.col("ts")}
+        measures += [F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")]
+    ends = _ends(ledger, "account", sent, received, "from_account", "to_account")
+    return ends.groupBy("account").agg(*measures)
 
 
 def ever_flagged() -> Column:

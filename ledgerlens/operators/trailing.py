@@ -336,7 +336,7 @@ def heavy_accounts(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> HeavyAcco
     """Find the heavy accounts in one scan; the list has at most 2 x rows / heavy_rows rows."""
     sent, received = F.col("out_deg") > heavy_rows, F.col("in_deg") > heavy_rows
     listed = materialise(
-        account_profile(ledger).where(sent | received).select("account", "out_deg", "in_deg")
+        account_profile(ledger, flags=False).where(sent | received)
     )
     sizes = listed.agg(F.count_if(sent).alias("s"), F.count_if(received).alias("r")).first()
     return HeavyAccounts(listed, heavy_rows, sizes["s"], sizes["r"])

@@ -52,7 +52,7 @@ def lifetime_histogram(ledger: DataFrame) -> DataFrame:
         float(DAY_SECONDS)
     )
     return (
-        account_profile(ledger)
+        account_profile(ledger, times=True)
         .groupBy(
             ever_flagged().alias("ever_laundering"),
             bin_by_edges(days, LIFETIME_EDGES_DAYS, LIFETIME_LABELS).alias("lifetime_bucket"),

@@ -125,7 +125,7 @@ def scheme_visibility(ledger: DataFrame, patterns: DataFrame, k: int = 20) -> Da
     """b4: edges of each scheme seen by its best single bank, by a top-``k`` consortium with
     one end inside (loose), and with both ends inside (strict)."""
     # Two integer columns of the ledger are read; the broadcast result has at most k rows.
-    volume = bank_profile(ledger).select("bank", _total().alias("volume"))
+    volume = bank_profile(ledger, flags=False).select("bank", _total().alias("volume"))
     top = F.broadcast(top_banks(volume, k).select("bank", F.lit(1).alias("member")))
     members_from = top.select(F.col("bank").alias("from_bank"), F.col("member").alias("mf"))
     members_to = top.select(F.col("bank").alias("to_bank"), F.col("member").alias("mt"))

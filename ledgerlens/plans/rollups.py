@@ -61,7 +61,7 @@ def daily_rate_percent(daily: DataFrame) -> DataFrame:
 
 def bank_rank_size(ledger: DataFrame) -> DataFrame:
     """Banks numbered by size; numbering is distributed, the number of banks is open."""
-    sizes = bank_profile(ledger).select(
+    sizes = bank_profile(ledger, flags=False).select(
         "bank", (F.col("out_tx") + F.col("in_tx")).alias("tx_count")
     )
     return global_row_number(sizes, [F.col("tx_count").desc(), F.col("bank").asc()], "rank")
