@@ -15,10 +15,15 @@ from ledgerlens.session import store
 
 
 def account_graph(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(vertices: id) and (edges: src, dst), direction kept, duplicates removed."""
-    edges = ledger.select(
-        F.col("from_account").alias("src"), F.col("to_account").alias("dst")
-    ).distinct()
+    """(vertices: id) and (edges: src >= dst) of the undirected account graph.
+
+    Parallel and opposite transfers become one edge, self-transfers stay. The edges are stored,
+    so the ledger is scanned and de-duplicated once for the vertices and for all rounds.
+    """
+    ends = ("from_account", "to_account")
+    edges = store(
+        ledger.select(F.greatest(*ends).alias("src"), F.least(*ends).alias("dst")).distinct()
+    )
     vertices = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     return vertices, edges
 
@@ -85,18 +90,16 @@ def connected_components(
 ) -> DataFrame:
     """id, component for every vertex; ``component`` is the smallest id of its component.
 
+    ``edges`` as ``account_graph`` returns them: each pair once, the larger id in ``src``.
+
     Each round is stored in the shared folder, so a lost executor costs at most one round.
     """
-    # Larger id first; a vertex with self-loops only has no edge here and stays alone.
-    links = store(
-        edges.where(F.col("src") != F.col("dst"))
-        .select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-        .distinct()
-    )
+    # A vertex with self-loops only has no link and stays alone.
+    links = edges.where(F.col("src") != F.col("dst"))
     for _ in range(max_rounds):
+        links = store(_small_star(_large_star(links)))
         if _is_star_forest(links):
             break
-        links = store(_small_star(_large_star(links)))
     else:
         raise RuntimeError(f"components did not settle within {max_rounds} rounds")
     return vertices.join(links.withColumnRenamed("src", "id"), "id", "left").select(

@@ -91,11 +91,19 @@ def currency_pairs(ledger: DataFrame) -> DataFrame:
 
 
 def structuring_histogram(
-    ledger: DataFrame, low: int = 7000, high: int = 12000, width: int = 50
+    ledger: DataFrame,
+    low: int = 7000,
+    high: int = 12000,
+    width: int = 50,
+    currency: str | None = None,
 ) -> DataFrame:
-    """b1: narrow amount bins around a reporting threshold, both ends included."""
+    """b1: narrow amount bins around a reporting threshold, both ends included.
+
+    All currencies count alike, as published, unless one is named.
+    """
+    rows = ledger if currency is None else ledger.where(F.col("payment_currency") == currency)
     return (
-        ledger.where(F.col("amount_paid").between(low, high))
+        rows.where(F.col("amount_paid").between(low, high))
         .groupBy("is_laundering", fixed_width_bin(F.col("amount_paid"), width).alias("bin_lo"))
         .agg(_rows().alias("n"))
         .orderBy("is_laundering", "bin_lo")

@@ -50,8 +50,14 @@ def _checks(frame: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return row.select(F.inline(F.array(*pairs)))
 
 
-def sanity_checks(ledger: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Row counts, flagged percentage, distinct values, time range, partitions, banks."""
+def sanity_checks(
+    ledger: DataFrame, patterns: DataFrame, approximate: bool = False
+) -> DataFrame:
+    """Row counts, flagged percentage, distinct values, time range, partitions, banks.
+
+    ``approximate`` counts distinct values with a sketch instead of exactly.
+    """
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     rows = F.count(F.lit(1))
     percentage = F.round(
         F.sum("is_laundering").cast("double") * 100.0 / F.nullif(rows, F.lit(0)), 4
@@ -62,18 +68,18 @@ def sanity_checks(ledger: DataFrame, patterns: DataFrame) -> DataFrame:
         {
             "transactions row count": rows,
             "transactions laundering ratio": F.format_string("%.4f", percentage),
-            "distinct payment_format values": F.count_distinct("payment_format"),
+            "distinct payment_format values": distinct("payment_format"),
             "min timestamp": F.date_format(F.min("ts"), text),
             "max timestamp": F.date_format(F.max("ts"), text),
-            "transactions partition count": F.count_distinct("txn_date"),
-            "transactions distinct from_bank": F.count_distinct("from_bank"),
+            "transactions partition count": distinct("txn_date"),
+            "transactions distinct from_bank": distinct("from_bank"),
         },
     )
     pattern_checks = _checks(
         patterns,
         {
             "laundering_patterns row count": rows,
-            "distinct pattern_type values": F.count_distinct("pattern_type"),
+            "distinct pattern_type values": distinct("pattern_type"),
         },
     )
     return ledger_checks.unionByName(pattern_checks)

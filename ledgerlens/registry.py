@@ -150,7 +150,7 @@ def _cutoff(ledger: DataFrame) -> int:
 
 
 def split_table(ledger: DataFrame) -> DataFrame:
-    """rows, flagged rows and time range of both sides of the split."""
+    """rows, flagged rows and time range of both sides of the split, and the cutoff."""
     rows = features.add_row_features(ledger)
     cutoff = _cutoff(ledger)
     side = F.when(F.col("ts_unix") <= cutoff, F.lit("train")).otherwise(F.lit("test"))
@@ -159,6 +159,7 @@ def split_table(ledger: DataFrame) -> DataFrame:
         F.sum("is_laundering").alias("positives"),
         F.min("ts_unix").alias("first_second"),
         F.max("ts_unix").alias("last_second"),
+        F.from_unixtime(F.lit(cutoff)).alias("cutoff_time"),
     )
 
 

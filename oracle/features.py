@@ -243,7 +243,9 @@ def answers() -> dict[str, str]:
         "f7_temporal_split": with_tables(
             "SELECT if(ts_unix <= (SELECT at_ FROM cut), 'train', 'test') AS part, "
             "count(*) AS n, CAST(sum(is_laundering) AS BIGINT) AS positives, "
-            "min(ts_unix) AS first_second, max(ts_unix) AS last_second FROM rows_ GROUP BY 1",
+            "min(ts_unix) AS first_second, max(ts_unix) AS last_second, "
+            "strftime(make_timestamp((SELECT at_ FROM cut) * 1000000), '%Y-%m-%d %H:%M:%S') "
+            "AS cutoff_time FROM rows_ GROUP BY 1",
             _ROWS, _CUT,
         ),
         "x4_rule_flags": with_tables(

@@ -86,3 +86,4 @@ def test_amount_reports_at_their_edges(make_ledger):
     got = {(r.bin_lo, r.n) for r in structuring_histogram(ledger).collect()}
     assert got == {(7000, 2), (7050, 1), (12000, 1)}
     assert sum(r.n for r in amount_decades(ledger).collect()) == 6
+    assert structuring_histogram(ledger, currency="Euro").isEmpty()

@@ -170,6 +170,27 @@ def test_warehouse_load_shifts_and_cuts(spark):
     assert dict(loaded.dtypes)["amount_paid"] == "decimal(20,4)"
 
 
+def test_pattern_warehouse_load(spark):
+    raw = raw_millis(spark).withColumnRenamed("txn_id", "pattern_id").withColumns(
+        {"pattern_group": F.lit(1), "pattern_type": F.lit("STACK")}
+    )
+    loaded = warehouse.warehouse_patterns(raw, shift_millis=10_800_000)
+    assert loaded.columns == schema.LAUNDERING_PATTERNS.names
+    assert dict(loaded.dtypes)["is_laundering"] == "int"
+    assert str(loaded.orderBy("pattern_id").first().ts) == "2022-09-01 00:00:00"
+    assert loaded.count() == 8
+
+
+def test_sketched_checks_are_close(spark):
+    ledger = derived.transactions(spark, SF_TINY)
+    schemes = derived.laundering_patterns(spark, SF_TINY)
+    exact = {r.check_name: r.value for r in quality.sanity_checks(ledger, schemes).collect()}
+    sketch = {r.check_name: r.value for r in quality.sanity_checks(ledger, schemes, approximate=True).collect()}
+    assert exact.keys() == sketch.keys()
+    assert exact["transactions row count"] == sketch["transactions row count"]
+    assert abs(int(exact["transactions partition count"]) - int(sketch["transactions partition count"])) <= 3
+
+
 def test_partitioned_files_reload_only_their_days(spark, tmp_path):
     path = str(tmp_path / "ledger")
     loaded = warehouse.warehouse_transactions(raw_millis(spark), shift_millis=10_800_000)
