@@ -43,19 +43,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if not configured:
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        if not current or named.rstrip("/") not in current:
+            context.setCheckpointDir(named)
+    elif not current:
         if not context.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: name a folder every executor can reach"
             )
-        configured = tempfile.mkdtemp(prefix="ledgerlens-checkpoint-")
-    context.setCheckpointDir(configured)
-    return configured
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def materialise(frame: DataFrame) -> DataFrame:

@@ -111,12 +111,23 @@ def select_list(columns: dict[str, str]) -> list[str]:
     return [f"{expression} AS {name}" for name, expression in columns.items()]
 
 
+#: Declared columns of the source table the ledger is derived from.
+EVENTS_COLUMNS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+
+
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_COLUMNS).parquet(f"{sf_dir}/events.parquet")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").selectExpr(*select_list(HELPER_SQL))
+    events = _events(spark, sf_dir).selectExpr(*select_list(HELPER_SQL))
     return events.selectExpr(*select_list(TRANSACTIONS_SQL))
 
 
@@ -130,7 +141,7 @@ def laundering_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        _table(spark, sf_dir, "events")
+        _events(spark, sf_dir)
         .select("user_id")
         .distinct()
         .where(ACCOUNTS_FILTER_SQL)

@@ -170,6 +170,20 @@ def test_pinning_when_nothing_fits(spark):
     assert row.pinned_threshold == 0.9 and row.calibration_alerts == 3
 
 
+def test_repeated_keys_count_against_each_other(spark, make_ledger):
+    schemes = make_ledger([{"s": 5, "flag": 1}] * 3 + [{"s": 6, "flag": 1}]).withColumns(
+        {"pattern_type": F.lit("Cycle: x"), "pattern_group": F.lit(1)}
+    )
+    rows = [(1, 1, 5)] * 2 + [(1, 0, 5), (0, 1, 5), (1, 1, 6), (1, 1, 7)]
+    predictions = spark.createDataFrame(rows, "label int, prediction int, ts_unix bigint").withColumns(
+        {"from_account": F.lit("A"), "to_account": F.lit("B")}
+    )
+    row = evaluation.pattern_recall(predictions, schemes, "m").first()
+    assert (row.canon_type, row.n_total, row.n_caught, row.recall) == ("CYCLE", 10, 7, 0.7)
+    repeated = evaluation.duplicate_pattern_keys(schemes).first()
+    assert (repeated.n_keys, repeated.n_rows) == (1, 3)
+
+
 RULE_COLUMNS = (
     "out_count_24h int, out_max_24h double, out_sum_24h double, in_count_24h int, "
     "out_count_1h int, in_sum_24h double, out_sum_1h double, out_unique_banks_24h int, label int"
