@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.components import account_graph, connected_components
+from ledgerlens.operators.encoders import SinCosEncoder
 from ledgerlens.operators.trailing import RECEIVER, SENDER
 from ledgerlens.plans import activity, evaluation, features, models, quality, rollups, rules
 from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
@@ -339,8 +341,48 @@ def scheme_text_table(schemes: DataFrame) -> DataFrame:
     return pattern_text.parse_scheme_text(spark, folder).rows
 
 
+MSK_MILLIS = 10_800_000
+
+
+def _as_raw(frame: DataFrame) -> DataFrame:
+    """Rows as an export with zone-shifted epoch millis and textual amounts has them."""
+    return frame.withColumns(
+        {
+            "timestamp": F.unix_millis("ts") - F.lit(MSK_MILLIS),
+            "amount_received": F.col("amount_received").cast("string"),
+            "amount_paid": F.col("amount_paid").cast("string"),
+        }
+    ).drop("ts", "txn_date")
+
+
+def warehouse_load_table(ledger: DataFrame) -> DataFrame:
+    """Shifted millis and textual amounts to typed rows of the active window."""
+    loaded = warehouse.warehouse_transactions(
+        _as_raw(ledger), until="2024-01-28", shift_millis=MSK_MILLIS
+    )
+    return loaded.withColumns(
+        {name: F.col(name).cast("double") for name in ("amount_received", "amount_paid")}
+    )
+
+
+def pattern_load_table(schemes: DataFrame) -> DataFrame:
+    """The same for labelled transfers, all of them."""
+    loaded = warehouse.warehouse_patterns(_as_raw(schemes), shift_millis=MSK_MILLIS)
+    return loaded.withColumns(
+        {name: F.col(name).cast("double") for name in ("amount_received", "amount_paid")}
+    )
+
+
+def first_days_table(ledger: DataFrame) -> DataFrame:
+    """The first week of the ledger."""
+    return activity.daily_rate(features.first_days(ledger, "2024-01-01", 7))
+
+
 def source_queries() -> dict[str, Query]:
     return {
+        "s7_warehouse_load": _query(warehouse_load_table, LEDGER),
+        "s8_pattern_load": _query(pattern_load_table, SCHEMES),
+        "s27_first_days": _query(first_days_table, LEDGER),
         "s5_numbered_load": _query(numbered_load_table, LEDGER),
         "s6_scheme_text": _query(scheme_text_table, SCHEMES),
     }
@@ -376,14 +418,58 @@ def trees_headline(ledger: DataFrame, schemes: DataFrame) -> DataFrame:
     return _model_headline(models.trees_candidate(grid, max_iter=5), ledger, schemes)
 
 
+def cyclic_table(ledger: DataFrame) -> DataFrame:
+    """F8: sine and cosine of hour and weekday on every row."""
+    rows = features.add_row_features(ledger)
+    names = []
+    for column, period in models.CYCLES.items():
+        encoder = SinCosEncoder(inputCol=column, period=period)
+        rows, names = encoder.transform(rows), names + encoder.outputColumns()
+    return rows.select("txn_id", *[F.round(name, 9).alias(name) for name in names])
+
+
+def balanced_table(ledger: DataFrame) -> DataFrame:
+    """M2: rows and weight per class after the draw, which hashes row keys."""
+    rows = ledger.withColumnRenamed("is_laundering", "label").select("txn_id", "label")
+    return (
+        models.balance_classes(rows, negatives_per_positive=5)
+        .groupBy("label")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"))
+    )
+
+
+def component_table(ledger: DataFrame) -> DataFrame:
+    """The component of every account."""
+    return connected_components(*account_graph(ledger))
+
+
 def model_queries() -> dict[str, Query]:
     """Training has no SQL answer; grids and iterations are short, the rows are all used."""
     return {
+        "g2_components": _query(component_table, LEDGER),
+        "f8_cyclic_encoding": _query(cyclic_table, LEDGER),
+        "m2_balanced_classes": _query(balanced_table, LEDGER),
         "e1_logistic_headline": _query(logistic_headline, LEDGER, SCHEMES),
         "e1_trees_headline": _query(trees_headline, LEDGER, SCHEMES),
     }
 
 
+#: Reports that make sense on the larger ledger: its dates have no time of day, its senders
+#: never receive, and its rows have no key.
+VOLUME_REPORTS = ["q1", "q2", "q3", "q4", "q5", "q7", "q11", "q15", "q20", "b1", "b5", "b15"]
+
+
+def volume_queries() -> dict[str, Query]:
+    """The same reports on the ledger derived from the order tables."""
+    parameters = {"q20": {"min_rows": MIN_CORRIDOR_ROWS}}
+    return {
+        f"v_{name}": _query(
+            REPORTS[name].plan, "volume_transactions", **parameters.get(name, {})
+        )
+        for name in VOLUME_REPORTS
+    }
+
+
 def all_queries() -> dict[str, Query]:
     return {
         **report_queries(),
@@ -392,4 +478,5 @@ def all_queries() -> dict[str, Query]:
         **quality_queries(),
         **source_queries(),
         **model_queries(),
+        **volume_queries(),
     }

@@ -14,8 +14,9 @@ from ledgerlens.session import store
 
 FILE, START, SEQUENCE = "_file", "_start", "_seq"
 
-#: Largest number of file splits whose offsets are sent to every executor.
-BROADCAST_SPLITS = 2_000_000
+#: Largest number of file splits whose offsets are sent to every executor (about 20 MB).
+#: Beyond it the join is by shuffle on the split, and a split is at most one task's input.
+BROADCAST_SPLITS = 100_000
 
 
 def with_file_order(frame: DataFrame) -> DataFrame:
@@ -33,9 +34,9 @@ def splits_in_order():
     return Window.orderBy(FILE, START)
 
 
-def _hinted(offsets: DataFrame) -> DataFrame:
+def hinted(per_split: DataFrame) -> DataFrame:
     """Broadcast hint only after the number of splits was counted."""
-    return F.broadcast(offsets) if offsets.count() <= BROADCAST_SPLITS else offsets
+    return F.broadcast(per_split) if per_split.count() <= BROADCAST_SPLITS else per_split
 
 
 def _offsets(placed: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def number_rows(frame: DataFrame, name: str) -> DataFrame:
     """
     placed = store(with_file_order(frame))
     number = F.col("_before") + F.col(SEQUENCE) - F.col("_first") + F.lit(1)
-    return placed.join(_hinted(_offsets(placed)), [FILE, START]).select(
+    return placed.join(hinted(_offsets(placed)), [FILE, START]).select(
         number.alias(name), *frame.columns
     )
 
@@ -75,6 +76,6 @@ def number_kept_rows(placed: DataFrame, name: str) -> DataFrame:
     in_split = Window.partitionBy(FILE, START).orderBy(SEQUENCE)
     number = F.col("_before") + F.row_number().over(in_split)
     kept = [column for column in placed.columns if column not in (FILE, START, SEQUENCE)]
-    return placed.join(_hinted(_offsets(placed)), [FILE, START]).select(
+    return placed.join(hinted(_offsets(placed)), [FILE, START]).select(
         number.alias(name), *kept
     )

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from ledgerlens import schema
 from ledgerlens.session import store
 from ledgerlens.sources.ordering import (
-    BROADCAST_SPLITS,
     FILE,
     SEQUENCE,
     START,
+    hinted,
     number_kept_rows,
     splits_in_order,
     with_file_order,
@@ -78,8 +78,6 @@ def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchem
         F.coalesce(F.sum("_opened").over(earlier), F.lit(0)).alias("_groups_before"),
         F.last("_last", ignorenulls=True).over(earlier_in_file).alias("_open_before"),
     )
-    if entry.count() <= BROADCAST_SPLITS:
-        entry = F.broadcast(entry)
     in_split = (
         Window.partitionBy(FILE, START)
         .orderBy(SEQUENCE)
@@ -89,7 +87,7 @@ def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchem
         F.last("marker", ignorenulls=True).over(in_split), F.col("_open_before")
     )
     inside = (
-        lines.join(entry, [FILE, START])
+        lines.join(hinted(entry), [FILE, START])
         .withColumns(
             {
                 "_state": state,

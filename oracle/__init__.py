@@ -2,8 +2,17 @@
 
 from __future__ import annotations
 
+from ledgerlens.registry import VOLUME_REPORTS
 from oracle import charts, features, reports
+from oracle.base import on_volume
 
 
 def answers() -> dict[str, str]:
-    return {**reports.answers(), **charts.answers(), **features.answers()}
+    named = reports.answers()
+    return {
+        **named,
+        **charts.answers(),
+        **features.answers(),
+        **reports.graph_answers(),
+        **{f"v_{name}": on_volume(named[name]) for name in VOLUME_REPORTS},
+    }

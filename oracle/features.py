@@ -369,4 +369,34 @@ def answers() -> dict[str, str]:
             "amount_paid::VARCHAR AS amount_paid, payment_currency, payment_format, "
             "is_laundering::VARCHAR AS is_laundering FROM laundering_patterns"
         ),
+        "s7_warehouse_load": with_tables(
+            "SELECT txn_id, date_trunc('milliseconds', ts) AS ts, from_bank, from_account, "
+            f"to_bank, to_account, {double('amount_received')} AS amount_received, "
+            f"receiving_currency, {double('amount_paid')} AS amount_paid, payment_currency, "
+            "payment_format, is_laundering, txn_date FROM transactions "
+            "WHERE txn_date <= DATE '2024-01-28'"
+        ),
+        "s8_pattern_load": with_tables(
+            "SELECT pattern_id, pattern_group, pattern_type, "
+            "date_trunc('milliseconds', ts) AS ts, from_bank, from_account, to_bank, to_account, "
+            f"{double('amount_received')} AS amount_received, receiving_currency, "
+            f"{double('amount_paid')} AS amount_paid, payment_currency, payment_format, "
+            "is_laundering FROM laundering_patterns"
+        ),
+        "s27_first_days": with_tables(
+            "SELECT txn_date AS day, count(*) AS total, "
+            "CAST(sum(is_laundering) AS BIGINT) AS laundering, "
+            f"{rounded('sum(is_laundering)', 'count(*)')} AS rate FROM transactions "
+            "WHERE txn_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-07' GROUP BY 1"
+        ),
+        "f8_cyclic_encoding": with_tables(
+            "SELECT txn_id, "
+            + ", ".join(
+                f"round({part}(2 * pi() * {column} / {period}) + 0.0, 9) + 0.0 AS {column}_{part}"
+                for column, period in (("hour_of_day", 24), ("day_of_week", 7))
+                for part in ("sin", "cos")
+            )
+            + " FROM rows_",
+            _ROWS,
+        ),
     }

@@ -232,3 +232,10 @@ def answers() -> dict[str, str]:
     full["b5"] = with_tables("SELECT * FROM coverage", ENDS, BANK_VOLUME, COVERAGE)
     full["b15"] = with_tables(LIFETIMES, ACCOUNT_ENDS, LIVES)
     return full
+
+
+def graph_answers() -> dict[str, str]:
+    body = "SELECT a AS id, min(b) AS component FROM reach GROUP BY a"
+    return {
+        "g2_components": with_tables(body, COMPONENTS).replace("WITH ", "WITH RECURSIVE ", 1)
+    }

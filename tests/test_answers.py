@@ -20,7 +20,8 @@ def connection():
 
 def test_answers_belong_to_queries():
     assert set(ANSWERS) <= set(QUERIES)
-    assert set(QUERIES) - set(ANSWERS) == {"e1_logistic_headline", "e1_trees_headline"}
+    without = {"e1_logistic_headline", "e1_trees_headline", "m2_balanced_classes"}
+    assert set(QUERIES) - set(ANSWERS) == without
 
 
 @pytest.mark.parametrize("name", sorted(ANSWERS))

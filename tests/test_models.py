@@ -56,7 +56,7 @@ def test_split_is_disjoint_in_time(prepared):
     assert 0.05 < calibration.count() / total < 0.15
 
 
-def test_priors(spark):
+def test_priors(spark, monkeypatch):
     rows = [(1, 9, 1)] * 3 + [(1, 9, 0)] * 7 + [(2, 9, 0)] * 10
     train = spark.createDataFrame(rows, "from_bank int, to_bank int, label int")
     priors = features.bank_priors(train)
@@ -67,6 +67,9 @@ def test_priors(spark):
     unseen = spark.createDataFrame([(77, 9, 0)], "from_bank int, to_bank int, label int")
     assert features.join_priors(unseen, priors).first().from_bank_laundering_rate_prior == 0.15
     assert [r.from_bank for r in features.riskiest_banks(priors, 1).collect()] == [1]
+    hinted = features.join_priors(train, priors).collect()
+    monkeypatch.setattr(features, "BROADCAST_BANKS", 0)
+    assert sorted(features.join_priors(train, priors).collect()) == sorted(hinted)
 
 
 def test_balance(spark):

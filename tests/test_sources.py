@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from ledgerlens import schema
 from ledgerlens.plans import quality
-from ledgerlens.sources import catalog, derived, files, pattern_text, warehouse
+from ledgerlens.sources import catalog, derived, files, ordering, pattern_text, warehouse
 from ledgerlens.sources.format_benchmark import compare_formats
-from ledgerlens.sources.ordering import number_kept_rows
 
 HEADER = "Timestamp,From Bank,Account,To Bank,Account,Received,Cur,Paid,Cur,Format,Flag"
 
@@ -33,7 +32,13 @@ def small_splits(spark):
         spark.conf.set(key, value)
 
 
-def test_transfers_are_numbered_in_file_order(spark, tmp_path, small_splits):
+@pytest.fixture(params=["broadcast", "shuffle"])
+def join_way(request, monkeypatch):
+    if request.param == "shuffle":
+        monkeypatch.setattr(ordering, "BROADCAST_SPLITS", 0)
+
+
+def test_transfers_are_numbered_in_file_order(spark, tmp_path, small_splits, join_way):
     # The larger file comes second by name; Spark reads large files first.
     (tmp_path / "a.csv").write_text("\n".join([HEADER] + [transfer_line(i) for i in range(40)]) + "\n")
     (tmp_path / "b.csv").write_text("\n".join([HEADER] + [transfer_line(i) for i in range(40, 200)]) + "\n")
@@ -111,7 +116,7 @@ def scheme_text(blocks):
     return "\n".join(lines) + "\n"
 
 
-def test_scheme_text_over_many_splits(spark, tmp_path, small_splits):
+def test_scheme_text_over_many_splits(spark, tmp_path, small_splits, join_way):
     text = scheme_text(25)
     path = tmp_path / "schemes.txt"
     path.write_text(text)
@@ -122,7 +127,7 @@ def test_scheme_text_over_many_splits(spark, tmp_path, small_splits):
     assert parsed.rejects.count() == rejects
     assert {r.reason for r in parsed.rejects.collect()} == {"fields: 10", "fields: 12"}
     assert tuple(parsed.summary.first()) == (groups, len(rows))
-    numbered = number_kept_rows(parsed.placed, "n").orderBy("n").drop("n").collect()
+    numbered = ordering.number_kept_rows(parsed.placed, "n").orderBy("n").drop("n").collect()
     assert [tuple(r) for r in numbered] == rows
 
 

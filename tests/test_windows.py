@@ -78,6 +78,14 @@ def test_features_match_brute_force(make_ledger, heavy_rows):
             assert math.isclose(got, want, rel_tol=1e-9, abs_tol=1e-3), (row.txn_id, name)
 
 
+def test_long_heavy_list_is_joined_by_shuffle(make_ledger, monkeypatch):
+    rows = random_rows(60, seed=4)
+    ledger = make_ledger(rows)
+    hinted = build_features(ledger, 5).collect()
+    monkeypatch.setattr(trailing, "BROADCAST_ACCOUNTS", 0)
+    assert sorted(build_features(ledger, 5).collect()) == sorted(hinted)
+
+
 def one_side(make_ledger, rows, way):
     frame = add_row_features(make_ledger(rows))
     if way == "direct":
