@@ -6,6 +6,7 @@ import base64
 import hashlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,9 @@ from ledgerlens.llm.words import slices
 #: Longer texts are handed to the library in parts of about this many characters.
 LONG_TEXT = 50_000
 
+#: Text bytes encoded, and rows decoded, before results are handed on.
+BATCH_BYTES, DECODED_ROWS = 2 << 20, 500
+
 _CODECS: dict[tuple[str, str], object] = {}
 
 
@@ -73,16 +77,18 @@ def encode_texts(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = codec(ranks_path, pattern)
         for whole in batches:
-            for batch in slices(whole, column="_text"):
-                ids = []
-                for raw in batch.column("_text").to_pylist():
-                    found: list[int] = []
-                    for part in safe_parts(raw.decode("utf-8", "replace")):
-                        found += library.encode_ordinary(part)
-                    ids.append(found)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[key, "ids"]
-                )
+            for batch in slices(whole, BATCH_BYTES, "_text"):
+                ids, ends = [], [0]
+                for raw in batch.column("_text"):
+                    size = 0
+                    for part in safe_parts(raw.as_py().decode("utf-8", "replace")):
+                        found = library.encode_ordinary(part)
+                        ids.append(np.asarray(found, dtype=np.int32))
+                        size += len(found)
+                    ends.append(ends[-1] + size)
+                flat = pa.array(np.concatenate(ids))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=[key, "ids"])
 
     plain = docs.select(F.col(key), as_bytes(text).alias("_text"))
     kind = plain.schema[key].dataType.simpleString()
@@ -96,11 +102,14 @@ def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = codec(ranks_path, pattern)
         for batch in batches:
-            raw = [library.decode_bytes(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(raw, pa.binary())],
-                names=[*batch.schema.names, "decoded"],
-            )
+            for start in range(0, batch.num_rows, DECODED_ROWS):
+                some = batch.slice(start, DECODED_ROWS)
+                # One list of Python integers at a time.
+                raw = [library.decode_bytes(ids.as_py() or []) for ids in some.column("ids")]
+                yield pa.RecordBatch.from_arrays(
+                    [*some.columns, pa.array(raw, pa.binary())],
+                    names=[*some.schema.names, "decoded"],
+                )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
     return encoded.mapInArrow(decode, f"{fields}, decoded binary")
