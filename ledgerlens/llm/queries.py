@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, exact_dedup, packing, pii, token_files
+from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, token_files, warc
 from ledgerlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    merged = warc.merge_index(warc.read_archives(spark, path))
+    return merged.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(
         _table(spark, sf_dir, "documents"),
@@ -46,6 +55,13 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-files")
     token_files.write_token_files(
@@ -62,6 +78,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     encoded = bpe.encode_texts(_table(spark, sf_dir, "documents"), ranks, pattern)
@@ -75,16 +95,38 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op3_warc": op3_warc,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
         "op6_personal_data": op6_personal_data,
+        "op7_simhash": op7_simhash,
         "op8_token_files": op8_token_files,
+        "op9_embeddings": op9_embeddings,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
 def answers() -> dict[str, str]:
     return {
+        "op3_warc": """
+            WITH p AS (
+                SELECT page_id, coalesce(html, '') AS html, url FROM pages),
+            t AS (
+                SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest,
+                       CASE WHEN strlen(html) >= 100
+                            THEN min(page_id) OVER (PARTITION BY sha256(html)) END AS first,
+                       regexp_replace(regexp_replace(lower(coalesce(url, '')), '#.*$', ''),
+                           '^[a-z][a-z0-9+.-]*://', '') AS plain
+                FROM p)
+            SELECT page_id, payload_bytes, payload_digest,
+                   CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+                   CASE WHEN first <> page_id THEN first END AS refers_to,
+                   concat(array_to_string(list_reverse(string_split(regexp_replace(
+                       regexp_extract(plain, '^[^/?:]*'), '^www[0-9]*[.]', ''), '.')), ','), ')',
+                       regexp_replace(plain, '^[^/?:]*', '')) AS url_key,
+                   strftime(make_timestamp(1704067200000000 + page_id * 1000000),
+                       '%Y-%m-%dT%H:%M:%SZ') AS captured
+            FROM t""",
         "op5_exact_dedup": r"""
             WITH t AS (
                 SELECT doc_id, sha256(regexp_replace(coalesce(text, ''),
@@ -93,4 +135,19 @@ def answers() -> dict[str, str]:
             SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                    doc_id = min(doc_id) OVER same AS kept, text_sha256
             FROM t WINDOW same AS (PARTITION BY text_sha256)""",
+        "op9_embeddings": """
+            WITH RECURSIVE v AS (
+                SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+                WHERE label IS NOT NULL AND embedding IS NOT NULL),
+            pairs AS (
+                SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b USING (label)
+                WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+            reach AS (
+                SELECT vec_id AS a, vec_id AS b FROM embeddings
+                UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+            component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+            linked AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a)
+            SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+                   vec_id = component_id AS kept
+            FROM component LEFT JOIN linked USING (vec_id)""",
     }
