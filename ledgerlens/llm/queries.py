@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, token_files, warc
+from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, suffix_dedup, token_files, warc
 from ledgerlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.repeated_strings(_table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -95,6 +106,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_suffix_dedup": op1_suffix_dedup,
         "op3_warc": op3_warc,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
