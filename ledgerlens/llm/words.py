@@ -12,11 +12,27 @@ import pyarrow.compute as pc
 #: space there may differ between versions of the character tables.
 _UNUSUAL = re.compile("[^\x09\x0a\x0d\x20-\x7e\xa1-ɏ]")
 
-#: A space at the edge of the text or beside other white space: no safe place to cut.
-_LOOSE = re.compile(r" \s|\s |^ | $")
+#: Characters of ASCII that are unusual.
+_CONTROL = re.compile("[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
 
-#: Words remembered by a Python worker (about 250 bytes each).
-REMEMBERED = 300_000
+#: White space beside a space: no safe place to cut.
+_LOOSE = tuple(pair for other in " \t\n\r" for pair in (f" {other}", f"{other} "))
+
+
+def cuttable(text: str) -> bool:
+    """Whether all spaces of a text are safe places to cut it."""
+    if not text.isascii() and _UNUSUAL.search(text):
+        return False
+    if text.startswith(" ") or text.endswith(" ") or any(pair in text for pair in _LOOSE):
+        return False
+    return not (text.isascii() and _CONTROL.search(text))
+
+
+#: Words remembered by a Python worker (about 200 bytes each).
+REMEMBERED = 1_000_000
+
+#: Words not seen before that are handed to the library as one text.
+_TOGETHER = 256
 
 
 class Encoder:
@@ -35,16 +51,30 @@ class Encoder:
         self.library.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, dtype="<u4").tobytes() for one in found]
+        vocabulary = self.library.get_vocab()
+        self.leads = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.leads[[number for token, number in vocabulary.items() if token.startswith("Ġ")]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(one.ids, dtype="<u4") for one in found]
+
+    def _learn(self, fresh: list[str]) -> None:
+        """Encode words, many in one text: a word begins where a token leads with a space."""
+        for start in range(0, len(fresh), _TOGETHER):
+            some = fresh[start : start + _TOGETHER]
+            ids = self._encode([" " + " ".join(some)])[0]
+            raw, edges = ids.tobytes(), np.flatnonzero(self.leads[ids]) * 4
+            ends = [*edges[1:].tolist(), len(raw)]
+            for word, begin, end in zip(some, edges.tolist(), ends, strict=True):
+                self.known[word] = raw[begin:end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For every text its ids as little-endian unsigned 32-bit integers."""
         split: list[list[str] | None] = []
         needed: set[str] = set()
         for text in texts:
-            if _UNUSUAL.search(text) or _LOOSE.search(text):
+            if not cuttable(text):
                 split.append(None)
                 continue
             words = text.split(" ")
@@ -52,13 +82,12 @@ class Encoder:
             split.append(words)
         missing = needed - self.known.keys()
         if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = needed
-        fresh = list(missing)
-        for start in range(0, len(fresh), 20_000):
-            some = fresh[start : start + 20_000]
-            self.known.update(zip(some, self._encode([" " + word for word in some])))
-        first = self._encode([words[0] if words else text for words, text in zip(split, texts)])
+            self.known = {word: self.known[word] for word in needed - missing}
+        self._learn(list(missing))
+        first = [
+            ids.tobytes()
+            for ids in self._encode([words[0] if words else text for words, text in zip(split, texts)])
+        ]
         known = self.known
         return [
             head if words is None else head + b"".join([known[word] for word in words[1:]])
