@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, suffix_dedup, token_files, warc
+from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, suffix_dedup, token_files, toxicity, warc
 from ledgerlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,21 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels").where(~_held_out()))
+    return toxicity.score_texts(docs, model).select(
+        "doc_id",
+        F.coalesce(_held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.REJECT_AT).cast("int").alias("predicted"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "archives")
     warc.write_archives(_table(spark, sf_dir, "pages"), path)
@@ -107,6 +122,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_toxicity": op2_toxicity,
         "op3_warc": op3_warc,
         "op4_packing": op4_packing,
         "op5_exact_dedup": op5_exact_dedup,
