@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.staging import Stage, as_text, row_number
+from ledgerlens.llm.staging import ROW, Stage, as_text, row_number, without
 
 #: A chunk ends after a vowel and a non-letter, between 512 and 4096 characters from its start.
 CHUNK = r"(?s).{512,4096}?(?<=[aeiou][^\p{L}])|(?s).{1,4096}"
@@ -111,7 +111,6 @@ def exact_duplicates(
 
 def keep_first(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = exact_duplicates(docs, key, text).where(~F.col("kept")).select("_row")
-    return (
-        docs.withColumn("_row", row_number()).join(dropped, "_row", "left_anti").drop("_row")
-    )
+    found = exact_duplicates(docs, key, text)
+    dropped = Stage(found.where(~F.col("kept")).select(F.col("_row").alias(ROW)), "dropped-copies").frame
+    return without(docs, dropped)

@@ -199,9 +199,8 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     check; account numbers and national ids only from a score of ``REPORT_AT`` on, which
     nearby words raise. Repeated rows each get their spans. A column of the same name is replaced.
     """
-    plain = docs.drop("pii_spans").withColumn("_text", as_text(text))
-    every = F.flatten(F.array(*[_spans(i, kind, F.col("_text")) for i, kind in enumerate(KINDS)]))
-    return plain.withColumn("pii_spans", F.array_sort(every)).drop("_text")
+    every = F.flatten(F.array(*[_spans(i, kind, as_text(text)) for i, kind in enumerate(KINDS)]))
+    return docs.withColumn("pii_spans", F.array_sort(every))
 
 
 def of_kind(*kinds: str):

@@ -12,6 +12,7 @@ leaves a shard is a spanning forest of its links, never all pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.sorted_groups import groups
-from ledgerlens.llm.staging import Stage, as_bytes, row_number, ship_package
+from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.operators.components import connected_components
 
 #: Fingerprints that one part of a divided shard holds.
@@ -34,24 +35,27 @@ _LEAF = 48
 _SEED = 42
 
 
-def fingerprint(text: bytes, words: int) -> int:
-    """Majority bits of the XXH64 hashes of all word shingles, repeats included."""
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """The XXH64 hashes of all word shingles, repeats included; none for a text without words."""
     found = text.lower().split()  # ASCII letters and ASCII white space only, being bytes
     if not found:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(found)
     ends = [end - 1 for end in accumulate(len(word) + 1 for word in found)]
     size = min(words, len(found))
     starts = [0, *(end + 1 for end in ends[: len(found) - size])]
     hashed = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (hashed(joined[a:b], _SEED) for a, b in zip(starts, ends[size - 1 :])), np.uint64, len(starts)
     )
-    counts = np.zeros(64, dtype=np.int64)
-    for start in range(0, len(hashes), 1 << 17):
-        raw = hashes[start : start + (1 << 17)].astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.uint32)
-    bits = (counts * 2 > len(hashes)).astype(np.uint8)
+
+
+def fingerprint(text: bytes, words: int) -> int:
+    """Majority bits of the hashes of all word shingles; 0 without words."""
+    hashes = shingle_hashes(text, words)
+    if not len(hashes):
+        return 0
+    bits = (_bit_totals(hashes) * 2 > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
@@ -79,6 +83,40 @@ def fingerprints(
     return plain.mapInArrow(build, "_key bigint, _row bigint, fp bigint")
 
 
+def _bit_totals(hashes: np.ndarray) -> np.ndarray:
+    """How often each of the 64 bits is set, by carry-save addition of whole words."""
+    totals, weight, level = np.zeros(64, dtype=np.int64), 1, hashes
+    while len(level):
+        carried = []
+        while len(level) > 8:
+            third = len(level) // 3
+            a, b, c = level[:third], level[third : 2 * third], level[2 * third : 3 * third]
+            half = a ^ b
+            carried.append((a & b) | (c & half))
+            level = np.concatenate([half ^ c, level[3 * third :]])
+        raw = level.astype("<u8").view(np.uint8).reshape(-1, 8)
+        totals += weight * np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        level = np.concatenate(carried) if carried else level[:0]
+        weight *= 2
+    return totals
+
+
+def wide_fingerprint(text: bytes, words: int, size: int) -> np.ndarray:
+    """``size`` words of 64 majority bits, each word from another mixing of the shingle hashes."""
+    hashes = shingle_hashes(text, words)
+    found = np.zeros(size, dtype=np.uint64)
+    for number in range(size if len(hashes) else 0):
+        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (number + 1)) & ((1 << 64) - 1))
+        mixed ^= mixed >> np.uint64(30)
+        mixed *= np.uint64(0xBF58476D1CE4E5B9)
+        mixed ^= mixed >> np.uint64(27)
+        mixed *= np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(31)
+        bits = (_bit_totals(mixed) * 2 > len(hashes)).astype(np.uint8)
+        found[number] = np.packbits(bits, bitorder="little").view("<u8")[0]
+    return found
+
+
 class _Forest:
     """Components of a shard's members and the links that made them."""
 
@@ -105,6 +143,11 @@ class _Forest:
         return all((self.component[some] == own).all() for some in members)
 
 
+def _distance(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Differing bits of fingerprints of one or more words (the last axis)."""
+    return np.bitwise_count(one ^ other).sum(axis=-1, dtype=np.int32)
+
+
 def near_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between distinct fingerprints within the radius.
 
@@ -112,15 +155,16 @@ def near_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
     by their distance to it, and members meet only in groups whose distances differ by no more
     than the radius. What is one component already needs no further search.
     """
+    values = values.reshape(len(values), -1)
     forest = _Forest(len(values))
 
     def direct(nodes: np.ndarray, queries: np.ndarray) -> None:
-        near = np.bitwise_count(values[nodes][:, None] ^ values[queries][None, :]) <= radius
+        near = _distance(values[nodes][:, None], values[queries][None, :]) <= radius
         for node, row in zip(nodes, near):
             forest.link(int(node), queries[row])
 
     def children(parent: int, members: np.ndarray) -> list[tuple[int, np.ndarray]]:
-        distance = np.bitwise_count(values[members] ^ values[parent])
+        distance = _distance(values[members], values[parent])
         forest.link(parent, members[distance <= radius])
         return [(int(d), members[distance == d]) for d in np.unique(distance)]
 
@@ -146,11 +190,11 @@ def near_links(values: np.ndarray, radius: int) -> list[tuple[int, int]]:
             direct(nodes, queries)
             continue
         parent = int(nodes[0])
-        away = np.bitwise_count(values[queries] ^ values[parent])
+        away = _distance(values[queries], values[parent])
         forest.link(parent, queries[away <= radius])
-        distance = np.bitwise_count(values[nodes[1:]] ^ values[parent])
+        distance = _distance(values[nodes[1:]], values[parent])
         for d in np.unique(distance):
-            follow = np.abs(away.astype(np.int16) - int(d)) <= radius
+            follow = np.abs(away - int(d)) <= radius
             work.append((nodes[1:][distance == d], queries[follow]))
     return forest.links
 
@@ -161,6 +205,11 @@ def _cuts(bits: int, parts: int) -> list[tuple[int, int]]:
     return [(low, high - low) for low, high in zip(edges, edges[1:])]
 
 
+def _word_bytes(column: str) -> Column:
+    """A long as its eight bytes, lowest first."""
+    return F.unhex(F.lpad(F.hex(column), 16, "0"))
+
+
 def _keys(value: Column, radius: int) -> Column:
     """The (r+1)^2 keys of a fingerprint: a block, and a part of what remains without it."""
     found = []
@@ -177,15 +226,18 @@ def _keys(value: Column, radius: int) -> Column:
     return F.array(*found)
 
 
-def _shard_links(classes: DataFrame, radius: int, shard: int) -> DataFrame:
-    """src, dst (names of classes, src > dst): links that connect what is near."""
-    keyed = classes.select("fp", "name", F.explode(_keys(F.col("fp"), radius)).alias("cell"))
+def _shard_links(keyed: DataFrame, radius: int, shard: int, counts: DataFrame | None = None) -> DataFrame:
+    """src, dst (names, src > dst): links that connect what is near among rows sharing a cell.
+
+    ``keyed`` has cell, fp (binary, 8 bytes a word) and name; ``counts`` the rows per cell.
+    """
+    if counts is None:
+        counts = keyed.groupBy("cell").count()
     # Counted by partial sums; only keys beyond a shard are listed, and usually none is.
     crowded = Stage(
-        keyed.groupBy("cell")
-        .count()
-        .where(F.col("count") > shard)
-        .select("cell", F.ceil(F.col("count") / shard).cast("int").alias("parts")),
+        counts.where(F.col("count") > shard).select(
+            "cell", F.ceil(F.col("count") / shard).cast("int").alias("parts")
+        ),
         "crowded-keys",
     ).frame
     parts = F.coalesce("parts", F.lit(1))
@@ -205,24 +257,29 @@ def _shard_links(classes: DataFrame, radius: int, shard: int) -> DataFrame:
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        source, target = [], []
+        source: list[int] = []
+        target: list[int] = []
+
+        def links() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(source, pa.int64()), pa.array(target, pa.int64())], ["src", "dst"]
+            )
+
         for group in groups(batches, ["cell", "pair"], at_least=2):
-            values = group.column("fp").to_numpy().view(np.uint64)
+            raw = b"".join(group.column("fp").to_pylist())
+            values = np.frombuffer(raw, dtype="<u8").reshape(group.num_rows, -1)
             names = group.column("name").to_numpy()
             if len(values) == 2:
-                near = int(values[0] ^ values[1]).bit_count() <= radius
+                near = int(_distance(values[0], values[1])) <= radius
                 found = [(0, 1)] if near else []
             else:
                 found = near_links(values, radius)
-            for a, b in found:
-                source.append(max(names[a], names[b]))
-                target.append(min(names[a], names[b]))
+            source += [int(max(names[a], names[b])) for a, b in found]
+            target += [int(min(names[a], names[b])) for a, b in found]
             if len(source) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(source), pa.array(target)], ["src", "dst"])
+                yield links()
                 source, target = [], []
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(source, pa.int64()), pa.array(target, pa.int64())], ["src", "dst"]
-        )
+        yield links()
 
     return (
         met.repartition("cell", "pair")
@@ -266,7 +323,10 @@ def near_duplicates(
         .where("_key > name")
         .select(F.col("_key").alias("src"), F.col("name").alias("dst"))
     )
-    links = Stage(_shard_links(classes, radius, shard).union(same).distinct(), "links").frame
+    keyed = classes.select(
+        F.explode(_keys(F.col("fp"), radius)).alias("cell"), _word_bytes("fp").alias("fp"), "name"
+    )
+    links = Stage(_shard_links(keyed, radius, shard).union(same).distinct(), "links").frame
     ends = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     components = connected_components(ends, links).select(
         F.col("id").alias("name"), "component"
@@ -286,15 +346,92 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The first row of each group of near duplicates, with all columns; rows without key stay."""
-    found = near_duplicates(docs, key, text, **how)
-    leaders = found.where(F.col(key) == F.col("component_id")).groupBy(key).agg(
-        F.min("_row").alias("_row")
-    )
-    dropped = (
-        found.where(F.col(key).isNotNull())
-        .select("_row")
-        .join(leaders.select("_row"), "_row", "left_anti")
+#: Words of the fingerprint that judges similarity, and of the one that finds candidates.
+JUDGE_WORDS, FIND_WORDS = 16, 12
+
+#: Bits of a band; candidates share all bits of one of the FIND_WORDS * 64 // BAND_BITS bands.
+BAND_BITS = 24
+
+
+def _radius(similarity: float, bits: int) -> int:
+    """Bits in which fingerprints of two shingle sets of this Jaccard similarity differ."""
+    cosine = 2 * similarity / (1 + similarity)
+    return round(bits * math.acos(cosine) / math.pi)
+
+
+def similar_documents(
+    docs: DataFrame,
+    text: str = "text",
+    words: int = 5,
+    similarity: float = 0.8,
+    shard: int = SHARD,
+) -> DataFrame:
+    """_row and group (the smallest _row reachable) of rows similar to another row.
+
+    Documents are linked from a Jaccard similarity of their word shingles on, as a wide
+    fingerprint of them estimates it (standard error about 0.025 at 0.8). 64 bits are too few for
+    that: with three differing bits they find copies of a similarity of about 0.97 and above.
+    Candidates share a band of a second fingerprint, of shorter shingles; a pair at 0.8 does with a
+    probability of about 0.95, one at 0.85 of 0.98. Texts without words are like no other.
+    """
+    ship_package(docs.sparkSession)
+    bands = FIND_WORDS * 64 // BAND_BITS
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = np.uint64(1) << np.arange(BAND_BITS, dtype=np.uint64)
+        for batch in batches:
+            rows, judges, cells = [], [], []
+            for row, raw in zip(batch.column("_row").to_pylist(), batch.column("_text")):
+                data = raw.as_py()
+                judge = wide_fingerprint(data, words, JUDGE_WORDS)
+                if not judge.any():
+                    continue
+                finder = wide_fingerprint(data, min(words, 3), FIND_WORDS)
+                bits = np.unpackbits(finder.astype("<u8").view(np.uint8), bitorder="little")
+                banded = bits[: bands * BAND_BITS].reshape(bands, BAND_BITS).astype(np.uint64) @ weights
+                rows.append(row)
+                judges.append(judge.astype("<u8").tobytes())
+                cells.append((banded + (np.arange(bands, dtype=np.uint64) << np.uint64(40))).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(rows, pa.int64()),
+                    pa.array(judges, pa.binary()),
+                    pa.array(cells, pa.list_(pa.int64())),
+                ],
+                names=["_row", "fp", "cells"],
+            )
+
+    plain = docs.select(row_number().alias("_row"), as_bytes(text).alias("_text"))
+    marked = Stage(
+        plain.mapInArrow(build, "_row bigint, fp binary, cells array<bigint>"), "wide-fingerprints"
+    ).frame
+    # Equal fingerprints are one class, however many rows have them.
+    classes = Stage(
+        marked.groupBy("fp").agg(F.min(F.struct("_row", "cells")).alias("one"), F.count(F.lit(1)).alias("copies")),
+        "wide-classes",
+    ).frame
+    cells = classes.select(F.explode("one.cells").alias("cell"), F.col("one._row").alias("name"))
+    shared = Stage(cells.groupBy("cell").count().where("count > 1"), "shared-bands").frame
+    # Most bands belong to one class: fingerprints travel only to bands that are shared.
+    places = cells.join(shared.select("cell"), "cell", "left_semi")
+    keyed = places.join(classes.select(F.col("one._row").alias("name"), "fp"), "name")
+    radius = _radius(similarity, JUDGE_WORDS * 64)
+    links = Stage(_shard_links(keyed, radius, shard, shared), "links").frame
+    ends = links.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    components = connected_components(ends, links)
+    grouped = (
+        classes.join(components.withColumnRenamed("id", "name"), F.col("one._row") == F.col("name"), "left")
+        .where("name is not null or copies > 1")
+        .select("fp", F.coalesce("component", "one._row").alias("group"))
     )
-    return docs.withColumn("_row", row_number()).join(dropped, "_row", "left_anti").drop("_row")
+    return marked.select("_row", "fp").join(grouped, "fp").select("_row", "group")
+
+
+def keep_one(docs: DataFrame, text: str = "text", **how) -> DataFrame:
+    """The first row of each group of similar documents, with all its columns.
+
+    Rows that are similar to no other stay, as do null texts and texts without words.
+    """
+    found = similar_documents(docs, text, **how)
+    dropped = Stage(found.where(F.col("_row") != F.col("group")).select(F.col("_row").alias(ROW)), "similar-rows").frame
+    return without(docs, dropped)

@@ -57,6 +57,15 @@ def as_text(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+#: Column that identifies rows inside an operator; not a likely name of a given column.
+ROW = "__ledgerlens_row"
+
+
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose identity (``row_number``) is not in column ROW of ``dropped``."""
+    return docs.withColumn(ROW, row_number()).join(dropped, ROW, "left_anti").drop(ROW)
+
+
 def row_number() -> Column:
     """An identity for every row of a table, the same whenever the same files are read."""
     return F.monotonically_increasing_id()

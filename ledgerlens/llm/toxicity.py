@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.staging import Stage, as_bytes, ship_package
+from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.llm.string_kernel import Machine, fit
 
 #: Labelled texts to learn from, chosen by a hash of their ids; the only bounds on learning.
@@ -94,9 +94,6 @@ class Model:
     slope: float
     offset: float
 
-    def score(self, decision: float) -> float:
-        return 1 / (1 + math.exp(-max(-700.0, min(700.0, self.slope * decision + self.offset))))
-
 
 class _Scorer:
     """Decisions of a worker, remembered by word."""
@@ -386,8 +383,22 @@ def score_texts(
     plain = docs.select(F.col(key).alias("_key"), as_bytes(text).alias("_text"))
     kind = plain.schema["_key"].dataType.simpleString()
     decided = _decisions(plain, model.machine, f"_key {kind}")
+    return decided.select(F.col("_key").alias(key), _score(model).alias("score"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, with all columns, null texts included."""
+    model = learn(docs, labels, key, text)
+    marked = docs.select(row_number().alias("_row"), as_bytes(text).alias("_text"))
+    ship_package(docs.sparkSession)
+    decided = _decisions(marked, model.machine, "_row bigint")
+    toxic = Stage(
+        decided.where(_score(model) >= REJECT_AT).select(F.col("_row").alias(ROW)), "toxic-rows"
+    ).frame
+    return without(docs, toxic)
+
+
+def _score(model: Model) -> Column:
     exponent = F.lit(model.slope) * F.col("decision") + F.lit(model.offset)
-    return decided.select(
-        F.col("_key").alias(key),
-        (F.lit(1.0) / (F.lit(1.0) + F.exp(F.greatest(F.least(-exponent, F.lit(700.0)), F.lit(-700.0))))).alias("score"),
-    )
+    bounded = F.greatest(F.least(-exponent, F.lit(700.0)), F.lit(-700.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(bounded))
