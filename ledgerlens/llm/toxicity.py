@@ -357,7 +357,8 @@ def _clean_counts(vocabulary: DataFrame, listed: DataFrame) -> dict[str, int]:
 def _line(rated: list[tuple[float, int]]) -> tuple[float, float]:
     """Slope and offset of a logistic curve that is REJECT_AT where the classes part best.
 
-    The place is the middle of the widest gap among the cuts of best balanced accuracy.
+    The place is the middle of the widest gap among the cuts of best balanced accuracy. Where no
+    cut is better than chance, every text scores 0.5 and none is rejected.
     """
     if len({toxic for _, toxic in rated}) < 2:
         return 0.0, 0.0
@@ -369,6 +370,8 @@ def _line(rated: list[tuple[float, int]]) -> tuple[float, float]:
     ends = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
     gaps, cost = np.diff(ends), missed + blamed
     cost[gaps <= 0] = np.inf
+    if cost.min() > 1 - 1e-9:  # no better than chance
+        return 0.0, 0.0
     best = np.flatnonzero(cost <= cost.min() + 1e-12)
     at = best[np.argmax(gaps[best])]
     middle = (ends[at] + ends[at + 1]) / 2
