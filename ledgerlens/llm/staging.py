@@ -33,7 +33,7 @@ class Stage:
     def __init__(self, frame: DataFrame, name: str):
         spark = frame.sparkSession
         self.path = shared_folder(spark, name)
-        frame.write.option("compression", "zstd").parquet(self.path)
+        frame.write.option("compression", "snappy").parquet(self.path)
         self.frame = spark.read.schema(frame.schema).parquet(self.path)
 
     def drop(self) -> None:
