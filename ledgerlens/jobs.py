@@ -11,7 +11,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.operators.trailing import HEAVY_ROWS
 from ledgerlens.plans import evaluation, features, models, quality, rules
 from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
 from ledgerlens.sources import catalog, files, pattern_text, warehouse
@@ -77,14 +76,12 @@ def describe(spark: SparkSession, database: str) -> dict[str, DataFrame]:
     }
 
 
-def build_features(
-    spark: SparkSession, database: str, folder: str, heavy_rows: int = HEAVY_ROWS
-) -> None:
+def build_features(spark: SparkSession, database: str, folder: str) -> None:
     """Stage 3a: feature table, encoded train and test rows, fitted encoding."""
     ledger = catalog.read_table(spark, f"{database}.{LEDGER}")
     quality.require_rows(ledger, LEDGER)
     location = f"{folder}/features"
-    table = features.write_features(features.build_features(ledger, heavy_rows), location)
+    table = features.write_features(features.build_features(ledger), location)
     catalog.register_parquet(spark, f"{database}.features", location)
     train, test = features.temporal_split(table, features.temporal_cutoff(table))
     quality.require_positives(train)

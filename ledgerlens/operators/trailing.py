@@ -1,15 +1,11 @@
-"""Trailing time-window statistics per account that survive very large accounts.
+"""Trailing time-window statistics per account, linear in rows for accounts of any size.
 
 Every row gets statistics over the rows of the same account in the last 24 hours (and last
-hour), itself and its peers of the same second included. Two ways give the same numbers:
-
-* ``direct``: RANGE windows per account; one shuffle, right for ordinary accounts. Its cost
-  is rows x rows-per-frame, and a whole account sits in one task.
-* ``bucketed``: for accounts above ``heavy_rows``. Time is cut into buckets as long as the
-  window, so a trailing frame is the tail of one bucket plus the head of the next. Each row
-  turns into a few additive events, events are merged per (account, bucket, second) on the
-  map side, and one forward and one backward running aggregate per bucket give the answer.
-  A bucket holds at most about 170,000 merged seconds, however many rows it stands for.
+hour), itself and its peers of the same second included. Time is cut into buckets as long as the
+window, so a trailing frame is the tail of one bucket plus the head of the next. Each row turns
+into a few additive events, events are merged per (account, bucket, second) on the map side, and
+one forward and one backward running aggregate per bucket give the answer. A bucket holds at most
+about 170,000 merged seconds, however many rows it stands for.
 """
 
 from __future__ import annotations
@@ -20,18 +16,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.clock import DAY_SECONDS, HOUR_SECONDS
-from ledgerlens.operators.profiles import account_profile
-from ledgerlens.session import materialise, store
 
 #: A trailing frame [t - 86400, t] covers this many distinct seconds.
 SPAN = DAY_SECONDS + 1
 HOUR_SPAN = HOUR_SECONDS + 1
 
-#: Accounts with more rows than this on one side take the bucketed way.
-HEAVY_ROWS = 10_000
+#: Amounts are held in units of their last decimal, so that their squares are whole numbers.
+UNITS = 10_000
 
-#: Largest list of heavy accounts that is sent to every executor.
-BROADCAST_ACCOUNTS = 1_000_000
+#: Stands for a square that no decimal holds: every sum with it overflows.
+_TOO_LARGE = "9" * 38
 
 
 @dataclass(frozen=True)
@@ -83,58 +77,36 @@ def sample_deviation(
 ) -> Column:
     """Sample standard deviation from count, sum and sum of squares; 0 for a single row.
 
-    The numerator is taken in decimals, so equal or nearly equal amounts do not cancel. Only
-    where it outgrows a decimal (NULL) do the doubles step in.
+    ``total`` and ``squares`` count units of the last decimal, so the numerator is a whole
+    number and exact. Only where it outgrows 38 digits (NULL) do the doubles step in.
     """
     rows = count.cast("decimal(18,0)")
     exact = F.try_subtract(F.try_multiply(rows, squares), F.try_multiply(total, total))
-    rough = count * rough_squares - total.cast("double") * total.cast("double")
+    whole = total.cast("double")
+    rough = count * rough_squares - whole * whole
     numerator = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
     freedom = count.cast("double") * (count - F.lit(1)).cast("double")
-    return F.when(count > 1, F.sqrt(numerator / F.nullif(freedom, F.lit(0.0)))).otherwise(
-        F.lit(0.0)
-    )
+    return F.when(
+        count > 1, F.sqrt(numerator / F.nullif(freedom, F.lit(0.0))) / F.lit(float(UNITS))
+    ).otherwise(F.lit(0.0))
 
 
 def _finish(side: TrailingSide, found: dict[str, Column]) -> list[Column]:
-    """Named outputs from the raw statistics, identical for both ways."""
+    """Named outputs from the raw statistics."""
     count, total = found["count_24h"], found["sum_24h"]
     outputs = {
         **found,
         "mean_24h": total.cast("double") / count,
         "std_24h": sample_deviation(
-            count, total, found["squares_24h"], found["rough_24h"]
+            count,
+            (total * F.lit(UNITS)).cast("decimal(38,0)"),
+            found["squares_24h"],
+            found["rough_24h"],
         ),
     }
     return [outputs[name.removeprefix(f"{side.prefix}_")].alias(name) for name in side.columns()]
 
 
-def direct(frame: DataFrame, side: TrailingSide) -> DataFrame:
-    per_account = Window.partitionBy(side.account).orderBy("ts_unix")
-    day = per_account.rangeBetween(-DAY_SECONDS, 0)
-    amount = F.col(side.amount)
-    raw = {
-        "count_24h": F.count(F.lit(1)).over(day),
-        "sum_24h": F.sum(amount).over(day),
-        "squares_24h": F.try_sum(amount * amount).over(day),
-        "rough_24h": F.sum(amount.cast("double") * amount.cast("double")).over(day),
-    }
-    if side.extremes:
-        raw["max_24h"] = F.max(amount).over(day)
-        raw["min_24h"] = F.min(amount).over(day)
-    for stem, column in side.distinct.items():
-        raw[f"unique_{stem}_24h"] = F.size(F.collect_set(column).over(day))
-    if side.hourly:
-        hour = per_account.rangeBetween(-HOUR_SECONDS, 0)
-        raw["count_1h"] = F.count(F.lit(1)).over(hour)
-        raw["sum_1h"] = F.sum(amount).over(hour)
-    # One projection of window columns: one exchange and one sort serve all frames.
-    with_raw = frame.select("*", *[column.alias(f"_{stem}") for stem, column in raw.items()])
-    return with_raw.select(
-        *frame.columns, *_finish(side, {stem: F.col(f"_{stem}") for stem in raw})
-    )
-
-
 def _bucket(second: Column) -> Column:
     return F.floor(second / F.lit(SPAN)).cast("long")
 
@@ -149,7 +121,7 @@ def _amount_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
     second, amount = F.col("ts_unix"), F.col(side.amount)
     own = _bucket(second)
     zero_amount = F.lit(0).cast("decimal(20,4)")
-    zero_square = F.lit(0).cast("decimal(38,6)")
+    zero_square = F.lit(0).cast("decimal(38,0)")
     none = F.lit(None).cast("decimal(20,4)")
     one, zero = F.lit(1), F.lit(0)
 
@@ -169,9 +141,13 @@ def _amount_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
             *[value.alias(name) for name, value in filled.items()],
         )
 
-    square = (amount * amount).cast("decimal(38,6)")
-    rough = amount.cast("double") * amount.cast("double")
     amount = amount.cast("decimal(20,4)")
+    units = (amount * F.lit(UNITS)).cast("decimal(24,0)")
+    square = F.coalesce(
+        F.try_multiply(units, units).cast("decimal(38,0)"),
+        F.lit(_TOO_LARGE).cast("decimal(38,0)"),
+    )
+    rough = units.cast("double") * units.cast("double")
     arrival = event(
         own, second, own=one, f_n=one, f_s=amount, f_q=square, f_r=rough, f_hn=one,
         f_hs=amount, extreme_f=amount,
@@ -238,7 +214,7 @@ def _distinct_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
     )
 
 
-def bucketed(frame: DataFrame, side: TrailingSide) -> DataFrame:
+def per_second(frame: DataFrame, side: TrailingSide) -> DataFrame:
     """One row per account and second of ``frame`` with the statistics of ``side``."""
     amounts = _amount_events(frame, side)
     measures = [name for name in amounts.columns if name not in ("account", "bucket", "pos")]
@@ -313,54 +289,11 @@ def bucketed(frame: DataFrame, side: TrailingSide) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class HeavyAccounts:
-    """Accounts above the row limit on either side, and how many there are per side."""
-
-    accounts: DataFrame  # account, out_deg, in_deg
-    limit: int
-    senders: int
-    receivers: int
-
-    def on(self, side: TrailingSide) -> tuple[DataFrame, int]:
-        """The accounts that are heavy on this side, under the side's column name."""
-        sending = side.account == "from_account"
-        listed = self.accounts.where(F.col("out_deg" if sending else "in_deg") > self.limit)
-        return (
-            listed.select(F.col("account").alias(side.account)),
-            self.senders if sending else self.receivers,
-        )
-
-
-def heavy_accounts(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> HeavyAccounts:
-    """Find the heavy accounts in one scan; the list has at most 2 x rows / heavy_rows rows."""
-    sent, received = F.col("out_deg") > heavy_rows, F.col("in_deg") > heavy_rows
-    listed = materialise(
-        account_profile(ledger, flags=False).where(sent | received)
-    )
-    sizes = listed.agg(F.count_if(sent).alias("s"), F.count_if(received).alias("r")).first()
-    return HeavyAccounts(listed, heavy_rows, sizes["s"], sizes["r"])
-
+def add_trailing(frame: DataFrame, side: TrailingSide, base: DataFrame) -> DataFrame:
+    """Append the statistics of one side to ``frame``.
 
-def add_trailing(
-    frame: DataFrame, side: TrailingSide, base: DataFrame, heavy: HeavyAccounts
-) -> DataFrame:
-    """Append the statistics of one side to ``frame``, choosing the way per account.
-
-    ``base`` holds the same rows without earlier features: the heavy accounts are summarised
-    from it, so that features computed before are not computed again for them.
+    ``base`` holds the same rows without earlier features: accounts are summarised from it, so
+    that features computed before are not computed again. One row per account and second meets
+    the rows of that second, so a large account is spread over its seconds.
     """
-    listed, entries = heavy.on(side)
-    if entries == 0:
-        return direct(frame, side)
-    if entries <= BROADCAST_ACCOUNTS:
-        listed = F.broadcast(listed)
-    if frame is not base:
-        frame = store(frame)  # read by both branches below
-    ordinary = direct(frame.join(listed, side.account, "left_anti"), side)
-    seconds = bucketed(base.join(listed, side.account, "left_semi"), side)
-    # One row per account and second on the right: a heavy account spreads over its seconds.
-    large = frame.join(listed, side.account, "left_semi").join(
-        seconds, [side.account, "ts_unix"]
-    )
-    return ordinary.unionByName(large.select(*ordinary.columns))
+    return frame.join(per_second(base, side), [side.account, "ts_unix"])

@@ -7,16 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.clock import epoch_seconds, is_weekend
+from ledgerlens.functions.clock import DAY_SECONDS, epoch_seconds, is_weekend
 from ledgerlens.functions.labels import currency_bucket
 from ledgerlens.operators.ordering import approximate_time_quantile, time_quantile
-from ledgerlens.operators.trailing import (
-    HEAVY_ROWS,
-    RECEIVER,
-    SENDER,
-    add_trailing,
-    heavy_accounts,
-)
+from ledgerlens.operators.trailing import RECEIVER, SENDER, TrailingSide, add_trailing
 from ledgerlens.plans.quality import require_rows
 from ledgerlens.session import materialise
 
@@ -64,18 +58,30 @@ def add_row_features(ledger: DataFrame) -> DataFrame:
     )
 
 
-def build_features(ledger: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """the ledger with row features and the trailing features of both sides.
+def build_features(
+    ledger: DataFrame, sides: tuple[TrailingSide, ...] = (SENDER, RECEIVER)
+) -> DataFrame:
+    """the ledger with row features and the trailing features of the sides asked for.
 
-    Two wide shuffles in total, one per side. ``is_laundering`` becomes ``label``.
+    ``is_laundering`` becomes ``label``. Nothing is computed while the plan is built.
     """
-    heavy = heavy_accounts(ledger, heavy_rows)
     rows = add_row_features(ledger)
-    features = add_trailing(rows, SENDER, rows, heavy)
-    features = add_trailing(features, RECEIVER, rows, heavy)
+    features = rows
+    for side in sides:
+        features = add_trailing(features, side, rows)
     return features.withColumnRenamed("is_laundering", "label")
 
 
+def recent_rows(ledger: DataFrame, after: int) -> DataFrame:
+    """The rows that trailing frames of rows later than second ``after`` can reach.
+
+    Read before the windows, by day partitions: a split is taken before its features are built.
+    """
+    first = after - DAY_SECONDS
+    day = F.to_date(F.timestamp_seconds(F.lit(first)))
+    return ledger.where((F.col("txn_date") >= day) & (epoch_seconds(F.col("ts")) > first))
+
+
 def first_days(ledger: DataFrame, start: str, days: int) -> DataFrame:
     """The first ``days`` days from ``start``; a range on the partition column."""
     begin = F.to_date(F.lit(start))

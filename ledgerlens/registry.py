@@ -138,11 +138,11 @@ def row_feature_table(ledger: DataFrame) -> DataFrame:
 
 
 def sender_feature_table(ledger: DataFrame) -> DataFrame:
-    return _numbers(features.build_features(ledger), SENDER.columns())
+    return _numbers(features.build_features(ledger, (SENDER,)), SENDER.columns())
 
 
 def receiver_feature_table(ledger: DataFrame) -> DataFrame:
-    return _numbers(features.build_features(ledger), RECEIVER.columns())
+    return _numbers(features.build_features(ledger, (RECEIVER,)), RECEIVER.columns())
 
 
 def _cutoff(ledger: DataFrame) -> int:
@@ -194,7 +194,8 @@ def rule_flag_table(ledger: DataFrame) -> DataFrame:
 
 
 def _test_alerts(ledger: DataFrame) -> DataFrame:
-    return features.temporal_split(_alerts(ledger), _cutoff(ledger))[1]
+    cutoff = _cutoff(ledger)
+    return features.temporal_split(_alerts(features.recent_rows(ledger, cutoff)), cutoff)[1]
 
 
 def rule_metric_table(ledger: DataFrame) -> DataFrame:
@@ -208,14 +209,15 @@ def rule_value_table(ledger: DataFrame) -> DataFrame:
 def _scored(ledger: DataFrame) -> DataFrame:
     """A score that SQL can repeat: recent activity of the sender, squeezed into 0..1."""
     activity_level = F.col("out_count_24h").cast("double")
-    scored = features.build_features(ledger).withColumn(
+    scored = features.build_features(ledger, (SENDER,)).withColumn(
         "proba_positive", activity_level / (activity_level + F.lit(3.0))
     )
     return scored.withColumn("prediction", (F.col("proba_positive") >= PINNED).cast("int"))
 
 
 def _scored_test(ledger: DataFrame) -> DataFrame:
-    return features.temporal_split(_scored(ledger), _cutoff(ledger))[1]
+    cutoff = _cutoff(ledger)
+    return features.temporal_split(_scored(features.recent_rows(ledger, cutoff)), cutoff)[1]
 
 
 def threshold_sweep_table(ledger: DataFrame) -> DataFrame:
@@ -240,10 +242,11 @@ def pinned_threshold_table(ledger: DataFrame) -> DataFrame:
     """M7: calibration on the last tenth of the train rows."""
     seconds = features.add_row_features(ledger).select("ts_unix")
     cutoff = features.temporal_cutoff(seconds)
-    train, _ = features.temporal_split(_scored(ledger), cutoff)
     start = features.temporal_cutoff(
         features.temporal_split(seconds, cutoff)[0], 1.0 - features.CALIBRATION_FRACTION
     )
+    scored = _scored(features.recent_rows(ledger, start))
+    train, _ = features.temporal_split(scored, cutoff)
     return evaluation.pin_threshold(
         features.temporal_split(train, start)[1], SCORE_MODEL, alerts_per_day=ALERTS_PER_DAY
     )

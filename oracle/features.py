@@ -31,17 +31,16 @@ _CUT = "cut AS (SELECT quantile_disc(ts_unix, 0.8) AS at_ FROM rows_)"
 
 
 def _deviation(amount: str, window: str) -> str:
-    """Exact decimal numerator, then one double division and one square root."""
+    """Exact whole numerator in units of the fourth decimal, one double division, one root."""
     n = f"count(*) OVER {window}"
-    total = f"sum({amount}) OVER {window}"
-    squares = f"sum(CAST({amount} * {amount} AS DECIMAL(38,6))) OVER {window}"
+    units = f"CAST({amount} * 10000 AS HUGEINT)"
     numerator = (
-        f"CAST({n} * CAST({squares} AS DECIMAL(38,6)) AS DECIMAL(38,6)) "
-        f"- CAST({total} * {total} AS DECIMAL(38,6))"
+        f"CAST({n} AS HUGEINT) * (sum({units} * {units}) OVER {window}) "
+        f"- (sum({units}) OVER {window}) * (sum({units}) OVER {window})"
     )
     return (
         f"CASE WHEN {n} > 1 THEN sqrt(greatest({double(numerator)}, 0.0::DOUBLE) "
-        f"/ (({n})::DOUBLE * ({n} - 1)::DOUBLE)) ELSE 0.0::DOUBLE END"
+        f"/ (({n})::DOUBLE * ({n} - 1)::DOUBLE)) / 10000.0::DOUBLE ELSE 0.0::DOUBLE END"
     )
 
 

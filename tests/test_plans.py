@@ -63,15 +63,13 @@ def test_profiles_scan_once_and_shuffle_once(stored):
         assert "partial_" in plan
 
 
-def test_features_shuffle_once_per_side(stored):
-    heavy = trailing.heavy_accounts(stored)
-    rows = features.add_row_features(stored)
-    both = trailing.add_trailing(
-        trailing.add_trailing(rows, trailing.SENDER, rows, heavy), trailing.RECEIVER, rows, heavy
+def test_one_side_is_computed_alone_and_late_rows_are_read_alone(stored):
+    sender = plan_of(features.build_features(stored, (trailing.SENDER,)).select("out_count_24h"))
+    assert "in_" not in sender and "amount" not in "".join(
+        line for line in sender.splitlines() if "Window" in line
     )
-    plan = plan_of(both)
-    assert plan.count("FileScan") == 1
-    assert plan.count("Exchange hashpartitioning") == 2
+    plan = plan_of(features.recent_rows(stored, 1_706_000_000))
+    assert re.search(r"PartitionFilters: \[[^\]]*txn_date", plan)
 
 
 def test_corridor_reports_do_not_join_the_ledger(stored):
