@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.plans import evaluation, features, models, quality, rules
 from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
+from ledgerlens.session import discard_staged, staged_count
 from ledgerlens.sources import catalog, files, pattern_text, warehouse
 
 
@@ -24,13 +25,27 @@ class RawPaths:
     timestamp_format: str = files.RAW_TIMESTAMP
 
 
-def load(spark: SparkSession, raw: RawPaths, database: str, until: str | None = None) -> None:
-    """Stage 1: raw files to warehouse tables. Schemes come as attempt-block text."""
-    transfers, _ = warehouse.load_transfers(
-        files.read_transfers(spark, raw.transfers, raw.timestamp_format)
+def load(
+    spark: SparkSession,
+    raw: RawPaths,
+    database: str,
+    until: str | None = None,
+    strict: bool = True,
+) -> None:
+    """Stage 1: raw files to warehouse tables. Schemes come as attempt-block text.
+
+    Rows that break a constraint fail the job, or go to ``<ledger>_rejects`` if not ``strict``.
+    """
+    staged = staged_count()
+    transfers, rejected = warehouse.load_transfers(
+        files.read_transfers(spark, raw.transfers, raw.timestamp_format), strict
     )
+    if rejected is not None:
+        _save(rejected, f"{database}.{LEDGER}_rejects")
     warehouse.save_ledger(warehouse.with_date(transfers, until), f"{database}.{LEDGER}")
     parsed = pattern_text.parse_scheme_text(spark, raw.schemes)
+    # Lines that are no transfer are kept apart, with the reason, and counted by ``describe``.
+    _save(parsed.rejects, f"{database}.{SCHEMES}_rejects")
     typed = pattern_text.typed_scheme_rows(parsed, raw.timestamp_format)
     quality.assert_valid(typed).write.mode("overwrite").format("parquet").saveAsTable(
         f"{database}.{SCHEMES}"
@@ -38,6 +53,11 @@ def load(spark: SparkSession, raw: RawPaths, database: str, until: str | None =
     files.read_accounts(spark, raw.accounts).write.mode("overwrite").format(
         "parquet"
     ).saveAsTable(f"{database}.{ACCOUNTS}")
+    discard_staged(staged)
+
+
+def _save(frame: DataFrame, table: str) -> None:
+    frame.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
 def run_reports(
@@ -80,19 +100,26 @@ def build_features(spark: SparkSession, database: str, folder: str) -> None:
     """Stage 3a: feature table, encoded train and test rows, fitted encoding."""
     ledger = catalog.read_table(spark, f"{database}.{LEDGER}")
     quality.require_rows(ledger, LEDGER)
+    staged = staged_count()
     location = f"{folder}/features"
     table = features.write_features(features.build_features(ledger), location)
     catalog.register_parquet(spark, f"{database}.features", location)
     train, test = features.temporal_split(table, features.temporal_cutoff(table))
     quality.require_positives(train)
     priors = features.bank_priors(train)
-    encoding, train, test = models.encode(
-        features.join_priors(train, priors), features.join_priors(test, priors)
+    train, test = features.join_priors(train, priors), features.join_priors(test, priors)
+    # The encoding leaves rows with a NULL feature out: say how many.
+    skipped = [("train", models.skipped_rows(train)), ("test", models.skipped_rows(test))]
+    _save(
+        spark.createDataFrame(skipped, "part string, skipped_rows bigint"),
+        f"{database}.skipped_rows",
     )
+    encoding, train, test = models.encode(train, test)
     for name, part in (("train", train), ("test", test)):
         files.write_parquet(part, f"{folder}/{name}_parquet")
         files.write_training_json(spark.read.parquet(f"{folder}/{name}_parquet"), f"{folder}/{name}")
     models.save_model(encoding, f"{folder}/feature_pipeline")
+    discard_staged(staged)
 
 
 def _publish(spark: SparkSession, frame: DataFrame, database: str, name: str, folder: str) -> None:
@@ -120,6 +147,7 @@ def train_and_evaluate(
     train = spark.read.parquet(f"{folder}/train_parquet")
     test = spark.read.parquet(f"{folder}/test_parquet")
     schemes = spark.table(f"{database}.{SCHEMES}")
+    staged = staged_count()
     inner, calibration = models.calibration_split(train)
     balanced = models.balance_classes(inner)
     results = []
@@ -127,13 +155,13 @@ def train_and_evaluate(
         trained = models.cross_validate(candidate, balanced)
         short = candidate.name.split("_")[0]
         models.save_model(trained.model, f"{folder}/models/{short}")
-        scored = models.score(trained.model, test)
+        scored = models.score_once(trained.model, test)
         _publish(spark, models.prediction_rows(scored), database, f"{short}_predictions", folder)
         _publish(spark, models.probability_rows(scored), database, f"{short}_probabilities", folder)
         _publish(spark, trained.cv_results, database, f"{short}_cv_results", folder)
         _publish(spark, trained.hyperparameters, database, f"{short}_hyperparams", folder)
         result = models.evaluate_model(
-            trained, calibration, test, schemes, alerts_per_day=alerts_per_day
+            trained, calibration, test, schemes, alerts_per_day=alerts_per_day, scored=scored
         )
         _publish(spark, result.pinned, database, f"{short}_pinned_threshold", folder)
         results.append(result)
@@ -150,3 +178,4 @@ def train_and_evaluate(
     }
     for name, frames in published.items():
         _publish(spark, _union(frames), database, name, folder)
+    discard_staged(staged)

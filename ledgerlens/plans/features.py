@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.clock import DAY_SECONDS, epoch_seconds, is_weekend
+from ledgerlens.functions.draw import drawn
 from ledgerlens.functions.labels import currency_bucket
 from ledgerlens.operators.ordering import approximate_time_quantile, time_quantile
 from ledgerlens.operators.trailing import RECEIVER, SENDER, TrailingSide, add_trailing
@@ -19,9 +20,6 @@ TRAIN_FRACTION = 0.80
 CALIBRATION_FRACTION = 0.10
 PRIOR_STRENGTH = 20
 
-#: Bank rows above which a prior table is joined by shuffle instead of broadcast.
-BROADCAST_BANKS = 500_000
-
 SENDER_PRIOR = "from_bank_laundering_rate_prior"
 RECEIVER_PRIOR = "to_bank_laundering_rate_prior"
 
@@ -92,9 +90,7 @@ def first_days(ledger: DataFrame, start: str, days: int) -> DataFrame:
 
 def sample_rows(ledger: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
     """Bernoulli sample by a hash of the key, so it repeats under any partitioning."""
-    buckets = 1_000_000
-    draw = F.pmod(F.xxhash64(F.col("txn_id"), F.lit(seed)), F.lit(buckets))
-    return ledger.where(draw < F.lit(int(fraction * buckets)))
+    return ledger.where(drawn("txn_id", fraction, seed))
 
 
 def temporal_cutoff(
@@ -158,20 +154,15 @@ def bank_priors(train: DataFrame, strength: int = PRIOR_STRENGTH) -> BankPriors:
     )
 
 
-def _small_enough(priors: DataFrame) -> DataFrame:
-    """Broadcast hint only after the number of banks was counted."""
-    few = priors.limit(BROADCAST_BANKS + 1).count() <= BROADCAST_BANKS
-    return F.broadcast(priors) if few else priors
-
-
 def join_priors(frame: DataFrame, priors: BankPriors) -> DataFrame:
     """attach both priors; a bank never seen in train gets the overall share.
 
-    Beyond the broadcast bound the join is by shuffle and a hot bank is split at run time.
+    The join is chosen at run time by the measured size of the priors: broadcast, or by shuffle
+    with hot banks split.
     """
     return (
-        frame.join(_small_enough(priors.senders), "from_bank", "left")
-        .join(_small_enough(priors.receivers), "to_bank", "left")
+        frame.join(priors.senders, "from_bank", "left")
+        .join(priors.receivers, "to_bank", "left")
         .fillna(priors.overall, [SENDER_PRIOR, RECEIVER_PRIOR])
     )
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.draw import drawn
 from ledgerlens.functions.binning import (
     BANK_SPREAD_EDGES,
     BANK_SPREAD_LABELS,
@@ -38,7 +39,7 @@ AMOUNT_BIN_LABELS = {
 }
 WEEKDAYS = {2: "Mon", 3: "Tue", 4: "Wed", 5: "Thu", 6: "Fri", 7: "Sat", 1: "Sun"}
 COVERAGE_POINTS = [5, 10, 20, 50]
-SCATTER_ACCOUNTS = 50_000
+SCATTER_SHARE = 0.025
 
 
 def _of_class(value: int, column: str, amount: str) -> Column:
@@ -409,14 +410,9 @@ def value_by_canonical_type(patterns: DataFrame, currency: str = "US Dollar") ->
     )
 
 
-def scatter_accounts(degrees: DataFrame, k: int = SCATTER_ACCOUNTS) -> DataFrame:
-    """At most ``k`` accounts, drawn by hash so that the draw repeats."""
-    return (
-        degrees.withColumn("_draw", F.md5(F.col("account")))
-        .orderBy("_draw", "account")
-        .limit(k)
-        .drop("_draw")
-    )
+def scatter_accounts(degrees: DataFrame, share: float = SCATTER_SHARE) -> DataFrame:
+    """A share of the accounts, drawn by a hash of their names so that the draw repeats."""
+    return degrees.where(drawn("account", share))
 
 
 def log_matrix(flows: DataFrame, source: str, target: str) -> DataFrame:

@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens import schema
 from ledgerlens.operators.components import account_graph, connected_components
 from ledgerlens.operators.encoders import SinCosEncoder
 from ledgerlens.operators.trailing import RECEIVER, SENDER
 from ledgerlens.plans import activity, evaluation, features, models, quality, rollups, rules
 from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
 from ledgerlens.session import pin_session, shared_folder, store
-from ledgerlens.sources import derived, files, pattern_text, warehouse
+from ledgerlens.sources import catalog, derived, files, pattern_text, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,7 +89,7 @@ def chart_queries() -> dict[str, Query]:
         "r16_coverage_at": _chart("b5", rollups.coverage_at),
         "r17_cross_bank_by_type": _chart("b6", rollups.cross_bank_by_type),
         "r18_value_by_type": _query(rollups.value_by_canonical_type, SCHEMES),
-        "r19_scatter_accounts": _chart("q5", rollups.scatter_accounts),
+        "r19_scatter_accounts": _chart("q5", rollups.scatter_accounts, share=0.4),
         "r20_bank_matrix_log": _chart(
             "q7", rollups.log_matrix, source="from_bank", target="to_bank"
         ),
@@ -380,8 +381,122 @@ def first_days_table(ledger: DataFrame) -> DataFrame:
     return activity.daily_rate(features.first_days(ledger, "2024-01-01", 7))
 
 
+def _doubles(frame: DataFrame) -> DataFrame:
+    """Decimals as doubles for the comparison."""
+    return frame.withColumns(
+        {
+            name: F.col(name).cast("double")
+            for name, kind in frame.dtypes
+            if kind.startswith("decimal")
+        }
+    )
+
+
+def hash_sample_table(ledger: DataFrame) -> DataFrame:
+    """Keys of a quarter of the ledger, drawn by key."""
+    return features.sample_rows(ledger, 0.25).select("txn_id")
+
+
+def quarantine_table(ledger: DataFrame) -> DataFrame:
+    """Rows that break a constraint, with the reason; the ledger is damaged by rule first."""
+    damaged = ledger.drop("txn_date").withColumns(
+        {
+            "from_account": F.when(F.col("txn_id") % 10 != 0, F.col("from_account")),
+            "is_laundering": F.when(F.col("txn_id") % 7 == 0, 2).otherwise(F.col("is_laundering")),
+        }
+    )
+    return quality.split_valid(damaged)[1].select("txn_id", "reason")
+
+
+def scheme_reject_table(schemes: DataFrame) -> DataFrame:
+    """Lines of attempt blocks with a field too many, through text files and back."""
+    spark = schemes.sparkSession
+    folder = shared_folder(spark, "schemes")
+    derived.write_scheme_text(
+        schemes.withColumn(
+            "payment_format",
+            F.when(F.col("payment_format") == "Wire", F.lit("Wire,extra")).otherwise(
+                F.col("payment_format")
+            ),
+        ),
+        folder,
+        SECOND,
+    )
+    return pattern_text.parse_scheme_text(spark, folder).rejects
+
+
+def accounts_csv_table(accounts: DataFrame) -> DataFrame:
+    """S1 + S14: the accounts through header CSV files."""
+    folder = shared_folder(accounts.sparkSession, "accounts")
+    files.write_csv(accounts.select(*schema.ACCOUNTS.names), folder)
+    return files.read_accounts(accounts.sparkSession, folder)
+
+
+def pattern_csv_table(schemes: DataFrame) -> DataFrame:
+    """S3: labelled transfers through CSV files."""
+    spark = schemes.sparkSession
+    folder = shared_folder(spark, "pattern-rows")
+    rows = schemes.select(*schema.PATTERN_ROW.names).withColumn(
+        "ts", F.date_format("ts", SECOND)
+    )
+    files.write_csv(rows, folder)
+    return _doubles(files.read_pattern_rows(spark, folder, SECOND))
+
+
+def day_files_table(ledger: DataFrame) -> DataFrame:
+    """S7 + S11 + S12: the ledger as Parquet files by day, read back."""
+    spark = ledger.sparkSession
+    folder = shared_folder(spark, "days")
+    warehouse.save_ledger_files(ledger, folder)
+    return _doubles(files.read_parquet(spark, folder)).select("txn_id", "ts", "amount_paid", "txn_date")
+
+
+def training_json_table(ledger: DataFrame) -> DataFrame:
+    """Features and label as gzip JSON lines, counted and summed after reading."""
+    spark = ledger.sparkSession
+    folder = shared_folder(spark, "training-json")
+    rows = ledger.select(
+        F.array(F.col("txn_id"), F.col("from_bank").cast("bigint")).alias("features"),
+        F.col("is_laundering").alias("label"),
+    )
+    files.write_training_json(rows, folder)
+    back = spark.read.schema("features array<bigint>, label int").json(folder)
+    return back.select(
+        F.col("features")[0].alias("txn_id"), F.col("features")[1].alias("from_bank"), "label"
+    )
+
+
+def external_tables_table(ledger: DataFrame) -> DataFrame:
+    """S16 + S18 + S19 + S20 + S23: a Parquet and a CSV table over files, joined by key."""
+    spark = ledger.sparkSession
+    tables = []
+    for kind in ("parquet", "csv"):
+        folder = shared_folder(spark, f"external-{kind}")
+        rows = ledger.select("txn_id", "from_account", "is_laundering")
+        table = "t_" + folder.rsplit("-", 1)[1]
+        if kind == "parquet":
+            files.write_parquet(rows, folder)
+            catalog.register_parquet(spark, table, folder)
+        else:
+            files.write_csv(rows, folder)
+            catalog.register_csv(spark, table, folder, rows.schema)
+        tables.append(catalog.read_table(spark, table))
+        catalog.drop_table(spark, table)
+    return tables[0].join(
+        tables[1].withColumnRenamed("from_account", "csv_account"), ["txn_id", "is_laundering"]
+    )
+
+
 def source_queries() -> dict[str, Query]:
     return {
+        "s1_accounts_csv": _query(accounts_csv_table, ACCOUNTS),
+        "s3_pattern_csv": _query(pattern_csv_table, SCHEMES),
+        "s4_quarantine": _query(quarantine_table, LEDGER),
+        "s6_rejects": _query(scheme_reject_table, SCHEMES),
+        "s11_day_files": _query(day_files_table, LEDGER),
+        "s13_training_json": _query(training_json_table, LEDGER),
+        "s18_external_tables": _query(external_tables_table, LEDGER),
+        "s27_hash_sample": _query(hash_sample_table, LEDGER),
         "s7_warehouse_load": _query(warehouse_load_table, LEDGER),
         "s8_pattern_load": _query(pattern_load_table, SCHEMES),
         "s27_first_days": _query(first_days_table, LEDGER),
@@ -430,6 +545,24 @@ def cyclic_table(ledger: DataFrame) -> DataFrame:
     return rows.select("txn_id", *[F.round(name, 9).alias(name) for name in names])
 
 
+def calibration_table(ledger: DataFrame) -> DataFrame:
+    """M1: rows and time range of the train rows kept for fitting and of the calibration tail."""
+    rows = features.add_row_features(ledger).select("ts_unix")
+    train, _ = features.temporal_split(rows, features.temporal_cutoff(rows))
+    inner, tail = models.calibration_split(train)
+    parts = [part.withColumn("part", F.lit(name)) for name, part in (("fit", inner), ("tail", tail))]
+    return (
+        parts[0]
+        .unionByName(parts[1])
+        .groupBy("part")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("ts_unix").alias("first_second"),
+            F.max("ts_unix").alias("last_second"),
+        )
+    )
+
+
 def balanced_table(ledger: DataFrame) -> DataFrame:
     """M2: rows and weight per class after the draw, which hashes row keys."""
     rows = ledger.withColumnRenamed("is_laundering", "label").select("txn_id", "label")
@@ -450,6 +583,7 @@ def model_queries() -> dict[str, Query]:
     return {
         "g2_components": _query(component_table, LEDGER),
         "f8_cyclic_encoding": _query(cyclic_table, LEDGER),
+        "m1_calibration_split": _query(calibration_table, LEDGER),
         "m2_balanced_classes": _query(balanced_table, LEDGER),
         "e1_logistic_headline": _query(logistic_headline, LEDGER, SCHEMES),
         "e1_trees_headline": _query(trees_headline, LEDGER, SCHEMES),

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _RUNTIME_SETTINGS = {
@@ -38,8 +39,8 @@ def build_session(app_name: str, time_zone: str = "UTC", **settings: str) -> Spa
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints, shared by driver and executors.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may fall back to
-    a folder of its own, because there driver and executors are one process.
+    The cluster names it in ``spark.checkpoint.dir``. Where it does not, a folder below
+    ``spark.sql.warehouse.dir`` is used, which all executors reach as well.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -48,11 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not current or named.rstrip("/") not in current:
             context.setCheckpointDir(named)
     elif not current:
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder every executor can reach"
-            )
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerlens-checkpoint-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(f"{warehouse}/_staging")
     return context.getCheckpointDir()
 
 
@@ -66,9 +64,47 @@ def materialise(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Folders given out and not yet deleted, oldest first.
+_GIVEN: list[str] = []
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name below the shared checkpoint folder; see ``discard_staged``."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.append(path)
+    return path
+
+
+def remove_folder(path: str) -> None:
+    """Delete a folder through Spark's own access to its file system."""
+    jvm = SparkContext._jvm
+    if jvm is None:
+        return
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
+
+
+def discard_staged(since: int = 0) -> None:
+    """Delete staged folders given out after the first ``since``: their readers are done.
+
+    Batch stages call it when their results are written. Frames that queries return read staged
+    folders lazily, so for these it runs when the application ends.
+    """
+    while len(_GIVEN) > since:
+        remove_folder(_GIVEN.pop())
+
+
+def staged_count() -> int:
+    """How many staged folders exist; pass it to ``discard_staged`` later."""
+    return len(_GIVEN)
+
+
+@atexit.register
+def _discard_at_exit() -> None:
+    try:
+        discard_staged()
+    except Exception:  # the JVM may be gone already
+        _GIVEN.clear()
 
 
 def store(frame: DataFrame) -> DataFrame:

@@ -27,6 +27,8 @@ SELECT *, is_laundering AS label, round(ln(1 + amount_paid::DOUBLE), 6) AS log_a
  {_bucket('receiving_currency')} AS receiving_currency_bucket
 FROM transactions)"""
 
+_DRAW = "CAST('0x' || substr(md5(txn_id::VARCHAR || ':42'), 1, 8) AS BIGINT)"
+
 _CUT = "cut AS (SELECT quantile_disc(ts_unix, 0.8) AS at_ FROM rows_)"
 
 
@@ -354,6 +356,60 @@ def answers() -> dict[str, str]:
             f"{rounded('sum(is_laundering)', 'count(*)')} AS rate FROM transactions "
             "WHERE txn_date <= DATE '2024-01-28' GROUP BY 1"
         ),
+        "s1_accounts_csv": with_tables(
+            "SELECT bank_name, bank_id, account_number, entity_id, entity_name FROM accounts"
+        ),
+        "s3_pattern_csv": with_tables(
+            "SELECT pattern_group, pattern_type, date_trunc('second', ts) AS ts, from_bank, "
+            f"from_account, to_bank, to_account, {double('amount_received')} AS amount_received, "
+            f"receiving_currency, {double('amount_paid')} AS amount_paid, payment_currency, "
+            "payment_format, is_laundering FROM laundering_patterns"
+        ),
+        "s4_quarantine": with_tables(
+            "SELECT txn_id, CASE WHEN txn_id % 10 = 0 THEN 'from_account is null' "
+            "ELSE 'is_laundering is not 0 or 1' END AS reason FROM transactions "
+            "WHERE txn_id % 10 = 0 OR txn_id % 7 = 0"
+        ),
+        "s6_rejects": with_tables(
+            "SELECT pattern_group, 'fields: 12' AS reason, concat_ws(',', "
+            "strftime(ts, '%Y/%m/%d %H:%M:%S'), from_bank, from_account, to_bank, to_account, "
+            "amount_received, receiving_currency, amount_paid, payment_currency, "
+            "'Wire,extra', is_laundering) AS line FROM (SELECT *, "
+            "CAST(dense_rank() OVER (ORDER BY pattern_group) AS INTEGER) AS g "
+            "FROM laundering_patterns) AS n WHERE payment_format = 'Wire'"
+        ).replace("SELECT pattern_group, 'fields", "SELECT g AS pattern_group, 'fields"),
+        "s11_day_files": with_tables(
+            f"SELECT txn_id, ts, {double('amount_paid')} AS amount_paid, txn_date FROM transactions"
+        ),
+        "s13_training_json": with_tables(
+            "SELECT CAST(txn_id AS BIGINT) AS txn_id, CAST(from_bank AS BIGINT) AS from_bank, "
+            "is_laundering AS label FROM transactions"
+        ),
+        "s18_external_tables": with_tables(
+            "SELECT txn_id, is_laundering, from_account, from_account AS csv_account FROM transactions"
+        ),
+        "s27_hash_sample": with_tables(
+            f"SELECT txn_id FROM transactions WHERE {_DRAW} < CAST(floor(0.25 * 4294967296) AS BIGINT)"
+        ),
+        "m1_calibration_split": with_tables(
+            "SELECT CASE WHEN ts_unix <= (SELECT at_ FROM inner_cut) THEN 'fit' ELSE 'tail' END AS part, "
+            "count(*) AS n, min(ts_unix) AS first_second, max(ts_unix) AS last_second FROM rows_ "
+            "WHERE ts_unix <= (SELECT at_ FROM cut) GROUP BY 1",
+            _ROWS,
+            _CUT,
+            "inner_cut AS (SELECT quantile_disc(ts_unix, 0.9) AS at_ FROM rows_ "
+            "WHERE ts_unix <= (SELECT at_ FROM cut))",
+        ),
+        "m2_balanced_classes": with_tables(
+            "SELECT label, count(*) AS n, CASE WHEN label = 1 THEN (SELECT count(*) FROM kept "
+            "WHERE label = 0)::DOUBLE / (SELECT count(*) FROM kept WHERE label = 1) "
+            "ELSE 1.0::DOUBLE END AS weight FROM kept GROUP BY label",
+            "sizes AS (SELECT sum(is_laundering) AS pos, count(*) - sum(is_laundering) AS neg "
+            "FROM transactions)",
+            f"kept AS (SELECT is_laundering AS label FROM transactions, sizes "
+            f"WHERE is_laundering = 1 OR {_DRAW} < CAST(floor(least(1.0::DOUBLE, "
+            "pos::DOUBLE * 5 / neg) * 4294967296) AS BIGINT))",
+        ),
         "s5_numbered_load": with_tables(
             "SELECT row_number() OVER (ORDER BY txn_id) AS txn_id, date_trunc('second', ts) AS ts, "
             "from_bank, from_account, to_bank, to_account, "

@@ -74,6 +74,9 @@ def test_curve_ends_at_one_hundred_percent(spark):
     assert {r.end for r in ends.collect()} == {100.0}
 
 
-def test_scatter_keeps_at_most_k(spark):
-    degrees = accounts.account_degrees(derived.transactions(spark, SF_TINY))
-    assert rollups.scatter_accounts(degrees, 4).count() == 4
+def test_scatter_draws_a_share_by_name(spark):
+    degrees = accounts.account_degrees(derived.transactions(spark, "/root/testdata/sf0.01"))
+    some, more = rollups.scatter_accounts(degrees, 0.3), rollups.scatter_accounts(degrees, 0.6)
+    assert 0.15 < some.count() / degrees.count() < 0.45
+    assert some.exceptAll(more).isEmpty()
+    assert rollups.scatter_accounts(degrees.repartition(7), 0.3).exceptAll(some).isEmpty()

@@ -9,6 +9,7 @@ from ledgerlens import jobs
 from ledgerlens.plans import models
 from ledgerlens.plans.catalogue import REPORTS
 from ledgerlens.registry import SECOND
+from ledgerlens.session import discard_staged, staged_count, store
 from ledgerlens.sources import catalog, derived, files
 
 
@@ -63,3 +64,16 @@ def test_features_and_models(spark, loaded):
     assert (row.parameter1, row.value1, row.parameter2) == ("maxDepth", "2", "subsamplingRate")
     assert spark.table("aml.eval_value_sweep").where("model = 'rule_baseline_R1_R2_R5'").count() > 0
     assert spark.table("aml.model1_cv_results").count() == 1
+    assert {r.part for r in spark.table("aml.skipped_rows").collect()} == {"train", "test"}
+    assert spark.table("aml.laundering_patterns_rejects").columns == ["pattern_group", "reason", "line"]
+
+
+def test_stages_leave_nothing_staged(spark, loaded):
+    before = staged_count()
+    kept = store(spark.range(3))
+    assert staged_count() == before + 1 and kept.count() == 3
+    folder = kept.inputFiles()[0].rsplit("/", 1)[0]
+    discard_staged(before)
+    assert staged_count() == before
+    with pytest.raises(Exception):
+        spark.read.schema("id long").parquet(folder).count()

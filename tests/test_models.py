@@ -67,9 +67,6 @@ def test_priors(spark, monkeypatch):
     unseen = spark.createDataFrame([(77, 9, 0)], "from_bank int, to_bank int, label int")
     assert features.join_priors(unseen, priors).first().from_bank_laundering_rate_prior == 0.15
     assert [r.from_bank for r in features.riskiest_banks(priors, 1).collect()] == [1]
-    hinted = features.join_priors(train, priors).collect()
-    monkeypatch.setattr(features, "BROADCAST_BANKS", 0)
-    assert sorted(features.join_priors(train, priors).collect()) == sorted(hinted)
 
 
 def test_balance(spark):

@@ -7,7 +7,7 @@ import re
 import pytest
 from conftest import SF_TINY
 
-import __spark_entry__ as entry_points
+from ledgerlens import registry
 from ledgerlens.operators import trailing
 from ledgerlens.plans import accounts, activity, banks, features
 from ledgerlens.sources import derived, warehouse
@@ -27,9 +27,9 @@ def stored(spark, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - TRAINING))
+@pytest.mark.parametrize("name", sorted(set(registry.all_queries()) - TRAINING))
 def test_no_pairwise_joins_and_no_python(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, SF_TINY))
+    plan = plan_of(registry.all_queries()[name](spark, SF_TINY))
     assert not [word for word in FORBIDDEN if word in plan]
 
 
