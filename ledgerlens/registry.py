@@ -186,21 +186,28 @@ def riskiest_bank_table(ledger: DataFrame) -> DataFrame:
     return top.withColumn(features.SENDER_PRIOR, F.round(features.SENDER_PRIOR, 9))
 
 
-def _alerts(ledger: DataFrame) -> DataFrame:
-    return rules.apply_rules(features.build_features(ledger), RULE_LIMITS)
+def _alerts(ledger: DataFrame, limits: rules.RuleThresholds = RULE_LIMITS) -> DataFrame:
+    return rules.apply_rules(features.build_features(ledger), limits)
 
 
-def rule_flag_table(ledger: DataFrame) -> DataFrame:
-    return _alerts(ledger).select("txn_id", *rules.RULES)
+def rule_flag_table(
+    ledger: DataFrame, limits: rules.RuleThresholds = RULE_LIMITS
+) -> DataFrame:
+    return _alerts(ledger, limits).select("txn_id", *rules.RULES)
 
 
-def _test_alerts(ledger: DataFrame) -> DataFrame:
+def _test_alerts(
+    ledger: DataFrame, limits: rules.RuleThresholds = RULE_LIMITS
+) -> DataFrame:
     cutoff = _cutoff(ledger)
-    return features.temporal_split(_alerts(features.recent_rows(ledger, cutoff)), cutoff)[1]
+    recent = features.recent_rows(ledger, cutoff)
+    return features.temporal_split(_alerts(recent, limits), cutoff)[1]
 
 
-def rule_metric_table(ledger: DataFrame) -> DataFrame:
-    return rules.rule_metrics(_test_alerts(ledger))
+def rule_metric_table(
+    ledger: DataFrame, limits: rules.RuleThresholds = RULE_LIMITS
+) -> DataFrame:
+    return rules.rule_metrics(_test_alerts(ledger, limits))
 
 
 def rule_value_table(ledger: DataFrame) -> DataFrame:
@@ -606,8 +613,30 @@ def volume_queries() -> dict[str, Query]:
     }
 
 
+#: Queries repeated on the harsher ledger, the rules with their published limits.
+DENSE_QUERIES = [
+    "f2_sender_windows", "f4_receiver_windows", "x4_rule_flags", "x5_rule_metrics",
+    "q7b", "e6_pattern_recall", "e6_duplicate_keys",
+]
+
+
+def dense_queries() -> dict[str, Query]:
+    ledger, schemes = "dense_transactions", "dense_laundering_patterns"
+    published = rules.RuleThresholds()
+    return {
+        "h_f2_sender_windows": _query(sender_feature_table, ledger),
+        "h_f4_receiver_windows": _query(receiver_feature_table, ledger),
+        "h_x4_rule_flags": _query(rule_flag_table, ledger, limits=published),
+        "h_x5_rule_metrics": _query(rule_metric_table, ledger, limits=published),
+        "h_q7b": _query(REPORTS["q7b"].plan, ledger),
+        "h_e6_pattern_recall": _query(pattern_recall_table, ledger, schemes),
+        "h_e6_duplicate_keys": _query(evaluation.duplicate_pattern_keys, schemes),
+    }
+
+
 def all_queries() -> dict[str, Query]:
     return {
+        **dense_queries(),
         **report_queries(),
         **chart_queries(),
         **feature_queries(),

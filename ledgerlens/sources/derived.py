@@ -53,6 +53,37 @@ TRANSACTIONS_SQL = {
     "txn_date": "CAST(ts AS DATE)",
 }
 
+#: The same helper columns for a harsher ledger: three days; one sender with a fifth of all rows and
+#: a few hundred others; every fiftieth row repeats the key of the row before; four decimals.
+_BASE_ID = "(CASE WHEN event_id % 50 = 1 THEN event_id - 1 ELSE event_id END)"
+_DENSE_USER = f"(CASE WHEN {_BASE_ID} % 5 = 0 THEN 0 ELSE 1 + {_BASE_ID} % 199 END)"
+DENSE_HELPER_SQL = {
+    "event_id": "event_id",
+    "ts": (
+        "TIMESTAMP '2024-01-01 00:00:00' + "
+        f"INTERVAL '1' SECOND * CAST(({_BASE_ID} * 7919) % 259200 AS INT)"
+    ),
+    "user_id": _DENSE_USER,
+    "event_type": "event_type",
+    "to_user": f"({_BASE_ID} * 31) % 1301",
+    "amount": (
+        "CAST(CAST(CASE WHEN event_id % 5 = 0 THEN 100 + event_id % 3 "
+        f"WHEN {_DENSE_USER} % 10 = 3 THEN 7000 + event_id % 2999 "
+        "WHEN event_id % 4 = 1 THEN 0 ELSE (event_id * 7) % 90000 END AS DECIMAL(20,4)) "
+        "+ CAST(1 + event_id % 9000 AS DECIMAL(20,4)) / 10000 AS DECIMAL(20,4))"
+    ),
+    "currency": HELPER_SQL["currency"],
+}
+
+#: Amounts received differ from amounts paid, and there are more than 500 banks.
+DENSE_TRANSACTIONS_SQL = {
+    **TRANSACTIONS_SQL,
+    "from_bank": "CAST((user_id * 3) % 613 AS INT)",
+    "to_bank": "CAST(to_user % 613 AS INT)",
+    "amount_received": "CAST(amount + CAST(0.0007 AS DECIMAL(20,4)) AS DECIMAL(20,4))",
+    "is_laundering": f"CASE WHEN {_BASE_ID} % 23 = 0 THEN 1 ELSE 0 END",
+}
+
 _GROUP = "(CAST(((txn_id - 1) - (txn_id - 1) % 250) / 250 AS INT) + 1)"
 
 #: column -> expression over the flagged rows of ``transactions``
@@ -131,6 +162,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.selectExpr(*select_list(TRANSACTIONS_SQL))
 
 
+def dense_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _events(spark, sf_dir).selectExpr(*select_list(DENSE_HELPER_SQL))
+    return events.selectExpr(*select_list(DENSE_TRANSACTIONS_SQL))
+
+
+def dense_laundering_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = dense_transactions(spark, sf_dir).where("is_laundering = 1")
+    return flagged.selectExpr(*select_list(PATTERNS_SQL))
+
+
 def laundering_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         transactions(spark, sf_dir)

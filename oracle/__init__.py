@@ -9,10 +9,12 @@ from oracle.base import on_volume
 
 def answers() -> dict[str, str]:
     named = reports.answers()
+    learned = features.answers()
     return {
         **named,
         **charts.answers(),
-        **features.answers(),
+        **learned,
         **reports.graph_answers(),
+        **features.dense_answers({**named, **learned}),
         **{f"v_{name}": on_volume(named[name]) for name in VOLUME_REPORTS},
     }

@@ -44,6 +44,19 @@ def on_volume(statement: str) -> str:
     return f"WITH {_VOLUME}" + statement.removeprefix(head).replace(", txn_id", "")
 
 
+_DENSE = (
+    f"helper AS (\nSELECT {_select(derived.DENSE_HELPER_SQL)}\nFROM events),\n"
+    f"transactions AS (\nSELECT {_select(derived.DENSE_TRANSACTIONS_SQL)}\nFROM helper)"
+)
+
+
+def on_dense(statement: str) -> str:
+    """A statement over the derived tables with the harsher ledger in their place."""
+    if _TRANSACTIONS not in statement:
+        raise ValueError("not a statement over the derived tables")
+    return statement.replace(_TRANSACTIONS, _DENSE)
+
+
 def rounded(numerator: str, denominator: str, places: int = 6) -> str:
     """Half-up rounding of an integer ratio in integer arithmetic (no binary ties)."""
     unit = 10**places

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from ledgerlens import registry
-from oracle.base import CANONICAL, double, rounded, with_tables
+from ledgerlens.plans.rules import RuleThresholds
+from oracle.base import CANONICAL, double, on_dense, rounded, with_tables
 
 _KEPT = (
     "('US Dollar', 'Euro', 'Yuan', 'Yen', 'UK Pound', 'Ruble', 'Canadian Dollar', "
@@ -95,20 +96,24 @@ _FRAMES = ", ".join(
 
 _FEATURES = f"features AS (SELECT *, {', '.join(_OUT + _IN)} FROM rows_ WINDOW {_FRAMES})"
 
-_LIMITS = registry.RULE_LIMITS
-_FLAGS = f"""flags AS (
+
+def _flags(limits: RuleThresholds) -> str:
+    return f"""flags AS (
 SELECT *, greatest(r1_structuring, r2_velocity, r5_cross_bank) AS rule_alert FROM (
 SELECT *,
- CAST(out_count_24h >= {_LIMITS.structuring_min_rows}
-  AND out_max_24h < {_LIMITS.structuring_max_amount}::DOUBLE
-  AND out_sum_24h > {_LIMITS.structuring_min_total}::DOUBLE AS INTEGER) AS r1_structuring,
- CAST(in_count_24h >= {_LIMITS.velocity_min_in} AND out_count_1h >= {_LIMITS.velocity_min_out}
+ CAST(out_count_24h >= {limits.structuring_min_rows}
+  AND out_max_24h < {limits.structuring_max_amount}::DOUBLE
+  AND out_sum_24h > {limits.structuring_min_total}::DOUBLE AS INTEGER) AS r1_structuring,
+ CAST(in_count_24h >= {limits.velocity_min_in} AND out_count_1h >= {limits.velocity_min_out}
   AND abs(in_sum_24h - out_sum_1h) / greatest(in_sum_24h, 1.0::DOUBLE)
-      < {_LIMITS.velocity_max_residual}::DOUBLE AS INTEGER) AS r2_velocity,
- CAST(out_unique_banks_24h >= {_LIMITS.cross_bank_min_banks}
-  AND out_count_24h >= {_LIMITS.cross_bank_min_rows} AS INTEGER) AS r5_cross_bank
+      < {limits.velocity_max_residual}::DOUBLE AS INTEGER) AS r2_velocity,
+ CAST(out_unique_banks_24h >= {limits.cross_bank_min_banks}
+  AND out_count_24h >= {limits.cross_bank_min_rows} AS INTEGER) AS r5_cross_bank
 FROM features) AS f)"""
 
+
+_FLAGS = _flags(registry.RULE_LIMITS)
+
 _SCORED = f"""scored AS (
 SELECT *, CAST(proba_positive >= {registry.PINNED}::DOUBLE AS INTEGER) AS prediction FROM (
 SELECT *, out_count_24h::DOUBLE / (out_count_24h::DOUBLE + 3.0::DOUBLE) AS proba_positive
@@ -455,3 +460,12 @@ def answers() -> dict[str, str]:
             _ROWS,
         ),
     }
+
+
+def dense_answers(named: dict[str, str]) -> dict[str, str]:
+    """The answers of the queries on the harsher ledger, the rules with their published limits."""
+    published = _flags(RuleThresholds())
+    return {
+        f"h_{name}": on_dense(named[name].replace(_FLAGS, published))
+        for name in registry.DENSE_QUERIES
+    }
