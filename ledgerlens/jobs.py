@@ -23,6 +23,8 @@ class RawPaths:
     schemes: str
     accounts: str
     timestamp_format: str = files.RAW_TIMESTAMP
+    #: The scheme files are parts of one text, in the order of their names.
+    schemes_span_files: bool = False
 
 
 def load(
@@ -43,7 +45,9 @@ def load(
     if rejected is not None:
         _save(rejected, f"{database}.{LEDGER}_rejects")
     warehouse.save_ledger(warehouse.with_date(transfers, until), f"{database}.{LEDGER}")
-    parsed = pattern_text.parse_scheme_text(spark, raw.schemes)
+    parsed = pattern_text.parse_scheme_text(
+        spark, raw.schemes, blocks_span_files=raw.schemes_span_files
+    )
     # Lines that are no transfer are kept apart, with the reason, and counted by ``describe``.
     _save(parsed.rejects, f"{database}.{SCHEMES}_rejects")
     typed = pattern_text.typed_scheme_rows(parsed, raw.timestamp_format)

@@ -348,7 +348,7 @@ def scheme_text_table(schemes: DataFrame) -> DataFrame:
     spark = schemes.sparkSession
     folder = shared_folder(spark, "schemes")
     derived.write_scheme_text(schemes, folder, SECOND)
-    return pattern_text.parse_scheme_text(spark, folder).rows
+    return pattern_text.parse_scheme_text(spark, folder, blocks_span_files=True).rows
 
 
 MSK_MILLIS = 10_800_000
@@ -429,7 +429,7 @@ def scheme_reject_table(schemes: DataFrame) -> DataFrame:
         folder,
         SECOND,
     )
-    return pattern_text.parse_scheme_text(spark, folder).rejects
+    return pattern_text.parse_scheme_text(spark, folder, blocks_span_files=True).rejects
 
 
 def accounts_csv_table(accounts: DataFrame) -> DataFrame:

@@ -205,8 +205,8 @@ def volume_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_scheme_text(patterns: DataFrame, path: str, timestamp_format: str) -> None:
     """The labelled transfers as attempt-block text files, schemes in order of their number.
 
-    Schemes are range-partitioned by number, so file order is scheme order and a scheme does
-    not run over two files.
+    Lines are range-partitioned by scheme and place, so file order is line order and a large
+    scheme runs over several files: read them with ``blocks_span_files``.
     """
     fields = F.concat_ws(
         ",",
@@ -229,7 +229,7 @@ def write_scheme_text(patterns: DataFrame, path: str, timestamp_format: str) ->
     (
         opening.union(rows)
         .union(closing)
-        .repartitionByRange("pattern_group")
+        .repartitionByRange("pattern_group", "place")
         .sortWithinPartitions("pattern_group", "place")
         .select("line")
         .write.mode("overwrite")

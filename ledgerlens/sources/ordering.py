@@ -14,9 +14,11 @@ from ledgerlens.session import store
 
 FILE, START, SEQUENCE = "_file", "_start", "_seq"
 
-#: Largest number of file splits whose offsets are sent to every executor (about 20 MB).
-#: Beyond it the join is by shuffle on the split, and a split is at most one task's input.
-BROADCAST_SPLITS = 100_000
+#: Offsets of file splits are sent to every executor up to this size, about a million splits at
+#: the estimated size of one. Beyond it rows are joined by shuffle on their split.
+BROADCAST_BYTES, _SPLIT_BYTES = 64 << 20, 64
+
+_FILE_ID = "_file_id"
 
 
 def with_file_order(frame: DataFrame) -> DataFrame:
@@ -34,9 +36,23 @@ def splits_in_order():
     return Window.orderBy(FILE, START)
 
 
-def hinted(per_split: DataFrame) -> DataFrame:
-    """Broadcast hint only after the number of splits was counted."""
-    return F.broadcast(per_split) if per_split.count() <= BROADCAST_SPLITS else per_split
+def join_splits(placed: DataFrame, per_split: DataFrame) -> DataFrame:
+    """Join one row per split, found by a 64-bit file id so that the broadcast stays compact.
+
+    The size is checked, and so is that no two files share an id; otherwise the join is a
+    shuffle on the file name.
+    """
+    keyed = per_split.withColumn(_FILE_ID, F.xxhash64(FILE)).drop(FILE)
+    found = keyed.agg(
+        F.count(F.lit(1)).alias("splits"), F.count_distinct(_FILE_ID, START).alias("ids")
+    ).first()
+    if found["ids"] < found["splits"] or found["splits"] * _SPLIT_BYTES > BROADCAST_BYTES:
+        return placed.join(per_split, [FILE, START])
+    return (
+        placed.withColumn(_FILE_ID, F.xxhash64(FILE))
+        .join(F.broadcast(keyed), [_FILE_ID, START])
+        .drop(_FILE_ID)
+    )
 
 
 def _offsets(placed: DataFrame) -> DataFrame:
@@ -63,7 +79,7 @@ def number_rows(frame: DataFrame, name: str) -> DataFrame:
     """
     placed = store(with_file_order(frame))
     number = F.col("_before") + F.col(SEQUENCE) - F.col("_first") + F.lit(1)
-    return placed.join(hinted(_offsets(placed)), [FILE, START]).select(
+    return join_splits(placed, _offsets(placed)).select(
         number.alias(name), *frame.columns
     )
 
@@ -71,11 +87,12 @@ def number_rows(frame: DataFrame, name: str) -> DataFrame:
 def number_kept_rows(placed: DataFrame, name: str) -> DataFrame:
     """The same for stored rows that were filtered after placing, so their numbers have gaps.
 
-    The position inside a split needs a window, which holds one split of text at most.
+    The position inside a split needs a window, which holds one split of text; a compressed
+    file that cannot be split is one split.
     """
     in_split = Window.partitionBy(FILE, START).orderBy(SEQUENCE)
     number = F.col("_before") + F.row_number().over(in_split)
     kept = [column for column in placed.columns if column not in (FILE, START, SEQUENCE)]
-    return placed.join(hinted(_offsets(placed)), [FILE, START]).select(
+    return join_splits(placed, _offsets(placed)).select(
         number.alias(name), *kept
     )

@@ -4,7 +4,8 @@ A file is a list of blocks: a BEGIN line with the scheme type, transfer lines, a
 Which block a line belongs to depends on all lines before it. Lines are therefore placed by
 file split; inside a split a window finds the last marker, and across splits only one summary
 row per split is carried on. A split holds at most ``spark.sql.files.maxPartitionBytes`` of
-text, so no task sees more than that, however long a file or a block is.
+text, so no task sees more than that, however long a file or a block is; a compressed file that
+cannot be split is one split, and should be kept small.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from ledgerlens.sources.ordering import (
     FILE,
     SEQUENCE,
     START,
-    hinted,
+    join_splits,
     number_kept_rows,
     splits_in_order,
     with_file_order,
@@ -60,23 +61,30 @@ def _marked_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     )
 
 
-def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchemes:
-    """Rows of all blocks; blocks are numbered from 1 in (file, line) order."""
+def parse_scheme_text(
+    spark: SparkSession, path: str | list[str], blocks_span_files: bool = False
+) -> ParsedSchemes:
+    """Rows of all blocks; blocks are numbered from 1 in (file, line) order.
+
+    Files are independent texts, or, with ``blocks_span_files``, parts of one text in the order
+    of their names, so that a large scheme may run over several of them.
+    """
     lines = store(_marked_lines(spark, path))
     marked_at = F.when(F.col("marker").isNotNull(), F.col(SEQUENCE))
     splits = lines.groupBy(FILE, START).agg(
         F.sum("opens").alias("_opened"), F.max_by("marker", marked_at).alias("_last")
     )
     earlier = splits_in_order().rowsBetween(Window.unboundedPreceding, -1)
-    # Group numbers run on over files; an open block does not outlive its file.
+    # Group numbers run on over files; an open block does so only when asked.
     earlier_in_file = Window.partitionBy(FILE).orderBy(START).rowsBetween(
         Window.unboundedPreceding, -1
     )
+    carried = earlier if blocks_span_files else earlier_in_file
     entry = splits.select(
         FILE,
         START,
         F.coalesce(F.sum("_opened").over(earlier), F.lit(0)).alias("_groups_before"),
-        F.last("_last", ignorenulls=True).over(earlier_in_file).alias("_open_before"),
+        F.last("_last", ignorenulls=True).over(carried).alias("_open_before"),
     )
     in_split = (
         Window.partitionBy(FILE, START)
@@ -87,7 +95,7 @@ def parse_scheme_text(spark: SparkSession, path: str | list[str]) -> ParsedSchem
         F.last("marker", ignorenulls=True).over(in_split), F.col("_open_before")
     )
     inside = (
-        lines.join(hinted(entry), [FILE, START])
+        join_splits(lines, entry)
         .withColumns(
             {
                 "_state": state,

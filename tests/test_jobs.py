@@ -16,7 +16,7 @@ from ledgerlens.sources import catalog, derived, files
 @pytest.fixture(scope="module")
 def loaded(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("run")
-    raw = jobs.RawPaths(*[str(folder / name) for name in ("transfers", "schemes", "accounts")], SECOND)
+    raw = jobs.RawPaths(*[str(folder / name) for name in ("transfers", "schemes", "accounts")], SECOND, True)
     derived.write_transfer_csv(derived.transactions(spark, SF_TINY), raw.transfers, SECOND)
     derived.write_scheme_text(derived.laundering_patterns(spark, SF_TINY), raw.schemes, SECOND)
     files.write_csv(derived.accounts(spark, SF_TINY), raw.accounts)

@@ -35,7 +35,7 @@ def small_splits(spark):
 @pytest.fixture(params=["broadcast", "shuffle"])
 def join_way(request, monkeypatch):
     if request.param == "shuffle":
-        monkeypatch.setattr(ordering, "BROADCAST_SPLITS", 0)
+        monkeypatch.setattr(ordering, "BROADCAST_BYTES", 0)
 
 
 def test_transfers_are_numbered_in_file_order(spark, tmp_path, small_splits, join_way):
@@ -146,6 +146,28 @@ def test_open_block_ends_with_its_file(spark, tmp_path):
     assert typed.where("ts is null or amount_paid <> 2.25").isEmpty()
 
 
+def test_open_block_goes_on_in_the_next_file(spark, tmp_path):
+    (tmp_path / "1.txt").write_text("BEGIN LAUNDERING ATTEMPT - STACK\n" + transfer_line(1) + "\n")
+    (tmp_path / "2.txt").write_text(transfer_line(2) + "\nEND LAUNDERING ATTEMPT\n" + transfer_line(3) + "\n")
+    parsed = pattern_text.parse_scheme_text(spark, str(tmp_path), blocks_span_files=True)
+    assert sorted((r.pattern_group, r.pattern_type, r.to_account) for r in parsed.rows.collect()) == [
+        (1, "STACK", "B1"), (1, "STACK", "B2")
+    ]
+
+
+def test_one_scheme_with_most_rows(spark, tmp_path):
+    schemes = derived.laundering_patterns(spark, "/root/testdata/sf0.01").withColumn(
+        "pattern_group", F.when(F.col("pattern_id") % 3 == 0, F.col("pattern_group")).otherwise(F.lit(7))
+    ).withColumn("pattern_type", F.lit("STACK"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    derived.write_scheme_text(schemes, str(tmp_path / "t"), "yyyy/MM/dd HH:mm:ss")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parsed = pattern_text.parse_scheme_text(spark, str(tmp_path / "t"), blocks_span_files=True)
+    sizes = schemes.groupBy("pattern_group").count().orderBy("pattern_group").collect()
+    got = parsed.rows.groupBy("pattern_group").count().orderBy("pattern_group").collect()
+    assert [r["count"] for r in got] == [r["count"] for r in sizes]
+
+
 def test_scheme_text_without_blocks(spark, tmp_path):
     (tmp_path / "x.txt").write_text("nothing,here\n")
     parsed = pattern_text.parse_scheme_text(spark, str(tmp_path))
