@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.held import held
 from ledgerlens.llm.staging import as_bytes, ship_package
 from ledgerlens.llm.words import slices
 
@@ -20,24 +21,21 @@ LONG_TEXT = 50_000
 #: Text bytes encoded, and rows decoded, before results are handed on.
 BATCH_BYTES, DECODED_ROWS = 2 << 20, 500
 
-_CODECS: dict[tuple[str, str], object] = {}
+def _load(ranks_path: str, pattern: str):
+    import tiktoken
+
+    with open(ranks_path, "rb") as lines:
+        ranks = {
+            base64.b64decode(token): int(rank)
+            for token, rank in (line.split() for line in lines if line.strip())
+        }
+    name = hashlib.sha256(ranks_path.encode()).hexdigest()[:16]
+    return tiktoken.Encoding(name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def codec(ranks_path: str, pattern: str):
     """The tiktoken encoding of this Python worker."""
-    import tiktoken
-
-    if (ranks_path, pattern) not in _CODECS:
-        with open(ranks_path, "rb") as lines:
-            ranks = {
-                base64.b64decode(token): int(rank)
-                for token, rank in (line.split() for line in lines if line.strip())
-            }
-        name = hashlib.sha256(ranks_path.encode()).hexdigest()[:16]
-        _CODECS[ranks_path, pattern] = tiktoken.Encoding(
-            name, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
-        )
-    return _CODECS[ranks_path, pattern]
+    return held(("bpe", ranks_path, pattern), lambda: _load(ranks_path, pattern))
 
 
 def safe_parts(text: str, size: int = LONG_TEXT) -> list[str]:

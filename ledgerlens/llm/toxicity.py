@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.held import held
 from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.llm.string_kernel import Machine, fit
 
@@ -54,7 +55,7 @@ SLOPE = 4.0
 LONG_WORD = 24
 
 #: Words whose decisions a Python worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 _EDGE = ".,;:!?\"'()[]{}<>«»“”‘’…*#$%&/|\\-_=+~^`@"
 
@@ -116,16 +117,10 @@ class _Scorer:
         return [max((self.known[word] for word in some), default=base) for some in found]
 
 
-_SCORERS: dict[bytes, _Scorer] = {}
-
-
 def _scorer(machine: Machine | None) -> _Scorer:
-    """The scorer of this Python worker for a machine; only the latest is kept."""
+    """The scorer of this Python worker for a machine."""
     mark = b"" if machine is None else machine.weights.tobytes() + "|".join(machine.landmarks).encode()
-    if mark not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[mark] = _Scorer(machine)
-    return _SCORERS[mark]
+    return held(("toxicity", mark), lambda: _Scorer(machine))
 
 
 def _decisions(texts: DataFrame, machine: Machine | None, fields: str) -> DataFrame:

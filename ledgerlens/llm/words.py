@@ -8,6 +8,8 @@ import re
 import numpy as np
 import pyarrow.compute as pc
 
+from ledgerlens.llm.held import held
+
 #: Outside these characters a text is encoded as one piece: what counts as a letter or as white
 #: space there may differ between versions of the character tables.
 _UNUSUAL = re.compile("[^\x09\x0a\x0d\x20-\x7e\xa1-ɏ]")
@@ -29,7 +31,7 @@ def cuttable(text: str) -> bool:
 
 
 #: Words remembered by a Python worker (about 200 bytes each).
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 #: Words not seen before that are handed to the library as one text.
 _TOGETHER = 256
@@ -95,14 +97,9 @@ class Encoder:
         ]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The encoder of this Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("words", path), lambda: Encoder(path))
 
 
 def slices(batch, most_bytes: int = 8 << 20, column: str = "text"):
