@@ -33,10 +33,14 @@ ROW_FEATURES = [
 ]
 
 
-def add_row_features(ledger: DataFrame) -> DataFrame:
-    """features of a row by itself; no shuffle."""
+def add_row_features(ledger: DataFrame, clamp_bucket: bool = False) -> DataFrame:
+    """features of a row by itself; no shuffle.
+
+    ``clamp_bucket`` holds the amount bucket at 0 below 0.1, where the formula goes negative.
+    """
     amount = F.col("amount_paid").cast("double")
     decade = F.floor(F.log10(amount)).cast("int") + F.lit(1)
+    decade = F.greatest(decade, F.lit(0)) if clamp_bucket else decade
     return ledger.withColumns(
         {
             "log_amount": F.log1p(amount),

@@ -210,6 +210,11 @@ def rule_metric_table(
     return rules.rule_metrics(_test_alerts(ledger, limits))
 
 
+def rule_headline_table(ledger: DataFrame) -> DataFrame:
+    """The combined rule as an evaluation row, without a curve."""
+    return rules.rule_headline(_test_alerts(ledger))
+
+
 def rule_value_table(ledger: DataFrame) -> DataFrame:
     return evaluation.rule_value_rows(_test_alerts(ledger))
 
@@ -278,6 +283,7 @@ def feature_queries() -> dict[str, Query]:
         "o8_riskiest_banks": _query(riskiest_bank_table, LEDGER),
         "x4_rule_flags": _query(rule_flag_table, LEDGER),
         "x5_rule_metrics": _query(rule_metric_table, LEDGER),
+        "x5_rule_headline": _query(rule_headline_table, LEDGER),
         "m7_pinned_threshold": _query(pinned_threshold_table, LEDGER),
         "e3_threshold_sweep": _query(threshold_sweep_table, LEDGER),
         "e4_value_sweep": _query(value_sweep_table, LEDGER),

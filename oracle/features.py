@@ -263,6 +263,13 @@ def answers() -> dict[str, str]:
             f"FROM ({rule_rows}) AS c) AS m",
             _ROWS, _CUT, _FEATURES, _FLAGS, _FLAGGED,
         ),
+        "x5_rule_headline": with_tables(
+            f"SELECT 'rule_baseline_R1_R2_R5' AS model, precision, recall, {_f1()} AS f1, "
+            "'nan'::DOUBLE AS pr_auc, alert_volume FROM (SELECT *, "
+            f"{_ratio('tp', 'tp + fp')} AS precision, {_ratio('tp', 'tp + fn')} AS recall, "
+            f"tp + fp AS alert_volume FROM ({rule_rows}) AS c WHERE rule = 'rule_alert') AS m",
+            _ROWS, _CUT, _FEATURES, _FLAGS, _FLAGGED,
+        ),
         "e3_threshold_sweep": with_tables(
             "SELECT * FROM sweep", _ROWS, _CUT, _FEATURES, _SCORED, _GRID, _SWEEP
         ),

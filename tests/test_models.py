@@ -212,6 +212,14 @@ def test_rules_at_their_limits(spark):
     assert math.isnan(headline.pr_auc) and headline.alert_volume == 3
 
 
+def test_clamped_bucket(spark, make_ledger):
+    ledger = make_ledger([{"amount": amount} for amount in ("0.01", "0.5", "5", "50")])
+    free = features.add_row_features(ledger).orderBy("txn_id").collect()
+    held = features.add_row_features(ledger, clamp_bucket=True).orderBy("txn_id").collect()
+    assert [r.log10_amount_bucket for r in free] == [-1, 0, 1, 2]
+    assert [r.log10_amount_bucket for r in held] == [0, 0, 1, 2]
+
+
 def test_subsets(spark):
     ledger = derived.transactions(spark, SF_TINY)
     assert features.first_days(ledger, "2024-01-01", 2).select("txn_date").distinct().count() == 2
