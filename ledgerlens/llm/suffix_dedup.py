@@ -36,7 +36,7 @@ from ledgerlens.llm.staging import Stage, as_bytes, row_number, ship_package
 #: Bytes hashed at a time; longer texts are taken in overlapping parts.
 PART_BYTES = 1 << 20
 
-#: Intervals are sent to every executor only up to this size, else joined by shuffling.
+#: Open intervals are sent to every executor only up to this size, else joined by shuffling.
 BROADCAST_BYTES = 64 << 20
 
 #: A round divides intervals into pieces shorter by this factor.
@@ -121,13 +121,13 @@ def _sampled(texts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _beside(texts: DataFrame, listed: Stage, how: str) -> DataFrame:
-    """``texts`` with a column of ``listed`` by row: sent to all while small, else shuffled."""
+def _beside(texts: DataFrame, listed: Stage) -> DataFrame:
+    """The texts with open intervals, and these: sent to all while small, else shuffled."""
     size = listed.frame.agg(
         F.sum(F.size("spans") * 24 + 32).cast("long").alias("bytes")
     ).first()["bytes"]
     small = (size or 0) <= BROADCAST_BYTES
-    return texts.join(F.broadcast(listed.frame) if small else listed.frame, "row", how)
+    return texts.join(F.broadcast(listed.frame) if small else listed.frame, "row")
 
 
 def _ranked(texts: DataFrame, open_intervals: DataFrame, length: int, width: int) -> Stage:
@@ -173,7 +173,7 @@ def _ranked(texts: DataFrame, open_intervals: DataFrame, length: int, width: int
                     names=[field.split()[0] for field in _RANKED.split(", ")],
                 )
 
-    ranked = Stage(_beside(texts, listed, "inner").mapInArrow(rank, _RANKED), "ranked")
+    ranked = Stage(_beside(texts, listed).mapInArrow(rank, _RANKED), "ranked")
     listed.drop()
     return ranked
 
@@ -293,6 +293,7 @@ def repeated_strings(
                 names=[key, "n_bytes", "removed", "kept"],
             )
 
-    return _beside(texts, listed, "left").select("_key", "_text", "spans").mapInArrow(
+    # Spans grow with the texts, so both sides meet by shuffle at every size.
+    return texts.join(listed.frame, "row", "left").select("_key", "_text", "spans").mapInArrow(
         cut, f"`{key}` {kind}, n_bytes bigint, removed array<struct<start:int,end:int>>, kept binary"
     )
