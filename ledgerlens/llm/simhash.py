@@ -55,8 +55,7 @@ def fingerprint(text: bytes, words: int) -> int:
     hashes = shingle_hashes(text, words)
     if not len(hashes):
         return 0
-    bits = (_bit_totals(hashes) * 2 > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    return int(_majority(_bit_totals(hashes[None, :]), len(hashes))[0])
 
 
 def fingerprints(
@@ -84,37 +83,50 @@ def fingerprints(
 
 
 def _bit_totals(hashes: np.ndarray) -> np.ndarray:
-    """How often each of the 64 bits is set, by carry-save addition of whole words."""
-    totals, weight, level = np.zeros(64, dtype=np.int64), 1, hashes
-    while len(level):
+    """How often each of the 64 bits is set in every row, by carry-save addition of whole words."""
+    totals, weight, level = np.zeros((len(hashes), 64), dtype=np.int64), 1, hashes
+    while level.shape[1]:
         carried = []
-        while len(level) > 8:
-            third = len(level) // 3
-            a, b, c = level[:third], level[third : 2 * third], level[2 * third : 3 * third]
+        while level.shape[1] > 8:
+            third = level.shape[1] // 3
+            a, b, c = (level[:, at * third : (at + 1) * third] for at in range(3))
             half = a ^ b
             carried.append((a & b) | (c & half))
-            level = np.concatenate([half ^ c, level[3 * third :]])
-        raw = level.astype("<u8").view(np.uint8).reshape(-1, 8)
-        totals += weight * np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        level = np.concatenate(carried) if carried else level[:0]
+            level = np.concatenate([half ^ c, level[:, 3 * third :]], axis=1)
+        raw = np.ascontiguousarray(level, dtype="<u8").view(np.uint8)
+        bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(hashes), -1, 64)
+        totals += weight * bits.sum(axis=1, dtype=np.int64)
+        level = np.concatenate(carried, axis=1) if carried else level[:, :0]
         weight *= 2
     return totals
 
 
+def _majority(totals: np.ndarray, count: int) -> np.ndarray:
+    """One word per row: the bits set in over half of the hashes."""
+    bits = (totals * 2 > count).astype(np.uint8)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel()
+
+
+#: Shingle hashes mixed at a time.
+_MIXED = 1 << 14
+
+
 def wide_fingerprint(text: bytes, words: int, size: int) -> np.ndarray:
     """``size`` words of 64 majority bits, each word from another mixing of the shingle hashes."""
     hashes = shingle_hashes(text, words)
-    found = np.zeros(size, dtype=np.uint64)
-    for number in range(size if len(hashes) else 0):
-        mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (number + 1)) & ((1 << 64) - 1))
+    if not len(hashes):
+        return np.zeros(size, dtype=np.uint64)
+    step = np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    totals = np.zeros((size, 64), dtype=np.int64)
+    for start in range(0, len(hashes), _MIXED):
+        mixed = hashes[None, start : start + _MIXED] + step[:, None]
         mixed ^= mixed >> np.uint64(30)
         mixed *= np.uint64(0xBF58476D1CE4E5B9)
         mixed ^= mixed >> np.uint64(27)
         mixed *= np.uint64(0x94D049BB133111EB)
         mixed ^= mixed >> np.uint64(31)
-        bits = (_bit_totals(mixed) * 2 > len(hashes)).astype(np.uint8)
-        found[number] = np.packbits(bits, bitorder="little").view("<u8")[0]
-    return found
+        totals += _bit_totals(mixed)
+    return _majority(totals, len(hashes))
 
 
 class _Forest:

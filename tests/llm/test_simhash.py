@@ -59,7 +59,10 @@ def test_tree_links_what_is_near(count, radius):
 def test_bit_totals():
     hashes = np.random.default_rng(1).integers(0, 1 << 64, 1001, dtype=np.uint64)
     plain = [int(((hashes >> np.uint64(b)) & np.uint64(1)).sum()) for b in range(64)]
-    assert simhash._bit_totals(hashes).tolist() == plain
+    assert simhash._bit_totals(hashes[None, :]).tolist() == [plain]
+    rows = simhash._bit_totals(np.stack([hashes, hashes[::-1] ^ np.uint64(1)]))
+    assert rows[0].tolist() == plain and rows[1][1:].tolist() == plain[1:]
+    assert rows[1][0] == len(hashes) - plain[0]
 
 
 @pytest.mark.parametrize("shard", [8192, 5])
