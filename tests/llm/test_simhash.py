@@ -128,3 +128,56 @@ def test_keep_one_awkward(spark):
     texts = [row["text"] for row in kept.collect()]
     assert texts.count(None) == 2 and "" in texts
     assert simhash.keep_one(empty(spark)).count() == 0
+
+
+def _shingles(text, words=5):
+    found = text.split()
+    return {tuple(found[i : i + words]) for i in range(max(1, len(found) - words + 1))}
+
+
+def _jaccard(one, other):
+    a, b = _shingles(one), _shingles(other)
+    return len(a & b) / len(a | b)
+
+
+def test_similar_documents_find_isolated_block_edits(spark):
+    """Pairs whose difference is one passage, added, removed or replaced, around 0.75 to 0.9."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for pair in range(240):
+        text = [f"p{pair}w{i}" for i in rng.integers(0, 4000, 404)]
+        other, size, at = list(text), int(rng.integers(15, 110)), int(rng.integers(0, 290))
+        fresh = [f"p{pair}x{i}" for i in range(size)]
+        if pair % 3 == 0:
+            other = other + fresh
+        elif pair % 3 == 1:
+            del other[at : at + size]
+        else:
+            other[at : at + size // 2] = fresh[: size // 2]
+        texts += [" ".join(text), " ".join(other)]
+    alike = [_jaccard(a, b) >= 0.8 for a, b in zip(texts[::2], texts[1::2])]
+    assert 60 < sum(alike) < 220
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {row["doc_id"] for row in simhash.keep_one(frame).collect()}
+    assert [2 * pair + 1 not in kept for pair in range(240)] == alike
+
+
+@pytest.mark.parametrize("part_rows", [512, 4])
+def test_similar_groups_equal_comparing_all(spark, part_rows):
+    """Parts of four divide every group and compare the pieces block by block; repeats count once."""
+    rng = np.random.default_rng(12)
+    texts = []
+    for group in range(4):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for number in range(30):
+            text, size = list(base), int(rng.integers(0, 26))
+            at = int(rng.integers(0, 120 - size))
+            text[at : at + size] = [f"g{group}n{number % 9}x{i}" for i in range(size)]
+            texts.append(" ".join(text + text[:40] * (number % 3)))
+    near = [
+        (i, j) for i in range(len(texts)) for j in range(i) if _jaccard(texts[i], texts[j]) >= 0.8
+    ]
+    root = _components(len(texts), near)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {row["doc_id"] for row in simhash.keep_one(frame, part_rows=part_rows).collect()}
+    assert kept == set(root)
