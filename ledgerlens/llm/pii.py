@@ -3,7 +3,8 @@
 DataFrame functions only. Positions come from the texts between the matches, so they count code
 points. The patterns never look at a character more often than a small number of times: starts
 inside a run that has already failed are excluded, and repeated groups are possessive, so that a
-text of one endless number or name costs time in proportion to its length.
+text of one endless number or name costs time in proportion to its length. Account numbers are
+sought from every start in the next 60 characters at most.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ class Kind:
     score: float
     context: str
     base: bool = True
+    #: Group of the pattern that holds a run in which the match is sought; the pattern itself then
+    #: takes only the run's first characters, so that later starts are seen too.
+    run: int = 0
+    first: int = 0
 
 
 def _digits(match: Column) -> Column:
@@ -63,6 +68,58 @@ def mod97(account: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), step) == 1
 
 
+#: Characters of an account number by country; other countries' numbers may have any length.
+ACCOUNT_LENGTHS = {
+    code: size
+    for size, codes in (
+        (15, "NO"),
+        (16, "BE"),
+        (18, "DK FI FK FO GL NL SD"),
+        (19, "MK SI"),
+        (20, "AT BA EE KZ LT LU MN XK"),
+        (21, "CH HR LI LV"),
+        (22, "BG BH CR DE GB GE IE ME RS VA"),
+        (23, "AE GI IL IQ OM SO TL"),
+        (24, "AD CZ ES MD PK RO SA SE SK TN VG"),
+        (25, "LY PT ST"),
+        (26, "IS TR"),
+        (27, "BI DJ FR GR IT MC MR SM"),
+        (28, "AL AZ BY CY DO GT HU LB NI PL SV"),
+        (29, "BR EG PS QA UA"),
+        (30, "JO KW MU YE"),
+        (31, "MT SC"),
+        (32, "LC"),
+        (33, "RU"),
+    )
+    for code in codes.split()
+}
+
+
+def account_in(run: Column) -> Column:
+    """The account number a run begins with, null where there is none.
+
+    It ends where a group of the run ends and passes the checksum; among several ends the one of
+    the country's length, else the longest.
+    """
+    sizes = F.create_map(*[F.lit(x) for pair in ACCOUNT_LENGTHS.items() for x in pair])
+    parts = F.split(run, " ")
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), " ")
+    )
+    length = lambda some: F.length(F.regexp_replace(some, " ", ""))
+    sized = F.filter(ends, lambda some: length(some).between(15, 34) & some.rlike("^[A-Z0-9 ]+$"))
+    valid = F.filter(sized, mod97)
+    ranked = F.transform(
+        valid,
+        lambda some: F.struct(
+            F.coalesce(sizes[F.substring(run, 1, 2)] == length(some), F.lit(False)).alias("exact"),
+            F.length(some).alias("size"),
+            some.alias("account"),
+        ),
+    )
+    return F.array_max(ranked)["account"]
+
+
 def _octets(match: Column) -> Column:
     """Whether all parts of a dotted number are at most 255."""
     def fits(part):
@@ -103,10 +160,13 @@ KINDS = (
     Kind(
         "iban",
         r"[A-Z]{2}[0-9]{2}[\x20A-Z0-9]",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        # The run goes on over following capitals and digits, and one letter more shows where it is cut.
+        r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:\x20?+[A-Z0-9]){11,30}+[A-Za-z0-9]?+))[A-Z]{2}[0-9]{2}",
         0.8,
         r"iban|account|bank|konto|cuenta|compte",
         base=False,
+        run=1,
+        first=4,
     ),
     Kind(
         "national_id",
@@ -129,11 +189,27 @@ def _confirmed(kind: Kind, match: Column) -> Column:
         return F.length(_digits(match)).between(9, 15)
     if kind.name == "ip":
         return _octets(match)
-    if kind.name == "iban":
-        return mod97(match)
     return F.lit(True)
 
 
+def _accounts(placed: Column) -> Column:
+    """Runs cut to the account numbers they begin with; none begins inside an earlier one."""
+    cut = F.transform(
+        placed, lambda span: F.struct(span["start"].alias("start"), account_in(span["match"]).alias("match"))
+    )
+    empty = F.array().cast("array<struct<start:int,match:string>>")
+    return F.aggregate(
+        F.filter(cut, lambda span: span["match"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), empty.alias("found")),
+        lambda done, span: F.when(span["start"] < done["at"], done).otherwise(
+            F.struct(
+                (span["start"] + F.length(span["match"])).alias("at"),
+                F.concat(done["found"], F.array(span)).alias("found"),
+            )
+        ),
+    )["found"]
+
+
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
 
 
@@ -143,15 +219,16 @@ def _spans(rank: int, kind: Kind, text: Column) -> Column:
     # split() gives the text between the matches, so the two lists tell every position.
     pairs = F.arrays_zip(
         F.split(text, kind.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"),
+        F.regexp_extract_all(text, pattern, F.lit(kind.run)).alias("match"),
     )
+    taken = lambda match: F.lit(kind.first) if kind.run else F.length(match)
     empty = F.array().cast("array<struct<start:int,match:string>>")
     placed = F.aggregate(
         pairs,
         F.struct(F.lit(0).alias("at"), empty.alias("found")),
         lambda done, pair: F.struct(
             (
-                done["at"] + F.length(pair["gap"]) + F.coalesce(F.length(pair["match"]), F.lit(0))
+                done["at"] + F.length(pair["gap"]) + F.coalesce(taken(pair["match"]), F.lit(0))
             ).alias("at"),
             F.when(pair["match"].isNull(), done["found"])
             .otherwise(
@@ -168,6 +245,8 @@ def _spans(rank: int, kind: Kind, text: Column) -> Column:
             .alias("found"),
         ),
     )["found"]
+    if kind.run:
+        placed = _accounts(placed)
     confirmed = F.filter(placed, lambda span: _confirmed(kind, span["match"]))
 
     def scored(span):

@@ -78,6 +78,28 @@ def test_checksums_and_context_decide_on_other_kinds(spark):
     assert scores[0] > scores[1]
 
 
+def test_account_numbers_before_capitals_and_digits(spark):
+    german, british, french = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606"
+    texts = {
+        f"IBAN {german} Please": [german],
+        f"IBAN {german} BIC DEUTDEFF": [german],
+        f"IBAN {german} 2024-01-01": [german],
+        f"IBAN {german} 12 34 56 78 90 12 34 56 78 90 12 34": [german],
+        f"accounts {german} {british} {french}": [german, british, french],
+        f"{british} {german}, AB12 CD34 {french} IBAN": [british, german, french],
+        "IBAN DE89 3704 0044 0532 0130 00 EUR 100 Total": ["DE89 3704 0044 0532 0130 00"],
+        f"IBAN {german}Please {german}x {german}9": [],
+        f"IBAN x{german} 😀{british}😀": [british],
+        "IBAN DE89370400440532013001 BIC DEUTDEFF": [],
+    }
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    for row in pii.find_personal_data(frame).collect():
+        spans = [s for s in row["pii_spans"] if s["kind"] == "iban"]
+        assert [row["text"][s["start"] : s["end"]] for s in spans] == texts[row["text"]], row["text"]
+    masked = pii.redact(spark.createDataFrame([(f"IBAN {german} Please",)], "text string")).first()
+    assert masked["text"] == "IBAN [IBAN] Please"
+
+
 def test_redaction_keeps_the_rest_and_the_columns(spark):
     frame = awkward(spark)
     masked = pii.redact(frame)
