@@ -539,13 +539,11 @@ def _model_headline(candidate, ledger: DataFrame, schemes: DataFrame) -> DataFra
 
 
 def logistic_headline(ledger: DataFrame, schemes: DataFrame) -> DataFrame:
-    grid = {"regParam": [0.01, 0.1]}
-    return _model_headline(models.logistic_candidate(grid, max_iter=20), ledger, schemes)
+    return _model_headline(models.logistic_candidate(), ledger, schemes)
 
 
 def trees_headline(ledger: DataFrame, schemes: DataFrame) -> DataFrame:
-    grid = {"maxDepth": [3]}
-    return _model_headline(models.trees_candidate(grid, max_iter=5), ledger, schemes)
+    return _model_headline(models.trees_candidate(), ledger, schemes)
 
 
 def cyclic_table(ledger: DataFrame) -> DataFrame:

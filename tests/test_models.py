@@ -7,6 +7,7 @@ from conftest import SF_TINY
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
+from ledgerlens import registry
 from ledgerlens.operators.encoders import SinCosEncoder
 from ledgerlens.operators.thresholds import at_thresholds
 from ledgerlens.plans import evaluation, features, models, rules
@@ -228,3 +229,14 @@ def test_subsets(spark):
     assert features.sample_rows(ledger.repartition(9), 0.3).exceptAll(drawn).isEmpty()
     with pytest.raises(ValueError):
         features.temporal_cutoff(spark.createDataFrame([], "ts_unix bigint"))
+
+
+@pytest.mark.parametrize(
+    "name, combinations, rounds", [("logistic_headline", 18, 100), ("trees_headline", 12, 50)]
+)
+def test_registered_models_search_the_whole_grid(spark, monkeypatch, name, combinations, rounds):
+    asked = []
+    monkeypatch.setattr(registry, "_model_headline", lambda candidate, *tables: asked.append(candidate))
+    getattr(registry, name)(None, None)
+    assert len(asked[0].combinations()) == combinations
+    assert asked[0].estimator.getMaxIter() == rounds
