@@ -6,7 +6,7 @@ bounded number of landmark words (Nyström), and a text is as toxic as its worst
 
 Labels are given for texts, not words. The words to learn from hold a telling string of a few
 characters: one that stands in so many toxic texts, and hardly in clean ones, that chance does
-not explain it. Near copies count as one text, so that words which merely stand in copies of one
+not explain it. Single clean texts with an insult (wrong labels, quotations) do not save it. Near copies count as one text, so that words which merely stand in copies of one
 toxic text are not taken for insults. All of the learning data are drawn from labelled texts up
 to stated bounds; scoring covers every whole text.
 """
@@ -42,6 +42,13 @@ CANDIDATE_GRAMS = 20_000
 #: at which a string counts as telling by chance.
 LEAST_SUPPORT, CHANCE = 5, 1e-7
 
+#: Clean texts for each toxic one that a telling string may have: labels err, texts quote.
+CLEAN_RATE = 0.01
+
+#: Words at more than so many times their rate of clean texts in toxic ones may be insults, where they
+#: hold a telling string, and are no examples of clean words.
+FAR_MORE = 5
+
 #: Words that tell near copies.
 _SAMPLED_WORDS = 12
 
@@ -161,6 +168,23 @@ def _kinds(samples: list[list[str]]) -> list[int]:
     return found
 
 
+def _hardly_clean(clean: int, toxic: int) -> bool:
+    """Whether so many clean texts against toxic ones are within three errors of CLEAN_RATE."""
+    expected = CLEAN_RATE * toxic
+    return clean <= expected + 3 * expected**0.5
+
+
+def _by_chance(toxic: int, clean: int, share: float) -> float:
+    """Probability that of all these texts at most ``clean`` are not toxic."""
+    total = toxic + clean
+    logs = (
+        math.lgamma(total + 1) - math.lgamma(i + 1) - math.lgamma(total - i + 1)
+        + i * math.log1p(-share) + (total - i) * math.log(share)
+        for i in range(clean + 1)
+    )
+    return sum(map(math.exp, logs))
+
+
 def _telling(
     texts: list[list[str]],
     samples: list[list[str]],
@@ -171,8 +195,8 @@ def _telling(
     """Strings of toxic texts that chance would not keep out of clean ones, most frequent first.
 
     Near copies count once. With a toxic share s of the texts, a string of m texts falls into
-    toxic ones only with a probability of s**m; m is asked to make that improbable for all
-    strings together.
+    toxic ones only with a probability of s**m (and the binomial tail where some are clean); it is
+    asked to be improbable for all strings together.
     """
     kinds = _kinds(samples)
     holding: dict[str, set[int]] = {gram: set() for gram in candidates}
@@ -180,11 +204,13 @@ def _telling(
         for gram in set().union(*map(grams, some)) if some else ():
             if gram in holding:
                 holding[gram].add(kind)
-    support = max(LEAST_SUPPORT, math.log(CHANCE) / math.log(min(max(share, 1e-3), 0.999)))
+    share = min(max(share, 1e-3), 0.999)
     telling = {
         gram: len(held)
         for gram, held in holding.items()
-        if len(held) >= support and clean.get(gram, 0) <= 0.01 * len(held)
+        if len(held) >= LEAST_SUPPORT
+        and _hardly_clean(clean.get(gram, 0), len(held))
+        and _by_chance(len(held), clean.get(gram, 0), share) <= CHANCE
     }
     return sorted(telling, key=lambda gram: (-telling[gram], gram))
 
@@ -242,22 +268,37 @@ def learn(
                 )
 
     spelled = Stage(
-        texts.select("toxic", "_text").mapInArrow(
-            spell, "toxic int, words array<string>, sample array<string>"
-        ),
+        texts.select("toxic", "_text")
+        .mapInArrow(spell, "toxic int, words array<string>, sample array<string>")
+        .withColumn("at", F.monotonically_increasing_id()),
         "spelled",
     ).frame
+    sampled = spelled.select("toxic", "at", "sample").orderBy("toxic", "at").collect()
+    numbered = []
+    for toxic in (0, 1):
+        some = [row for row in sampled if row["toxic"] == toxic]
+        numbered += zip([row["at"] for row in some], _kinds([row["sample"] for row in some]))
+    # Near copies count once; two numbers for each of the drawn texts.
+    kinds = docs.sparkSession.createDataFrame(numbered, "at bigint, kind bigint")
+    occurring = Stage(
+        spelled.select("toxic", "at", F.explode("words").alias("word"))
+        .join(F.broadcast(kinds), "at")
+        .select("word", "toxic", "kind")
+        .distinct(),
+        "occurring",
+    ).frame
     vocabulary = Stage(
-        spelled.select("toxic", F.explode("words").alias("word"))
-        .groupBy("word")
+        occurring.groupBy("word")
         .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")),
         "vocabulary",
     ).frame
+    both = {row["toxic"]: row["count"] for row in drawn.groupBy("toxic").count().collect()}
+    far_more = F.col("toxic") * both.get(0, 0) > FAR_MORE * F.col("clean") * both.get(1, 0)
+    harmless = vocabulary.where((F.col("clean") > 0) & ~far_more).select("word", "clean")
     only_toxic = (
         spelled.where("toxic = 1")
-        .withColumn("at", F.monotonically_increasing_id())
         .select("at", "sample", F.explode("words").alias("word"))
-        .join(vocabulary.where("clean = 0").select("word"), "word")
+        .join(vocabulary.where(far_more).select("word"), "word")
         .groupBy("at", "sample")
         .agg(F.array_sort(F.collect_list("word")).alias("words"))
         .orderBy("at")
@@ -273,9 +314,8 @@ def learn(
         [(gram,) for gram in sorted(candidates)], "gram string"
     )
     machine = None
-    if candidates and not vocabulary.where("clean > 0").isEmpty():
-        clean = _clean_counts(vocabulary, listed)
-        both = {row["toxic"]: row["count"] for row in drawn.groupBy("toxic").count().collect()}
+    if candidates and not harmless.isEmpty():
+        clean = _clean_counts(vocabulary, occurring.where("toxic = 0"), listed)
         telling = _telling(
             toxic_words,
             [row["sample"] for row in only_toxic],
@@ -287,7 +327,6 @@ def learn(
             word for some in toxic_words for word in some if not grams(word).isdisjoint(telling)
         )
         insults = [w for w, _ in sorted(frequent.items(), key=lambda x: (-x[1], x[0]))[:FITTED_WORDS]]
-        harmless = vocabulary.where("clean > 0").select("word", "clean")
         usual = _top(harmless.orderBy(F.desc("clean"), "word"), FITTED_WORDS // 3)
         various = _top(harmless.orderBy(F.xxhash64("word"), "word"), FITTED_WORDS)
         if insults:
@@ -324,27 +363,26 @@ def _fit(insults: list[str], harmless: list[str], landmarks: list[str]) -> Machi
     return fit(insults + spoiled + harmless, labels, landmarks)
 
 
-def _clean_counts(vocabulary: DataFrame, listed: DataFrame) -> dict[str, int]:
-    """How often the listed strings occur in words of clean texts."""
+def _clean_counts(vocabulary: DataFrame, occurring: DataFrame, listed: DataFrame) -> dict[str, int]:
+    """In how many clean texts (``occurring``: word and kind) the listed strings stand."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, times = [], []
-            for word, clean in zip(batch.column("word").to_pylist(), batch.column("clean").to_pylist()):
-                some = grams(word)
-                found += some
-                times += [clean] * len(some)
+            pairs = [(gram, word) for word in batch.column("word").to_pylist() for gram in grams(word)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.string()), pa.array(times, pa.int64())], ["gram", "clean"]
+                [pa.array([pair[at] for pair in pairs], pa.string()) for at in (0, 1)], ["gram", "word"]
             )
 
     counted = (
         vocabulary.where("clean > 0")
-        .select("word", "clean")
-        .mapInArrow(cut, "gram string, clean bigint")
+        .select("word")
+        .mapInArrow(cut, "gram string, word string")
         .join(F.broadcast(listed), "gram")
+        .join(occurring, "word")
+        .select("gram", "kind")
+        .distinct()
         .groupBy("gram")
-        .agg(F.sum("clean").alias("clean"))
+        .agg(F.count(F.lit(1)).alias("clean"))
     )
     return {row["gram"]: row["clean"] for row in counted.collect()}
 

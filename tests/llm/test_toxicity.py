@@ -71,6 +71,23 @@ def test_held_out_accuracy_and_inserted_characters(spark):
     assert got[0] > 10 * got[1] and got[2] == got[3] and 0 <= got[3] < toxicity.REJECT_AT
 
 
+def test_few_clean_texts_with_insults_do_not_hide_them(spark):
+    """A quoting text with every insult, in near copies, and toxic texts with wrong labels."""
+    rows, labels = _corpus(900, 2)
+    truth = dict(labels)
+    forms = [stem + end for stem in ("grobnik", "zwuffel", "pheckst") for end in ("", "s", "er", "y")]
+    wrong = [key for key, toxic in labels if toxic and key % 3][:2]
+    learnt = [(key, 0 if key in wrong else toxic) for key, toxic in labels if key % 3]
+    quote = " ".join(forms) + " " + " ".join(f"quoted{i}" for i in range(60))
+    rows += [(10_000 + i, f"{quote} copy{i}") for i in range(8)]
+    learnt += [(10_000 + i, 0) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(learnt, "doc_id long, toxic int"))
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_texts(docs, model).collect()}
+    held = [(scores[key] >= toxicity.REJECT_AT, toxic) for key, toxic in truth.items() if key % 3 == 0]
+    assert sum(bool(toxic) == guess for guess, toxic in held) / len(held) >= 0.97
+
+
 def test_awkward_rows_and_labels(spark):
     labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (5, 0)], "doc_id long, toxic int")
     model = toxicity.learn(awkward(spark), labels)
