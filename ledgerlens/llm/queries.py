@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, embeddings, exact_dedup, packing, pii, simhash, suffix_dedup, token_files, toxicity, warc
+from ledgerlens.llm import (
+    bpe,
+    embeddings,
+    exact_dedup,
+    packing,
+    periodic,
+    pii,
+    simhash,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    warc,
+)
 from ledgerlens.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +131,44 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents of op13: every tenth by its checksum repeats a stretch of words to its end."""
+    checksum = F.crc32(F.col("doc_id").cast("string"))
+    docs = docs.select(
+        "doc_id", "text", checksum.alias("_h"), F.floor(checksum / 10).cast("long").alias("_g")
+    )
+    words = F.regexp_extract_all("text", F.lit(periodic.WORD), F.lit(0))
+    size = F.size(words).cast("long")
+    first = F.col("_g") % size
+    period = 1 + F.floor((size - first) / (3 + F.col("_g") % 8))
+    head = F.slice(words, F.lit(1), first.cast("int"))
+    unit = F.slice(words, (first + 1).cast("int"), period.cast("int"))
+    tail = F.flatten(F.array_repeat(unit, F.ceil((size - first) / period).cast("int")))
+    repeated = F.array_join(F.slice(F.concat(head, tail), F.lit(1), size.cast("int")), " ")
+    text = F.when((F.col("_h") % 10 == 0) & (size > 0), repeated).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_repeats(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda run: F.struct(run["length"], -run["start"], -run["period"]))
+    )
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    found = found.withColumn("_longest", longest)
+    start, length, period = -F.col("_longest.col2"), F.col("_longest.length"), -F.col("_longest.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(F.lit(1000) * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -131,6 +181,7 @@ def all_queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_embeddings": op9_embeddings,
         "op10_byte_bpe": op10_byte_bpe,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 
