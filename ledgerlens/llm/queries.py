@@ -12,6 +12,7 @@ from ledgerlens.llm import (
     bpe,
     embeddings,
     exact_dedup,
+    licenses,
     packing,
     periodic,
     pii,
@@ -131,6 +132,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labels(found: Column) -> Column:
+    names = F.array_distinct(F.transform(found, lambda one: one["label"]))
+    return F.array_join(F.sort_array(names), ",")
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(_table(spark, sf_dir, "documents"))
+    base = F.filter("found", lambda one: one["is_phrase"])
+    starts = F.transform(base, lambda one: one["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        _labels(base).alias("base_labels"),
+        _labels(F.col("found")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda one: one["share"])), F.lit(0.0)).alias("score"),
+    )
+
+
 def _with_repeats(docs: DataFrame) -> DataFrame:
     """The documents of op13: every tenth by its checksum repeats a stretch of words to its end."""
     checksum = F.crc32(F.col("doc_id").cast("string"))
@@ -154,7 +176,10 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     longest = F.array_max(
         F.transform("runs", lambda run: F.struct(run["length"], -run["start"], -run["period"]))
     )
-    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    lines = F.transform(
+        "runs",
+        lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")),
+    )
     found = found.withColumn("_longest", longest)
     start, length, period = -F.col("_longest.col2"), F.col("_longest.length"), -F.col("_longest.col3")
     return found.select(
@@ -181,6 +206,7 @@ def all_queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_embeddings": op9_embeddings,
         "op10_byte_bpe": op10_byte_bpe,
+        "op12_license_scan": op12_license_scan,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
