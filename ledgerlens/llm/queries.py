@@ -15,6 +15,7 @@ from ledgerlens.llm import (
     licenses,
     packing,
     periodic,
+    phrases,
     pii,
     simhash,
     suffix_dedup,
@@ -132,6 +133,10 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def _labels(found: Column) -> Column:
     names = F.array_distinct(F.transform(found, lambda one: one["label"]))
     return F.array_join(F.sort_array(names), ",")
@@ -206,6 +211,7 @@ def all_queries() -> dict[str, Query]:
         "op8_token_files": op8_token_files,
         "op9_embeddings": op9_embeddings,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_collocations": op11_collocations,
         "op12_license_scan": op12_license_scan,
         "op13_periodic_runs": op13_periodic_runs,
     }
@@ -255,4 +261,42 @@ def answers() -> dict[str, str]:
             SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
                    vec_id = component_id AS kept
             FROM component LEFT JOIN linked USING (vec_id)""",
+        "op11_collocations": r"""
+            WITH t AS (
+                SELECT doc_id, coalesce(lang, 'und') AS lang, row_number() OVER () AS row,
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                           'abcdefghijklmnopqrstuvwxyz') AS text
+                FROM documents),
+            pieces AS (
+                SELECT lang, regexp_extract_all(
+                    unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w
+                FROM t),
+            grams AS (
+                SELECT lang, m, unnest(list_transform(generate_series(1, len(w) - m + 1),
+                    lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+                FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+            f AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY ALL),
+            n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+            c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+            cuts AS (
+                SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS p, array_to_string(w[k + 1:m], ' ') AS q
+                FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM c)),
+            scored AS (
+                SELECT cuts.*, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f + y.f))::BIGINT AS score
+                FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p
+                JOIN f y ON y.lang = cuts.lang AND y.phrase = q),
+            best AS (
+                SELECT * FROM scored
+                QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+            inside AS (
+                SELECT lang, a AS longer, array_to_string(w[s:s + size - 1], ' ') AS phrase
+                FROM (SELECT *, unnest(generate_series(1, m - size + 1)) AS s
+                      FROM (SELECT *, unnest(generate_series(2, m - 1)) AS size FROM c WHERE m > 2))),
+            kept AS (
+                SELECT * FROM best WHERE NOT EXISTS (
+                    SELECT 1 FROM inside WHERE inside.lang = best.lang AND inside.phrase = best.phrase
+                    AND 100::HUGEINT * longer >= 80::HUGEINT * a))
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                   phrase, a, l, r, n, score
+            FROM kept JOIN n USING (lang) QUALIFY rank <= 2000""",
     }
