@@ -1,26 +1,31 @@
 """Collocations: phrases of two to four words that hold together, by the SON partitioning method.
 
 A phrase with ``support`` occurrences in all has, in at least one of several shards, at least the
-part of ``support`` that is the shard's part of the words. So:
+part of ``support`` that is the shard's part of the language's text. So:
 
-1. every shard (a group of input partitions) is mined completely at its proportionally lowered
+1. every shard (texts of one checksum remainder) is mined completely at its proportionally lowered
    support: words, then pairs, then longer phrases whose two shorter parts are candidates already;
 2. what is frequent in some shard is a candidate; candidates of all shards are united;
 3. all candidates, and nothing else, are counted over all documents, exactly.
 
-Languages are counted apart. In steps 1 and 2 phrases are 64-bit hashes; in step 3 they are counted
-as texts, so two phrases with one hash only make a candidate too many. Candidates reach the tasks
-as a filter of fixed size (``FILTER_BITS``): a full filter lets more phrases through to the count,
-and never loses one.
+Languages are counted apart. In steps 1 and 2 phrases are hashes: a task sends sorted lists of
+them, cut into ranges so that the counts of a shard are added up in many tasks. In step 3 they are
+counted as texts, so two phrases with one hash only make a candidate too many. Candidates reach the
+tasks as a filter of fixed size (``FILTER_BITS``): a full filter lets more phrases through to the
+count, and never loses one.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,15 +38,18 @@ LONGEST = 4
 #: Fewest occurrences of a phrase in its language.
 SUPPORT = 30
 
-#: Groups of input partitions that are mined by themselves. With s shards of one size the support
-#: within one is SUPPORT / s, so more shards let more candidates through.
+#: Parts of the texts that are mined by themselves. With s shards of one size the support within
+#: one is SUPPORT / s, so more shards let more candidates through.
 SHARDS = 8
 
+#: Text bytes of a shard and language whose counts are added up in one task.
+RANGE_BYTES = 16 << 20
+
 #: Size of the candidate filter (2**27 bits are 16 MB).
 FILTER_BITS = 27
 
-#: Text bytes that a task counts at once.
-TOGETHER = 12 << 20
+#: Text bytes that a task counts at once, about; longer texts are cut between two pieces.
+TOGETHER = 4 << 20
 
 #: Language of documents without one.
 NO_LANGUAGE = "und"
@@ -54,6 +62,8 @@ _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[0x20, 0x09]] = 1
 _KIND[[ord(sign) for sign in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = 2
 
+_BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
+
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = [np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64) for seed in (11, 12)]
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -68,40 +78,56 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def _powers(base: np.uint64, size: int) -> np.ndarray:
+@functools.lru_cache(maxsize=2)
+def _powers(base: int, size: int) -> np.ndarray:
     found = np.full(size, base, dtype=np.uint64)
     found[0] = 1
     return np.cumprod(found, dtype=np.uint64)
 
 
+def _seed(name: bytes, table: int) -> int:
+    return int.from_bytes(hashlib.sha256(bytes([table]) + name).digest()[:8], "little")
+
+
 class _Words:
-    """The words of many texts: where they stand, their pieces and languages, and hashes of phrases."""
+    """The words of many texts: where they stand, their pieces and groups, and hashes of phrases.
 
-    def __init__(self, texts: list[bytes], languages: list[bytes]):
+    ``rows`` are (language, shard, text); words of one language and shard stand together.
+    """
+
+    def __init__(self, rows: list[tuple[bytes, int, bytes]]):
+        rows.sort(key=lambda row: row[:2])
         # A line feed ends a piece, so no phrase lies across two texts.
-        self.raw = b"\n".join([*texts, b""]).lower()
-        data = np.frombuffer(self.raw, dtype=np.uint8)
-        kind = _KIND[data]
+        self.raw = b"\n".join([*[text for _, _, text in rows], b""]).lower()
+        self.data = np.frombuffer(self.raw, dtype=np.uint8)
+        kind = _KIND[self.data]
         inside = np.zeros(len(kind) + 1, dtype=np.int8)
         inside[1:] = kind == 0
         edges = np.diff(inside)
         self.starts, self.ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        breaks = np.flatnonzero(kind == 2)
-        self.piece = np.searchsorted(breaks, self.starts)
-        sizes = np.array([len(text) + 1 for text in texts], dtype=np.int64)
-        text_of = np.searchsorted(np.cumsum(sizes), self.starts, side="right")
-        self.names, number = np.unique(np.array(languages, dtype=object), return_inverse=True)
-        self.language = number[text_of].astype(np.int32)
-        self._data = data
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.starts]
+        sizes = np.array([len(text) + 1 for _, _, text in rows], dtype=np.int64)
+        first_word = np.searchsorted(self.starts, np.concatenate([[0], np.cumsum(sizes)]))
+        #: (language, shard, first word, word after the last) of every group that has words
+        self.groups: list[tuple[bytes, int, int, int]] = []
+        for (name, shard, _), start, end in zip(rows, first_word[:-1].tolist(), first_word[1:].tolist(), strict=True):
+            if self.groups and self.groups[-1][:2] == (name, shard):
+                self.groups[-1] = (name, shard, self.groups[-1][2], end)
+            else:
+                self.groups.append((name, shard, start, end))
 
     def first_hashes(self, table: int) -> np.ndarray:
         """A hash of every word and its language."""
-        size = len(self._data)
+        size = len(self.data)
+        room = max(2 * TOGETHER, 1 << size.bit_length())  # few different sizes, kept between calls
+        terms = _BYTES[table][self.data]
+        terms *= _powers(_FACTOR, room)[:size]
         sums = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[table][self._data] * _powers(_FACTOR, max(1, size))[:size], out=sums[1:])
-        found = (sums[self.ends] - sums[self.starts]) * _powers(_BACK, size + 1)[self.starts]
-        seeds = np.array([_seed(name, table) for name in self.names], dtype=np.uint64)
-        return _mixed(found + seeds[self.language])
+        np.cumsum(terms, out=sums[1:])
+        found = (sums[self.ends] - sums[self.starts]) * _powers(_BACK, room)[self.starts]
+        for name, _, start, end in self.groups:
+            found[start:end] += np.uint64(_seed(name, table))
+        return _mixed(found)
 
     def longer(self, shorter: np.ndarray, words: np.ndarray) -> np.ndarray:
         """From hashes of phrases of n words those of n + 1, of all places (also across pieces)."""
@@ -120,127 +146,169 @@ class _Words:
         return b" ".join(self.raw[self.starts[at] : self.ends[at + size - 1]].split())
 
 
-def _seed(name: bytes, table: int) -> int:
-    import hashlib
-
-    return int.from_bytes(hashlib.sha256(bytes([table]) + name).digest()[:8], "little")
+def _kept(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The hashes with only their first bits, which the counts of a shard keep."""
+    drop = np.uint64(64 - bits)
+    return (hashes >> drop) << drop
 
 
-def _bits(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+def _places(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The two bits of every hash in a candidate filter of 2**width bits."""
     shift = np.uint64(64 - width)
-    return hashes >> shift, (hashes * _FACTOR) >> shift
+    return hashes >> shift, _mixed(hashes.copy()) >> shift
 
 
-def _passes(candidates: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+def _passes(candidates: tuple[np.ndarray, int], hashes: np.ndarray) -> np.ndarray:
     """Whether the hashes may be candidates."""
+    marks, bits = candidates
     held = np.ones(len(hashes), dtype=bool)
-    for bit in _bits(hashes, (64 * len(candidates)).bit_length() - 1):
-        held &= (candidates[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) != 0
+    for place in _places(_kept(hashes, bits), (64 * len(marks)).bit_length() - 1):
+        held &= (marks[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
     return held
 
 
-def _filter(spark: SparkSession, hashes: DataFrame, width: int) -> Broadcast:
+def _filter(spark: SparkSession, hashes: DataFrame, width: int, bits: int) -> Broadcast:
     """The filter of these candidates; what is gathered is as large as the filter at most."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             some = batch.column("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-            bits = np.unique(np.concatenate(_bits(some, width)))
-            words, first = np.unique(bits >> np.uint64(6), return_index=True)
+            places = np.unique(np.concatenate(_places(some, width)))
+            words, first = np.unique(places >> np.uint64(6), return_index=True)
             if not len(words):
                 continue
-            masks = np.bitwise_or.reduceat(np.uint64(1) << (bits & np.uint64(63)), first)
+            masks = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), first)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words.astype(np.int32)), pa.array(masks.view(np.int64))], names=["at", "mask"]
             )
 
     marked = hashes.select("hash").mapInArrow(mark, "at int, mask bigint")
     gathered = marked.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    bits = np.zeros(1 << (width - 6), dtype=np.uint64)
-    bits[gathered.column("at").to_numpy()] = gathered.column("mask").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast(bits)
-
-
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[_Words]:
-    """The rows of a task, several batches at once."""
-    texts, languages, size = [], [], 0
+    marks = np.zeros(1 << (width - 6), dtype=np.uint64)
+    marks[gathered.column("at").to_numpy()] = gathered.column("mask").to_numpy().view(np.uint64)
+    return spark.sparkContext.broadcast((marks, bits))
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A text in parts of about TOGETHER bytes, cut where a piece ends."""
+    start = 0
+    while len(text) - start > TOGETHER:
+        cut = _BREAK.search(text, start + TOGETHER)
+        if cut is None:
+            break
+        yield text[start : cut.end()]
+        start = cut.end()
+    yield text[start:]
+
+
+def _batches(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[_Words]:
+    """The texts of a task, several at once."""
+    rows, size = [], 0
     for whole in batches:
         for batch in slices(whole, TOGETHER, "_text"):
-            texts += [raw.as_py() for raw in batch.column("_text")]
-            languages += [raw.as_py() for raw in batch.column("_lang")]
-            size += batch.column("_text").nbytes
-            if size >= TOGETHER:
-                yield _Words(texts, languages)
-                texts, languages, size = [], [], 0
-    if texts:
-        yield _Words(texts, languages)
+            for name, raw in zip(batch.column("_lang"), batch.column("_text"), strict=True):
+                text = raw.as_py()
+                shard = zlib.crc32(text) % shards
+                for part in _parts(text):
+                    if rows and size + len(part) > TOGETHER:
+                        yield _Words(rows)
+                        rows, size = [], 0
+                    rows.append((name.as_py(), shard, part))
+                    size += len(part) + 1
+    if rows:
+        yield _Words(rows)
+
+
+def _shares(plain: DataFrame, support: int, shards: int) -> DataFrame:
+    """Text bytes and lowered support (``least``) of every language and shard."""
+    shard = (F.crc32("_text") % shards).cast("int").alias("shard")
+    sizes = plain.groupBy(F.col("_lang").cast("string").alias("lang"), shard).agg(
+        F.sum(F.octet_length("_text") + 1).alias("bytes")
+    )
+    stored = Stage(sizes, "phrase-shards").frame
+    whole = stored.groupBy("lang").agg(F.sum("bytes").alias("all_bytes"))
+    least = F.expr(f"(cast({support} as decimal(20,0)) * bytes + all_bytes - 1) div all_bytes")
+    return stored.join(whole, "lang").select("lang", "shard", "bytes", least.alias("least"))
 
 
-def _mine(plain: DataFrame, size: int, support: int, shards: int, known: list[Broadcast]) -> tuple[DataFrame, Stage]:
-    """Hashes of all phrases of ``size`` words that are frequent in a shard, and the stored counts.
+_LISTS = "lang string, shard int, part int, hashes binary, counts binary"
 
-    ``known`` holds the filters of shorter candidates. The rows without a hash count the words.
+
+def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: list[Broadcast], bits: int) -> DataFrame:
+    """Hashes (their first bits) of all phrases of ``size`` words that are frequent in a shard.
+
+    ``known`` holds the filters of shorter candidates.
     """
+    part_bits, dropped = bits - 32, np.uint64(64 - bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() % shards
-        for texts in _batches(batches):
+        for texts in _batches(batches, shards):
             words = hashes = texts.first_hashes(0)
             held = np.ones(len(words), dtype=bool)
             for shorter, candidates in enumerate(known, start=1):
-                fits = _passes(candidates.value, hashes)
-                if shorter > 1:
-                    fits &= texts.whole(shorter) & held[: len(fits)]
-                keep = max(0, len(fits) - 1)
-                held = fits[:keep] & fits[1:]  # both parts that are one word shorter
+                fits = held & texts.whole(shorter)
+                some = np.flatnonzero(fits)
+                fits[some] = _passes(candidates.value, hashes[some])
+                held = fits[:-1] & fits[1:]  # both parts that are one word shorter
                 hashes = texts.longer(hashes, words)
-            places = np.flatnonzero(held & texts.whole(size))
-            some, first, counts = np.unique(hashes[places], return_index=True, return_counts=True)
-            language = texts.language[places[first]]
-            total = np.bincount(texts.language, minlength=len(texts.names))
-            there = np.flatnonzero(total)
-            names = pa.array([name.decode() for name in texts.names], pa.string())
-            columns = [
-                names.take(pa.array(np.concatenate([language, there]))),
-                pa.array(np.full(len(some) + len(there), shard, dtype=np.int32)),
-                pa.concat_arrays([pa.array(some.view(np.int64)), pa.nulls(len(there), pa.int64())]),
-                pa.array(np.concatenate([counts, total[there]]).astype(np.int64)),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "shard", "hash", "n"])
-
-    counted = plain.mapInArrow(count, "lang string, shard int, hash bigint, n bigint")
-    stored = Stage(counted.groupBy("lang", "shard", "hash").agg(F.sum("n").alias("n")), "phrase-counts")
-    per_shard = stored.frame.where("hash IS NULL").select("lang", "shard", F.col("n").alias("words"))
-    per_lang = per_shard.groupBy("lang").agg(F.sum("words").alias("all_words"))
-    least = per_shard.join(per_lang, "lang").select(
-        "lang", "shard", F.ceil(support * F.col("words") / F.col("all_words") - 1e-9).alias("least")
-    )
-    frequent = stored.frame.where("hash IS NOT NULL").join(least, ["lang", "shard"])
-    return frequent.where("n >= least").select("hash").distinct(), stored
+            held &= texts.whole(size)
+            rows = []
+            for name, shard, start, end in texts.groups:
+                some = np.sort(hashes[start:end][held[start:end]] >> dropped)
+                if not len(some):
+                    continue
+                first = np.flatnonzero(np.concatenate([[True], some[1:] != some[:-1]]))
+                counts = np.diff(np.append(first, len(some))).astype("<u4")
+                some = some[first]
+                parts, edges = np.unique(some >> np.uint64(32), return_index=True)
+                low, edges = some.astype("<u4"), [*edges.tolist(), len(some)]
+                for part, left, right in zip(parts.tolist(), edges[:-1], edges[1:], strict=True):
+                    rows.append((name.decode(), shard, part, low[left:right].tobytes(), counts[left:right].tobytes()))
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(some), kind) for some, kind in zip(columns, kinds, strict=True)],
+                names=["lang", "shard", "part", "hashes", "counts"],
+            )
+
+    def add_up(table: pa.Table) -> pa.Table:
+        hashes = np.frombuffer(b"".join(table.column("hashes").to_pylist()), dtype="<u4")
+        counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), dtype="<u4")
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        total = np.add.reduceat(counts[order].astype(np.int64), first)
+        frequent = hashes[first[total >= table.column("least")[0].as_py()]].astype(np.uint64)
+        frequent += np.uint64(table.column("part")[0].as_py()) << np.uint64(32)
+        return pa.table({"hash": pa.array((frequent << dropped).view(np.int64))})
+
+    lists = plain.mapInArrow(count, _LISTS).join(shares.select("lang", "shard", "least"), ["lang", "shard"])
+    return lists.groupBy("lang", "shard", "part").applyInArrow(add_up, "hash bigint")
 
 
 def _count(plain: DataFrame, longest: int, known: list[Broadcast]) -> DataFrame:
     """lang, size, phrase and f of all candidates, counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _batches(batches):
-            rows: list[tuple[str, int, str, int]] = []
+        for texts in _batches(batches, 1):
+            rows = [(name.decode(), 0, "", end - start) for name, _, start, end in texts.groups]
+            group_ends = np.array([end for *_, end in texts.groups])
             words, others = texts.first_hashes(0), texts.first_hashes(1)
             hashes, checks = words, others
             for size in range(1, longest + 1):
-                places = np.flatnonzero(texts.whole(size) & _passes(known[size - 1].value, hashes))
-                order = np.lexsort((checks[places], hashes[places]))
-                places = places[order]
+                places = np.flatnonzero(texts.whole(size))
+                places = places[_passes(known[size - 1].value, hashes[places])]
+                places = places[np.lexsort((checks[places], hashes[places]))]
                 new = np.ones(len(places), dtype=bool)
                 new[1:] = (hashes[places[1:]] != hashes[places[:-1]]) | (checks[places[1:]] != checks[places[:-1]])
                 first = np.flatnonzero(new)
                 counts = np.diff(np.append(first, len(places)))
-                for at, n in zip(places[first].tolist(), counts.tolist(), strict=True):
-                    name = texts.names[texts.language[at]].decode()
+                group = np.searchsorted(group_ends, places[first], side="right")
+                for at, n, of in zip(places[first].tolist(), counts.tolist(), group.tolist(), strict=True):
+                    name = texts.groups[of][0].decode()
                     rows.append((name, size, texts.text(at, size).decode("utf-8", "replace"), n))
                 hashes, checks = texts.longer(hashes, words), texts.longer(checks, others)
-            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
             kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(some), kind) for some, kind in zip(columns, kinds, strict=True)],
@@ -259,24 +327,24 @@ def frequent_phrases(
     longest: int = LONGEST,
     shards: int = SHARDS,
     filter_bits: int = FILTER_BITS,
+    range_bytes: int = RANGE_BYTES,
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, size, phrase, f) of all phrases of 1 to ``longest`` words with at least ``support``
     occurrences, and (lang, n) with the number of words of every language."""
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     language = F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).cast("binary")
     plain = docs.select(as_bytes(text).alias("_text"), language.alias("_lang"))
+    shares = _shares(plain, support, shards)
+    largest = shares.agg(F.max("bytes")).first()[0] or 0
+    # 32 bits of a hash in its range, and as many more as there are ranges.
+    bits = 32 + min(30, (largest // range_bytes).bit_length())
     known: list[Broadcast] = []
-    totals = None
     for size in range(1, longest + 1):
-        hashes, stored = _mine(plain, size, support, shards, known)
-        known.append(_filter(docs.sparkSession, hashes, filter_bits))
-        if totals is None:
-            totals = stored
-        else:
-            stored.drop()
-    counted = Stage(_count(plain, longest, known).where(F.col("f") >= support), "phrases")
-    words = totals.frame.where("hash IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    return counted.frame, words
+        known.append(_filter(spark, _mine(plain, size, shares, shards, known, bits), filter_bits, bits))
+    counted = Stage(_count(plain, longest, known).where(f"f >= {support} OR size = 0"), "phrases").frame
+    words = counted.where("size = 0").select("lang", F.col("f").alias("n"))
+    return counted.where("size > 0"), words
 
 
 def _salt(of: str) -> Column:

@@ -98,6 +98,30 @@ def test_a_full_filter_changes_nothing(spark):
     assert {(row["lang"], row["phrase"], row["f"]) for row in full.collect()} == plain
 
 
+def test_many_ranges_change_nothing(spark):
+    rows = _texts(4, 300)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    found, words = phrases.frequent_phrases(docs, support=6, range_bytes=100)
+    counts = plain_counts(rows)
+    plain = {(lang, " ".join(words), f) for (lang, words), f in counts.items() if f >= 6}
+    assert {(row["lang"], row["phrase"], row["f"]) for row in found.collect()} == plain
+    for row in words.collect():
+        assert row["n"] == sum(f for (lang, one), f in counts.items() if lang == row["lang"] and len(one) == 1)
+
+
+def test_long_texts_are_cut_between_pieces():
+    text = b"one two. three " * 900_000
+    parts = list(phrases._parts(text))
+    assert len(parts) > 2 and b"".join(parts) == text
+    assert all(part.endswith(b".") for part in parts[:-1])
+    assert list(phrases._parts(b"x" * (9 << 20))) == [b"x" * (9 << 20)]
+
+
+def test_texts_without_words(spark):
+    docs = spark.createDataFrame([(" . ", "en"), ("", "de"), (None, None)], "text string, lang string")
+    assert phrases.collocations(docs).collect() == []
+
+
 def test_awkward_rows(spark):
     assert phrases.collocations(empty(spark).withColumn("lang", phrases.F.lit("en"))).collect() == []
     docs = awkward(spark)
