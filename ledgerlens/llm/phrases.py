@@ -49,7 +49,7 @@ RANGE_BYTES = 16 << 20
 FILTER_BITS = 27
 
 #: Text bytes that a task counts at once, about; longer texts are cut between two pieces.
-TOGETHER = 4 << 20
+TOGETHER = 2 << 20
 
 #: Language of documents without one.
 NO_LANGUAGE = "und"
@@ -119,7 +119,7 @@ class _Words:
     def first_hashes(self, table: int) -> np.ndarray:
         """A hash of every word and its language."""
         size = len(self.data)
-        room = max(2 * TOGETHER, 1 << size.bit_length())  # few different sizes, kept between calls
+        room = max(2 * TOGETHER, 1 << size.bit_length())  # few sizes, so that they are kept between calls
         terms = _BYTES[table][self.data]
         terms *= _powers(_FACTOR, room)[:size]
         sums = np.zeros(size + 1, dtype=np.uint64)
@@ -167,8 +167,9 @@ def _passes(candidates: tuple[np.ndarray, int], hashes: np.ndarray) -> np.ndarra
     return held
 
 
-def _filter(spark: SparkSession, hashes: DataFrame, width: int, bits: int) -> Broadcast:
-    """The filter of these candidates; what is gathered is as large as the filter at most."""
+def _mark(hashes: DataFrame, marks: np.ndarray) -> None:
+    """Enter candidates into a filter; what is gathered is as large as the filter at most."""
+    width = (64 * len(marks)).bit_length() - 1
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,9 +185,7 @@ def _filter(spark: SparkSession, hashes: DataFrame, width: int, bits: int) -> Br
 
     marked = hashes.select("hash").mapInArrow(mark, "at int, mask bigint")
     gathered = marked.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
-    marks = np.zeros(1 << (width - 6), dtype=np.uint64)
-    marks[gathered.column("at").to_numpy()] = gathered.column("mask").to_numpy().view(np.uint64)
-    return spark.sparkContext.broadcast((marks, bits))
+    marks[gathered.column("at").to_numpy()] |= gathered.column("mask").to_numpy().view(np.uint64)
 
 
 def _parts(text: bytes) -> Iterator[bytes]:
@@ -234,10 +233,10 @@ def _shares(plain: DataFrame, support: int, shards: int) -> DataFrame:
 _LISTS = "lang string, shard int, part int, hashes binary, counts binary"
 
 
-def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: list[Broadcast], bits: int) -> DataFrame:
+def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: Broadcast, bits: int) -> DataFrame:
     """Hashes (their first bits) of all phrases of ``size`` words that are frequent in a shard.
 
-    ``known`` holds the filters of shorter candidates.
+    ``known`` is the filter of all shorter candidates.
     """
     part_bits, dropped = bits - 32, np.uint64(64 - bits)
 
@@ -245,10 +244,10 @@ def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: li
         for texts in _batches(batches, shards):
             words = hashes = texts.first_hashes(0)
             held = np.ones(len(words), dtype=bool)
-            for shorter, candidates in enumerate(known, start=1):
+            for shorter in range(1, size):
                 fits = held & texts.whole(shorter)
                 some = np.flatnonzero(fits)
-                fits[some] = _passes(candidates.value, hashes[some])
+                fits[some] = _passes(known.value, hashes[some])
                 held = fits[:-1] & fits[1:]  # both parts that are one word shorter
                 hashes = texts.longer(hashes, words)
             held &= texts.whole(size)
@@ -286,7 +285,7 @@ def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: li
     return lists.groupBy("lang", "shard", "part").applyInArrow(add_up, "hash bigint")
 
 
-def _count(plain: DataFrame, longest: int, known: list[Broadcast]) -> DataFrame:
+def _count(plain: DataFrame, longest: int, known: Broadcast) -> DataFrame:
     """lang, size, phrase and f of all candidates, counted over all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +296,7 @@ def _count(plain: DataFrame, longest: int, known: list[Broadcast]) -> DataFrame:
             hashes, checks = words, others
             for size in range(1, longest + 1):
                 places = np.flatnonzero(texts.whole(size))
-                places = places[_passes(known[size - 1].value, hashes[places])]
+                places = places[_passes(known.value, hashes[places])]
                 places = places[np.lexsort((checks[places], hashes[places]))]
                 new = np.ones(len(places), dtype=bool)
                 new[1:] = (hashes[places[1:]] != hashes[places[:-1]]) | (checks[places[1:]] != checks[places[:-1]])
@@ -339,9 +338,12 @@ def frequent_phrases(
     largest = shares.agg(F.max("bytes")).first()[0] or 0
     # 32 bits of a hash in its range, and as many more as there are ranges.
     bits = 32 + min(30, (largest // range_bytes).bit_length())
-    known: list[Broadcast] = []
+    marks = np.zeros(1 << (filter_bits - 6), dtype=np.uint64)
+    known = spark.sparkContext.broadcast((marks, bits))
     for size in range(1, longest + 1):
-        known.append(_filter(spark, _mine(plain, size, shares, shards, known, bits), filter_bits, bits))
+        _mark(_mine(plain, size, shares, shards, known, bits), marks)
+        known.unpersist()
+        known = spark.sparkContext.broadcast((marks, bits))
     counted = Stage(_count(plain, longest, known).where(f"f >= {support} OR size = 0"), "phrases").frame
     words = counted.where("size = 0").select("lang", F.col("f").alias("n"))
     return counted.where("size > 0"), words
