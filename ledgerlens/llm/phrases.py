@@ -17,7 +17,6 @@ count, and never loses one.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import re
 import zlib
@@ -51,6 +50,9 @@ FILTER_BITS = 27
 #: Text bytes that a task counts at once, about; longer texts are cut between two pieces.
 TOGETHER = 2 << 20
 
+#: Words of more bytes than this are hashed one by one.
+LONG_WORD = 40
+
 #: Language of documents without one.
 NO_LANGUAGE = "und"
 
@@ -66,7 +68,6 @@ _BREAK = re.compile(rb"[.,;:!?\x0A-\x0D]")
 
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = [np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64) for seed in (11, 12)]
-_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def _mixed(values: np.ndarray) -> np.ndarray:
@@ -78,13 +79,6 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(base: int, size: int) -> np.ndarray:
-    found = np.full(size, base, dtype=np.uint64)
-    found[0] = 1
-    return np.cumprod(found, dtype=np.uint64)
-
-
 def _seed(name: bytes, table: int) -> int:
     return int.from_bytes(hashlib.sha256(bytes([table]) + name).digest()[:8], "little")
 
@@ -118,16 +112,23 @@ class _Words:
 
     def first_hashes(self, table: int) -> np.ndarray:
         """A hash of every word and its language."""
-        size = len(self.data)
-        room = max(2 * TOGETHER, 1 << size.bit_length())  # few sizes, so that they are kept between calls
-        terms = _BYTES[table][self.data]
-        terms *= _powers(_FACTOR, room)[:size]
-        sums = np.zeros(size + 1, dtype=np.uint64)
-        np.cumsum(terms, out=sums[1:])
-        found = (sums[self.ends] - sums[self.starts]) * _powers(_BACK, room)[self.starts]
+        seeds = np.zeros(len(self.starts), dtype=np.uint64)
         for name, _, start, end in self.groups:
-            found[start:end] += np.uint64(_seed(name, table))
-        return _mixed(found)
+            seeds[start:end] = _seed(name, table)
+        lengths = self.ends - self.starts
+        # Byte by byte for all words that have so many, the longest words first.
+        order = np.argsort(np.minimum(lengths, LONG_WORD + 1).astype(np.uint8), kind="stable")[::-1]
+        starts, sorted_lengths, found = self.starts[order], lengths[order], seeds[order]
+        for at in range(min(LONG_WORD, int(lengths.max(initial=0)))):
+            some = np.searchsorted(-sorted_lengths, -at)
+            found[:some] *= _FACTOR
+            found[:some] += _BYTES[table][self.data[starts[:some] + at]]
+        for at in np.flatnonzero(sorted_lengths > LONG_WORD):
+            word = self.raw[starts[at] : starts[at] + sorted_lengths[at]]
+            found[at] += np.uint64(_seed(word, table))
+        hashes = np.empty_like(found)
+        hashes[order] = _mixed(found)
+        return hashes
 
     def longer(self, shorter: np.ndarray, words: np.ndarray) -> np.ndarray:
         """From hashes of phrases of n words those of n + 1, of all places (also across pieces)."""
@@ -167,23 +168,17 @@ def _passes(candidates: tuple[np.ndarray, int], hashes: np.ndarray) -> np.ndarra
     return held
 
 
-def _mark(hashes: DataFrame, marks: np.ndarray) -> None:
-    """Enter candidates into a filter; what is gathered is as large as the filter at most."""
-    width = (64 * len(marks)).bit_length() - 1
+def _marks(candidates: np.ndarray, width: int) -> pa.Table:
+    """64-bit words (their place and the bits set in them) of the filter of these hashes."""
+    places = np.unique(np.concatenate(_places(candidates, width)))
+    words, first = np.unique(places >> np.uint64(6), return_index=True)
+    bits = np.uint64(1) << (places & np.uint64(63))
+    masks = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+    return pa.table({"at": pa.array(words.astype(np.int32)), "mask": pa.array(masks.view(np.int64))})
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            some = batch.column("hash").to_numpy(zero_copy_only=False).view(np.uint64)
-            places = np.unique(np.concatenate(_places(some, width)))
-            words, first = np.unique(places >> np.uint64(6), return_index=True)
-            if not len(words):
-                continue
-            masks = np.bitwise_or.reduceat(np.uint64(1) << (places & np.uint64(63)), first)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.astype(np.int32)), pa.array(masks.view(np.int64))], names=["at", "mask"]
-            )
 
-    marked = hashes.select("hash").mapInArrow(mark, "at int, mask bigint")
+def _enter(marked: DataFrame, marks: np.ndarray) -> None:
+    """Enter candidates into the filter; what is gathered is as large as the filter at most."""
     gathered = marked.groupBy("at").agg(F.bit_or("mask").alias("mask")).toArrow()
     marks[gathered.column("at").to_numpy()] |= gathered.column("mask").to_numpy().view(np.uint64)
 
@@ -233,12 +228,14 @@ def _shares(plain: DataFrame, support: int, shards: int) -> DataFrame:
 _LISTS = "lang string, shard int, part int, hashes binary, counts binary"
 
 
-def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: Broadcast, bits: int) -> DataFrame:
-    """Hashes (their first bits) of all phrases of ``size`` words that are frequent in a shard.
+def _mine(
+    plain: DataFrame, size: int, shares: DataFrame, shards: int, known: Broadcast, bits: int, width: int
+) -> DataFrame:
+    """Filter words of all phrases of ``size`` words that are frequent in a shard.
 
-    ``known`` is the filter of all shorter candidates.
+    ``known`` is the filter of all shorter candidates, ``bits`` how much of a hash is counted.
     """
-    part_bits, dropped = bits - 32, np.uint64(64 - bits)
+    dropped = np.uint64(64 - bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts in _batches(batches, shards):
@@ -279,10 +276,10 @@ def _mine(plain: DataFrame, size: int, shares: DataFrame, shards: int, known: Br
         total = np.add.reduceat(counts[order].astype(np.int64), first)
         frequent = hashes[first[total >= table.column("least")[0].as_py()]].astype(np.uint64)
         frequent += np.uint64(table.column("part")[0].as_py()) << np.uint64(32)
-        return pa.table({"hash": pa.array((frequent << dropped).view(np.int64))})
+        return _marks(frequent << dropped, width)
 
     lists = plain.mapInArrow(count, _LISTS).join(shares.select("lang", "shard", "least"), ["lang", "shard"])
-    return lists.groupBy("lang", "shard", "part").applyInArrow(add_up, "hash bigint")
+    return lists.groupBy("lang", "shard", "part").applyInArrow(add_up, "at int, mask bigint")
 
 
 def _count(plain: DataFrame, longest: int, known: Broadcast) -> DataFrame:
@@ -341,7 +338,7 @@ def frequent_phrases(
     marks = np.zeros(1 << (filter_bits - 6), dtype=np.uint64)
     known = spark.sparkContext.broadcast((marks, bits))
     for size in range(1, longest + 1):
-        _mark(_mine(plain, size, shares, shards, known, bits), marks)
+        _enter(_mine(plain, size, shares, shards, known, bits, filter_bits), marks)
         known.unpersist()
         known = spark.sparkContext.broadcast((marks, bits))
     counted = Stage(_count(plain, longest, known).where(f"f >= {support} OR size = 0"), "phrases").frame
