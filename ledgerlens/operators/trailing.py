@@ -2,10 +2,12 @@
 
 Every row gets statistics over the rows of the same account in the last 24 hours (and last
 hour), itself and its peers of the same second included. Time is cut into buckets as long as the
-window, so a trailing frame is the tail of one bucket plus the head of the next. Each row turns
-into a few additive events, events are merged per (account, bucket, second) on the map side, and
-one forward and one backward running aggregate per bucket give the answer. A bucket holds at most
-about 170,000 merged seconds, however many rows it stands for.
+window, so a trailing frame is the tail of one bucket plus the head of the next. A row adds its
+values at its second, hands them on to the start of the next bucket, and takes them back where it
+leaves the frame. Such events are merged per (account, bucket, second) on the map side; a running
+sum per bucket then is the frame's sum. Whole numbers are summed in 64-bit parts, so nothing is
+lost by adding and taking back. Only the extremes need a second, backward pass. A bucket holds at
+most about 170,000 merged seconds, however many rows it stands for.
 """
 
 from __future__ import annotations
@@ -24,8 +26,12 @@ HOUR_SPAN = HOUR_SECONDS + 1
 #: Amounts are held in units of their last decimal, so that their squares are whole numbers.
 UNITS = 10_000
 
-#: Stands for a square that no decimal holds: every sum with it overflows.
-_TOO_LARGE = "9" * 38
+#: Whole numbers are summed in parts of this many bits, so that 2**30 rows do not overflow a part.
+PART_BITS = 31
+_PART = 1 << PART_BITS
+
+#: Amounts from here on are taken apart as decimals: their units exceed 64 bits.
+_LARGE = 9 * 10**14
 
 
 @dataclass(frozen=True)
@@ -72,18 +78,71 @@ RECEIVER = TrailingSide(
 )
 
 
-def sample_deviation(
-    count: Column, total: Column, squares: Column, rough_squares: Column
-) -> Column:
-    """Sample standard deviation from count, sum and sum of squares; 0 for a single row.
+def _parts(amount: Column) -> list[Column]:
+    """An amount in units, as the parts of lowest and next bits; the last one holds the sign."""
+    units = amount * F.lit(UNITS)
+    whole = units.cast("long")
+    wide = units.cast("decimal(24,0)")
+    above = F.floor(wide / F.lit(_PART).cast("decimal(10,0)"))
+    small = F.abs(amount) < F.lit(_LARGE)
+    low = F.when(small, whole.bitwiseAND(F.lit(_PART - 1))).otherwise(
+        (wide - above * F.lit(_PART).cast("decimal(10,0)")).cast("long")
+    )
+    return [low, F.when(small, F.shiftright(whole, PART_BITS)).otherwise(above.cast("long"))]
+
+
+def _square_parts(low: Column, high: Column) -> list[Column]:
+    """The square of ``high * 2**31 + low`` in parts of 31 bits, from products below 2**63."""
+    mask = F.lit(_PART - 1)
+    negative = (high < 0) & (low > 0)  # |x| = (-high - 1) * 2**31 + (2**31 - low)
+    below = F.when(negative, F.lit(_PART) - low).otherwise(low)
+    above = F.abs(high + F.when(negative, F.lit(1)).otherwise(F.lit(0)))
+    mid, top = above.bitwiseAND(mask), F.shiftright(above, PART_BITS)
+
+    def lower(product: Column) -> Column:
+        return product.bitwiseAND(mask)
+
+    def upper(product: Column) -> Column:
+        return F.shiftright(product, PART_BITS)
+
+    p0, p1, p2 = below * below, below * mid, mid * mid
+    p3, p4 = below * top, mid * top
+    two = F.lit(2)
+    return [
+        lower(p0),
+        upper(p0) + two * lower(p1),
+        two * upper(p1) + lower(p2) + two * lower(p3),
+        upper(p2) + two * upper(p3) + two * lower(p4),
+        two * upper(p4) + top * top,
+    ]
+
+
+def _whole(parts: list[Column]) -> Column:
+    """The number that parts of 31 bits stand for; NULL beyond 38 digits."""
+    number = parts[-1].cast("decimal(38,0)")
+    for part in reversed(parts[:-1]):
+        number = F.try_add(
+            F.try_multiply(number, F.lit(_PART).cast("decimal(10,0)")), part.cast("decimal(20,0)")
+        ).cast("decimal(38,0)")
+    return number
+
+
+def _rough(parts: list[Column]) -> Column:
+    number = F.lit(0.0)
+    for part in reversed(parts):
+        number = number * F.lit(float(_PART)) + part.cast("double")
+    return number
 
-    ``total`` and ``squares`` count units of the last decimal, so the numerator is a whole
-    number and exact. Only where it outgrows 38 digits (NULL) do the doubles step in.
+
+def sample_deviation(count: Column, total: list[Column], squares: list[Column]) -> Column:
+    """Sample standard deviation from count, sum and sum of squares (in parts); 0 for a single row.
+
+    Both count units of the last decimal, so the numerator is a whole number and exact. Only
+    where it outgrows 38 digits (NULL) do doubles step in.
     """
-    rows = count.cast("decimal(18,0)")
-    exact = F.try_subtract(F.try_multiply(rows, squares), F.try_multiply(total, total))
-    whole = total.cast("double")
-    rough = count * rough_squares - whole * whole
+    rows, whole = count.cast("decimal(18,0)"), _whole(total)
+    exact = F.try_subtract(F.try_multiply(rows, _whole(squares)), F.try_multiply(whole, whole))
+    rough = count * _rough(squares) - _rough(total) * _rough(total)
     numerator = F.greatest(F.coalesce(exact.cast("double"), rough), F.lit(0.0))
     freedom = count.cast("double") * (count - F.lit(1)).cast("double")
     return F.when(
@@ -91,19 +150,26 @@ def sample_deviation(
     ).otherwise(F.lit(0.0))
 
 
-def _finish(side: TrailingSide, found: dict[str, Column]) -> list[Column]:
-    """Named outputs from the raw statistics."""
-    count, total = found["count_24h"], found["sum_24h"]
+def _amount(parts: list[Column]) -> Column:
+    """A sum of units as an amount."""
+    return (_whole(parts).cast("decimal(28,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(30,4)")
+
+
+def _finish(side: TrailingSide, sums: dict[str, Column]) -> list[Column]:
+    """Named outputs from the running sums."""
+    count = sums["n"]
+    total, squares = [sums["s0"], sums["s1"]], [sums[f"q{at}"] for at in range(5)]
     outputs = {
-        **found,
-        "mean_24h": total.cast("double") / count,
-        "std_24h": sample_deviation(
-            count,
-            (total * F.lit(UNITS)).cast("decimal(38,0)"),
-            found["squares_24h"],
-            found["rough_24h"],
-        ),
+        "count_24h": count,
+        "sum_24h": _amount(total),
+        "mean_24h": _amount(total).cast("double") / count,
+        "std_24h": sample_deviation(count, total, squares),
+        **{f"unique_{stem}_24h": sums[f"d_{stem}"].cast("int") for stem in side.distinct},
     }
+    if side.extremes:
+        outputs["max_24h"], outputs["min_24h"] = sums["max"], sums["min"]
+    if side.hourly:
+        outputs["count_1h"], outputs["sum_1h"] = sums["hn"], _amount([sums["hs0"], sums["hs1"]])
     return [outputs[name.removeprefix(f"{side.prefix}_")].alias(name) for name in side.columns()]
 
 
@@ -111,70 +177,65 @@ def _bucket(second: Column) -> Column:
     return F.floor(second / F.lit(SPAN)).cast("long")
 
 
+def _start(bucket: Column) -> Column:
+    return bucket * F.lit(SPAN)
+
+
+#: What an event adds: its share of the day's sums and of the hour's sums.
+_EVENT = "struct<bucket: bigint, pos: bigint, own: int, day: int, hour: int>"
+
+
 def _amount_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
-    """Events of the additive and extreme statistics.
+    """Events of all statistics of amounts: account, bucket, pos, and what is added there.
 
-    Columns: account, bucket, pos, then ``f_*`` for the forward and ``b_*`` for the backward
-    running aggregate. A forward event counts from its position to the end of the bucket, a
-    backward event from the start of the bucket to its position.
+    ``own`` is 1 at the second of a row; ``day`` and ``hour`` say how often (1, 0, -1) its values
+    are added to the sums of the day and of the hour. An event that adds to neither, one second
+    before a row leaves the frame, is there for the backward pass of the extremes.
     """
-    second, amount = F.col("ts_unix"), F.col(side.amount)
-    own = _bucket(second)
-    zero_amount = F.lit(0).cast("decimal(20,4)")
-    zero_square = F.lit(0).cast("decimal(38,0)")
-    none = F.lit(None).cast("decimal(20,4)")
-    one, zero = F.lit(1), F.lit(0)
-
-    def event(bucket: Column, pos: Column, **values: Column) -> Column:
-        defaults = {"own": zero, "extreme_f": none, "extreme_b": none}
-        for way in ("f", "b"):
-            defaults |= {
-                f"{way}_n": zero, f"{way}_s": zero_amount, f"{way}_q": zero_square,
-                f"{way}_r": F.lit(0.0),
-                f"{way}_hn": zero, f"{way}_hs": zero_amount,
-            }
-        filled = {**defaults, **values}
-        return F.struct(
-            F.col(side.account).alias("account"),
-            bucket.alias("bucket"),
-            pos.alias("pos"),
-            *[value.alias(name) for name, value in filled.items()],
-        )
-
-    amount = amount.cast("decimal(20,4)")
-    units = (amount * F.lit(UNITS)).cast("decimal(24,0)")
-    square = F.coalesce(
-        F.try_multiply(units, units).cast("decimal(38,0)"),
-        F.lit(_TOO_LARGE).cast("decimal(38,0)"),
-    )
-    rough = units.cast("double") * units.cast("double")
-    arrival = event(
-        own, second, own=one, f_n=one, f_s=amount, f_q=square, f_r=rough, f_hn=one,
-        f_hs=amount, extreme_f=amount,
-    )
-    next_day = event(
-        own + 1, second + DAY_SECONDS, b_n=one, b_s=amount, b_q=square, b_r=rough,
-        extreme_b=amount,
+    amount = F.col(side.amount).cast("decimal(20,4)")
+    low, high = _parts(amount)
+    rows = frame.select(
+        F.col(side.account).alias("account"), F.col("ts_unix").alias("second"),
+        _bucket(F.col("ts_unix")).alias("first"), amount.alias("amount"), low.alias("s0"), high.alias("s1"),
+    )
+    own, second = F.col("first"), F.col("second")
+    leaves = second + HOUR_SPAN
+
+    def event(bucket: Column, pos: Column, is_own: int, day: int, hour: Column | int) -> Column:
+        numbers = (F.lit(is_own), F.lit(day), hour if isinstance(hour, Column) else F.lit(hour))
+        return F.struct(bucket, pos, *[number.cast("int") for number in numbers]).cast(_EVENT)
+
+    crosses = (_bucket(leaves) != own).cast("int") if side.hourly else 0
+    events = [
+        event(own, second, 1, 1, 1),
+        event(own + 1, _start(own + 1), 0, 1, crosses),
+        event(own + 1, second + SPAN, 0, -1, 0),
+    ]
+    if side.hourly:
+        events.append(event(_bucket(leaves), leaves, 0, 0, -1))
+    if side.extremes:
+        events.append(event(own + 1, second + DAY_SECONDS, 0, 0, 0))
+    squares = _square_parts(F.col("s0"), F.col("s1"))
+    squared = rows.select("*", *[square.alias(f"q{at}") for at, square in enumerate(squares)])
+    return squared.select(
+        "account", F.inline(F.array(*events)), "amount", "s0", "s1", *[f"q{at}" for at in range(5)]
     )
-    hour_end = second + HOUR_SPAN
-    negative = (-amount).cast("decimal(20,4)")
-    hour_over = F.when(
-        _bucket(hour_end) == own, event(own, hour_end, f_hn=F.lit(-1), f_hs=negative)
-    ).otherwise(event(own + 1, hour_end - 1, b_hn=one, b_hs=amount))
-    events = [arrival, next_day] + ([hour_over] if side.hourly else [])
-    return frame.select(F.inline(F.array(*events)))
+
+
+#: Buckets in which the occurrences of one value are put in order together.
+_EPOCH = 32
 
 
 def _distinct_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
-    """Events of the distinct counts: account, bucket, pos, kind, f, b.
+    """Events of the distinct counts: account, bucket, pos, kind (number of the column) and change.
 
     A value is counted once per frame by its latest occurrence: an occurrence at ``s`` counts
     until the next one of the same value, at most until it leaves the frame.
     """
     kinds = F.array(
         *[
-            F.struct(F.lit(stem).alias("kind"), F.col(column).cast("string").alias("value"))
-            for stem, column in side.distinct.items()
+            F.struct(F.lit(at).alias("kind"), F.col(column).cast("string").alias("value"))
+            for at, column in enumerate(side.distinct.values())
         ]
     )
     seen = (
@@ -183,108 +244,71 @@ def _distinct_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
         )
         .where(F.col("value").isNotNull())
         .distinct()
-        .withColumn("bucket", _bucket(F.col("s")))
     )
-    # The first occurrence of the next bucket ends the last interval of this one.
-    following = (
-        seen.groupBy("account", "kind", "value", "bucket")
-        .agg(F.min("s").alias("s"))
-        .select("account", "s", "kind", "value", (F.col("bucket") - 1).alias("bucket"))
+    # The first occurrences of an epoch also end the last intervals of the one before.
+    epoch = F.floor(_bucket(F.col("s")) / F.lit(_EPOCH)).cast("long")
+    is_early = _bucket(F.col("s")) % F.lit(_EPOCH) == 0
+    seen = seen.withColumn(
+        "epoch", F.explode(F.when(is_early, F.array(epoch, epoch - 1)).otherwise(F.array(epoch)))
     )
-    in_order = Window.partitionBy("account", "kind", "value", "bucket").orderBy("s")
-    start, own = F.col("s"), F.col("bucket")
-    end = F.least(F.lead("s").over(in_order), start + SPAN)
+    in_order = Window.partitionBy("account", "kind", "value", "epoch").orderBy("s")
     intervals = (
-        seen.union(following)
-        .withColumn("end", end)
-        .where(_bucket(start) == own)
+        seen.withColumn("end", F.least(F.lead("s").over(in_order), F.col("s") + SPAN))
+        .where(F.col("epoch") == epoch)
+        .withColumns({"first": _bucket(F.col("s")), "last": _bucket(F.col("end"))})
     )
-    one, zero = F.lit(1), F.lit(0)
 
-    def event(bucket: Column, pos: Column, forward: Column, backward: Column) -> Column:
-        return F.struct(
-            bucket.alias("bucket"), pos.alias("pos"), forward.alias("f"), backward.alias("b")
-        )
+    def event(bucket: Column, pos: Column, change: int) -> Column:
+        return F.struct(bucket.alias("bucket"), pos.alias("pos"), F.lit(change).alias("change"))
 
-    closing = F.when(
-        _bucket(F.col("end")) == own, event(own, F.col("end"), F.lit(-1), zero)
-    ).otherwise(event(own + 1, F.col("end") - 1, zero, one))
+    first, last = F.col("first"), F.col("last")
+    around = [event(first, F.col("s"), 1), event(last, F.col("end"), -1)]
+    handed = event(last, _start(last), 1)
     return intervals.select(
-        "account", "kind", F.inline(F.array(event(own, start, one, zero), closing))
+        "account",
+        "kind",
+        F.inline(F.when(first == last, F.array(*around)).otherwise(F.array(*around, handed))),
     )
 
 
 def per_second(frame: DataFrame, side: TrailingSide) -> DataFrame:
     """One row per account and second of ``frame`` with the statistics of ``side``."""
-    amounts = _amount_events(frame, side)
-    measures = [name for name in amounts.columns if name not in ("account", "bucket", "pos")]
-    sums = [name for name in measures if not name.startswith("extreme")]
-    stems = list(side.distinct)
-    kinds = _distinct_events(frame, side).select(
-        "account",
-        "bucket",
-        "pos",
-        *[
-            F.when(F.col("kind") == stem, F.col(way)).otherwise(F.lit(0)).alias(f"{way}_d_{stem}")
-            for way in ("f", "b")
-            for stem in stems
-        ],
+    events = _amount_events(frame, side).unionByName(
+        _distinct_events(frame, side), allowMissingColumns=True
     )
-    counted = [f"{way}_d_{stem}" for way in ("f", "b") for stem in stems]
-    events = amounts.unionByName(kinds, allowMissingColumns=True)
-    # Zero for what an event does not carry, so that a NULL sum can only mean an overflow.
-    events = events.withColumns(
-        {name: F.coalesce(name, F.lit(0)) for name in sums + counted}
-    )
-    merged = (
-        events.groupBy("account", "bucket", "pos")
-        .agg(
-            *[
-                (F.try_sum if name.endswith("_q") else F.sum)(name).alias(name)
-                for name in sums + counted
-            ],
-            *[
-                how(f"extreme_{way}").alias(f"{label}_{way}")
-                for way in ("f", "b")
-                for label, how in (("min", F.min), ("max", F.max))
-            ],
-        )
+    day, hour, amount = F.col("day"), F.col("hour"), F.col("amount")
+    added = {"own": F.col("own"), "n": day}
+    added |= {name: day * F.col(name) for name in ("s0", "s1", "q0", "q1", "q2", "q3", "q4")}
+    if side.hourly:
+        added |= {"hn": hour, "hs0": hour * F.col("s0"), "hs1": hour * F.col("s1")}
+    for at, stem in enumerate(side.distinct):
+        added[f"d_{stem}"] = F.when(F.col("kind") == at, F.col("change"))
+    highest = []
+    if side.extremes:
+        here, before = F.when(F.col("own") == 1, amount), F.when((day == 0) & (hour == 0), amount)
+        highest = [
+            how(value).alias(f"{label}_{name}")
+            for name, value in (("here", here), ("before", before))
+            for label, how in (("max", F.max), ("min", F.min))
+        ]
+    merged = events.groupBy("account", "bucket", "pos").agg(
+        *[F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in added.items()], *highest
     )
     per_bucket = Window.partitionBy("account", "bucket")
-    forward = per_bucket.orderBy(F.col("pos").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    backward = per_bucket.orderBy(F.col("pos").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-
-    def total(stem: str) -> Column:
-        return F.sum(f"f_{stem}").over(forward) + F.sum(f"b_{stem}").over(backward)
-
-    raw = {
-        "count_24h": total("n"),
-        "sum_24h": total("s").cast("decimal(30,4)"),
-        "squares_24h": F.try_add(
-            F.try_sum("f_q").over(forward), F.try_sum("b_q").over(backward)
-        ),
-        "rough_24h": total("r"),
-        **{f"unique_{stem}_24h": total(f"d_{stem}").cast("int") for stem in stems},
-    }
+    start = (Window.unboundedPreceding, Window.currentRow)
+    forward = per_bucket.orderBy("pos").rowsBetween(*start)
+    backward = per_bucket.orderBy(F.col("pos").desc()).rowsBetween(*start)
+    running = {name: F.sum(name).over(forward) for name in added if name != "own"}
     if side.extremes:
-        raw["max_24h"] = F.greatest(F.max("max_f").over(forward), F.max("max_b").over(backward))
-        raw["min_24h"] = F.least(F.min("min_f").over(forward), F.min("min_b").over(backward))
-    if side.hourly:
-        raw["count_1h"] = total("hn")
-        raw["sum_1h"] = total("hs").cast("decimal(30,4)")
+        running["max"] = F.greatest(F.max("max_here").over(forward), F.max("max_before").over(backward))
+        running["min"] = F.least(F.min("min_here").over(forward), F.min("min_before").over(backward))
     return (
-        merged.select(
-            "account", "pos", "own", *[column.alias(f"_{stem}") for stem, column in raw.items()]
-        )
+        merged.select("account", "pos", "own", *[total.alias(f"_{name}") for name, total in running.items()])
         .where(F.col("own") > 0)
         .select(
             F.col("account").alias(side.account),
             F.col("pos").alias("ts_unix"),
-            *_finish(side, {stem: F.col(f"_{stem}") for stem in raw}),
+            *_finish(side, {name: F.col(f"_{name}") for name in running}),
         )
     )
 
