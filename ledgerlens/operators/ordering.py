@@ -51,6 +51,30 @@ def global_row_number(frame: DataFrame, order: Sequence[Column], name: str) -> D
     )
 
 
+def ranked_totals(frame: DataFrame, order: Sequence[Column], values: dict[str, str]) -> DataFrame:
+    """Append, for every ``new: old`` of ``values``, the sum of ``old`` over all rows up to this one.
+
+    ``order`` must be a total order. As in ``global_row_number``, each task sums its own slice of
+    the range-partitioned rows, and only one total per slice is summed up across slices.
+    """
+    sliced = materialise(
+        frame.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id())
+    )
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_slice").orderBy(*order).rowsBetween(*upto)
+    # One row per slice, so this window sees at most as many rows as there are partitions.
+    slices = Window.orderBy("_slice").rowsBetween(*upto)
+    before = (
+        sliced.groupBy("_slice")
+        .agg(*[F.sum(old).alias(f"_{new}") for new, old in values.items()])
+        .select("_slice", *[(F.sum(f"_{new}").over(slices) - F.col(f"_{new}")).alias(f"_{new}") for new in values])
+    )
+    local = sliced.withColumns({new: F.sum(old).over(within) for new, old in values.items()})
+    return local.join(before, "_slice").select(
+        *frame.columns, *[(F.col(new) + F.col(f"_{new}")).alias(new) for new in values]
+    )
+
+
 def running_total(
     frame: DataFrame,
     groups: Sequence[str],

@@ -162,7 +162,7 @@ def _finish(side: TrailingSide, sums: dict[str, Column]) -> list[Column]:
     outputs = {
         "count_24h": count,
         "sum_24h": _amount(total),
-        "mean_24h": _amount(total).cast("double") / count,
+        "mean_24h": _amount(total).cast("double") / F.nullif(count, F.lit(0)),
         "std_24h": sample_deviation(count, total, squares),
         **{f"unique_{stem}_24h": sums[f"d_{stem}"].cast("int") for stem in side.distinct},
     }
@@ -271,13 +271,29 @@ def _distinct_events(frame: DataFrame, side: TrailingSide) -> DataFrame:
     )
 
 
-def per_second(frame: DataFrame, side: TrailingSide) -> DataFrame:
-    """One row per account and second of ``frame`` with the statistics of ``side``."""
+def per_second(
+    frame: DataFrame, side: TrailingSide, asked: DataFrame | None = None
+) -> DataFrame:
+    """One row per account and second of ``frame`` with the statistics of ``side``.
+
+    ``asked`` (account, second) names other moments to report on: the frame that ends there,
+    whether or not the account has a row of this side in it.
+    """
     events = _amount_events(frame, side).unionByName(
         _distinct_events(frame, side), allowMissingColumns=True
     )
+    reported = F.col("own")
+    if asked is not None:
+        events = events.unionByName(
+            asked.select(
+                F.col("account"), _bucket(F.col("second")).alias("bucket"),
+                F.col("second").alias("pos"), F.lit(1).alias("asked"),
+            ),
+            allowMissingColumns=True,
+        )
+        reported = F.col("asked")
     day, hour, amount = F.col("day"), F.col("hour"), F.col("amount")
-    added = {"own": F.col("own"), "n": day}
+    added = {"reported": reported, "n": day}
     added |= {name: day * F.col(name) for name in ("s0", "s1", "q0", "q1", "q2", "q3", "q4")}
     if side.hourly:
         added |= {"hn": hour, "hs0": hour * F.col("s0"), "hs1": hour * F.col("s1")}
@@ -298,13 +314,13 @@ def per_second(frame: DataFrame, side: TrailingSide) -> DataFrame:
     start = (Window.unboundedPreceding, Window.currentRow)
     forward = per_bucket.orderBy("pos").rowsBetween(*start)
     backward = per_bucket.orderBy(F.col("pos").desc()).rowsBetween(*start)
-    running = {name: F.sum(name).over(forward) for name in added if name != "own"}
+    running = {name: F.sum(name).over(forward) for name in added if name != "reported"}
     if side.extremes:
         running["max"] = F.greatest(F.max("max_here").over(forward), F.max("max_before").over(backward))
         running["min"] = F.least(F.min("min_here").over(forward), F.min("min_before").over(backward))
     return (
-        merged.select("account", "pos", "own", *[total.alias(f"_{name}") for name, total in running.items()])
-        .where(F.col("own") > 0)
+        merged.select("account", "pos", "reported", *[total.alias(f"_{name}") for name, total in running.items()])
+        .where(F.col("reported") > 0)
         .select(
             F.col("account").alias(side.account),
             F.col("pos").alias("ts_unix"),
@@ -321,3 +337,14 @@ def add_trailing(frame: DataFrame, side: TrailingSide, base: DataFrame) -> DataF
     the rows of that second, so a large account is spread over its seconds.
     """
     return frame.join(per_second(base, side), [side.account, "ts_unix"])
+
+
+def add_counterpart(frame: DataFrame, side: TrailingSide, account: str, base: DataFrame) -> DataFrame:
+    """Append the statistics of ``side`` of the account in column ``account``, at the row's second.
+
+    With the receiving side and the sender's column: what the sender itself took in before it
+    sent. An account without such rows has counts and sums of zero.
+    """
+    asked = frame.select(F.col(account).alias("account"), F.col("ts_unix").alias("second")).distinct()
+    found = per_second(base, side, asked).withColumnRenamed(side.account, account)
+    return frame.join(found, [account, "ts_unix"])

@@ -122,27 +122,37 @@ class BankPriors:
     overall: float
 
 
-def bank_priors(train: DataFrame, strength: int = PRIOR_STRENGTH) -> BankPriors:
-    """(flagged + strength x overall) / (rows + strength) per bank, from train rows only.
-
-    The train rows are scanned once; both sides and the overall share come from the counts.
-    """
+def bank_counts(train: DataFrame) -> DataFrame:
+    """side, bank, rows and flagged rows, both sides from one scan; computed once."""
     sides = F.array(
         *[
             F.struct(F.lit(name).alias("side"), F.col(name).alias("bank"), "label")
             for name in ("from_bank", "to_bank")
         ]
     )
-    counts = materialise(
+    return materialise(
         train.select(F.inline(sides))
         .groupBy("side", "bank")
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("label").alias("flagged"))
     )
-    row = (
-        counts.where(F.col("side") == "from_bank")
-        .agg(F.sum("rows").alias("rows"), F.sum("flagged").alias("flagged"))
-        .first()
-    )
+
+
+def _overall(counts: DataFrame):
+    """All rows and all flagged rows, from the counts of one side."""
+    one_side = counts.where(F.col("side") == "from_bank")
+    return one_side.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged"),
+    ).first()
+
+
+def bank_priors(train: DataFrame, strength: int = PRIOR_STRENGTH) -> BankPriors:
+    """(flagged + strength x overall) / (rows + strength) per bank, from train rows only.
+
+    The train rows are scanned once; both sides and the overall share come from the counts.
+    """
+    counts = bank_counts(train)
+    row = _overall(counts)
     overall = float(row["flagged"]) / row["rows"] if row["rows"] else 0.0
 
     def prior(bank: str, name: str) -> DataFrame:
@@ -171,6 +181,30 @@ def join_priors(frame: DataFrame, priors: BankPriors) -> DataFrame:
     )
 
 
+def left_out_priors(train: DataFrame, strength: int = PRIOR_STRENGTH) -> DataFrame:
+    """F5 without a row's own label: both priors of every train row from all other train rows.
+
+    (flagged of the bank without this row + strength x overall without it) / (other rows of the
+    bank + strength). The totals per bank are the only thing that is shuffled; a bank whose only
+    row this is gets the overall share of the others.
+    """
+    counts = bank_counts(train)
+    total = _overall(counts)
+    others = F.lit(total["rows"] - 1)
+    own = F.col("label")
+    overall = F.coalesce((F.lit(total["flagged"]) - own) / F.nullif(others, F.lit(0)), F.lit(0.0))
+    rows = train
+    for bank, name in (("from_bank", SENDER_PRIOR), ("to_bank", RECEIVER_PRIOR)):
+        side = counts.where(F.col("side") == bank).select(
+            F.col("bank").alias(bank), F.col("rows").alias("_rows"), F.col("flagged").alias("_flagged")
+        )
+        smoothed = (F.col("_flagged") - own + F.lit(strength) * overall) / (
+            F.col("_rows") - 1 + F.lit(strength)
+        )
+        rows = rows.join(side, bank).withColumn(name, smoothed).drop("_rows", "_flagged")
+    return rows
+
+
 def riskiest_banks(priors: BankPriors, k: int = 5) -> DataFrame:
     """The sending banks with the highest smoothed share."""
     return priors.senders.orderBy(F.col(SENDER_PRIOR).desc(), "from_bank").limit(k)

@@ -63,6 +63,24 @@ def apply_rules(features: DataFrame, limits: RuleThresholds = RuleThresholds())
     ).withColumn(COMBINED, F.greatest(STRUCTURING, VELOCITY, CROSS_BANK))
 
 
+def velocity_same_account(
+    features: DataFrame, limits: RuleThresholds = RuleThresholds(), name: str = "r2_same_account"
+) -> DataFrame:
+    """X2 over one account: the sender's own inflow of 24 hours against its outflow of one hour.
+
+    ``features`` carries the sender's outflow and, under the names of the receiving side, what
+    the sending account itself took in (``operators.trailing.add_counterpart``).
+    """
+    inflow, outflow = _number("in_sum_24h"), _number("out_sum_1h")
+    residual = F.abs(inflow - outflow) / F.greatest(inflow, F.lit(1.0))
+    passed_on = (
+        (F.col("in_count_24h") >= limits.velocity_min_in)
+        & (F.col("out_count_1h") >= limits.velocity_min_out)
+        & (residual < limits.velocity_max_residual)
+    )
+    return features.withColumn(name, passed_on.cast("int"))
+
+
 def confusion_rows(frame: DataFrame, predictions: dict[str, str], label: str = "label") -> DataFrame:
     """name, tp, fp, fn, tn, precision, recall, f1, alert_volume for several 0/1 columns.
 

@@ -10,8 +10,18 @@ from pyspark.sql import functions as F
 from ledgerlens import schema
 from ledgerlens.operators.components import account_graph, connected_components
 from ledgerlens.operators.encoders import SinCosEncoder
-from ledgerlens.operators.trailing import RECEIVER, SENDER
-from ledgerlens.plans import activity, evaluation, features, models, quality, rollups, rules
+from ledgerlens.operators.trailing import RECEIVER, SENDER, add_counterpart
+from ledgerlens.plans import (
+    activity,
+    evaluation,
+    features,
+    models,
+    quality,
+    rollups,
+    rules,
+    scoring,
+    sketches,
+)
 from ledgerlens.plans.catalogue import ACCOUNTS, LEDGER, REPORTS, SCHEMES
 from ledgerlens.session import pin_session, shared_folder, store
 from ledgerlens.sources import catalog, derived, files, pattern_text, warehouse
@@ -589,8 +599,191 @@ def component_table(ledger: DataFrame) -> DataFrame:
     return connected_components(*account_graph(ledger))
 
 
+#: Whole-number and rounded row features that both models and SQL can repeat.
+STATED_NUMERIC = ["log_amount", "log10_amount_bucket", "currency_mismatch", "hour_of_day", "is_weekend"]
+
+
+def _stated_features(ledger: DataFrame) -> DataFrame:
+    return features.add_row_features(ledger).withColumn("log_amount", F.round("log_amount", 6))
+
+
+def scored_rows_table(ledger: DataFrame) -> DataFrame:
+    """M9: every row scored by compiled models, as a projection of the scan."""
+    rows = _stated_features(ledger)
+    return rows.select(
+        "txn_id",
+        F.round(scoring.probability(scoring.STATED_LINEAR), 9).alias("linear_score"),
+        F.round(scoring.probability(scoring.STATED_TREES), 9).alias("trees_score"),
+        (scoring.margin(scoring.STATED_TREES) > 0).cast("int").alias("trees_prediction"),
+    )
+
+
+def pr_area_table(ledger: DataFrame) -> DataFrame:
+    """The exact area under the curve of the activity score on the test rows."""
+    return evaluation.area_under_pr(_scored_test(ledger)).withColumn("area", F.round("area", 9))
+
+
+def _stated_index(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
+    rows = _stated_features(ledger)
+    train, test = features.temporal_split(rows, _cutoff(ledger))
+    return store(models.category_index(train)), test
+
+
+def category_index_table(ledger: DataFrame) -> DataFrame:
+    """the index of every category, learnt from the train rows."""
+    return _stated_index(ledger)[0]
+
+
+def encoded_table(ledger: DataFrame) -> DataFrame:
+    """the test rows in long form; rows of one currency miss a feature and are marked."""
+    index, test = _stated_index(ledger)
+    damaged = test.withColumn(
+        "log_amount", F.when(F.col("payment_currency") != "Euro", F.col("log_amount"))
+    )
+    return models.encode_long(damaged, index, STATED_NUMERIC)
+
+
+def fold_table(ledger: DataFrame) -> DataFrame:
+    """M5: rows and classes of every fold after the classes are balanced."""
+    rows = ledger.withColumnRenamed("is_laundering", "label").select("txn_id", "label")
+    folded = models.with_folds(models.balance_classes(rows, negatives_per_positive=5))
+    return folded.groupBy("fold", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min("txn_id").alias("first_key"), F.max("txn_id").alias("last_key")
+    )
+
+
+def left_out_table(ledger: DataFrame) -> DataFrame:
+    """the priors of every train row without its own label."""
+    rows = features.add_row_features(ledger).withColumnRenamed("is_laundering", "label")
+    train, _ = features.temporal_split(rows, _cutoff(ledger))
+    names = [features.SENDER_PRIOR, features.RECEIVER_PRIOR]
+    return features.left_out_priors(train).select(
+        "txn_id", *[F.round(name, 9).alias(name) for name in names]
+    )
+
+
+def same_account_table(ledger: DataFrame) -> DataFrame:
+    """X2 over one account: what the sender itself took in against what it sends on."""
+    rows = features.add_row_features(ledger)
+    sent = features.build_features(ledger, (SENDER,))
+    both = add_counterpart(sent, RECEIVER, "from_account", rows)
+    return rules.velocity_same_account(both, RULE_LIMITS).select(
+        "txn_id", "in_count_24h", "out_count_1h", "r2_same_account"
+    )
+
+
+def distinct_sketch_table(ledger: DataFrame) -> DataFrame:
+    """Sketches per day, stored, merged, and held against the exact counts."""
+    names = ["from_account", "to_account", "from_bank"]
+    daily = store(sketches.daily_sketches(ledger, names, []))
+    checks = [sketches.distinct_check(ledger, daily, name) for name in names]
+    return checks[0].unionByName(checks[1]).unionByName(checks[2])
+
+
+def quantile_sketch_table(ledger: DataFrame) -> DataFrame:
+    """The same for quantiles of time and of the amount in hundredths."""
+    rows = features.add_row_features(ledger).withColumn(
+        "hundredths", F.floor(F.col("amount_paid") * 100).cast("bigint")
+    )
+    daily = store(sketches.daily_sketches(rows, [], ["ts_unix", "hundredths"]))
+    fractions = [0.25, 0.5, 0.8, 0.99]
+    checks = [sketches.quantile_check(rows, daily, name, fractions) for name in ("ts_unix", "hundredths")]
+    return checks[0].unionByName(checks[1])
+
+
+def _stated_name(folder: str) -> str:
+    return "t_" + folder.rsplit("-", 1)[1]
+
+
+def bucketed_profiles(ledger: DataFrame) -> DataFrame:
+    """Transfers of every bank against its profile, both bucketed by bank and joined."""
+    spark = ledger.sparkSession
+    profile = ledger.groupBy(F.col("to_bank").alias("bank")).agg(
+        F.count(F.lit(1)).alias("received"), F.sum("is_laundering").alias("received_flagged")
+    )
+    tables = []
+    sides = {"bank": profile, "from_bank": ledger.select("from_bank", "txn_id", "is_laundering")}
+    for key, side in sides.items():
+        folder = shared_folder(spark, f"bucketed-{key.replace('_', '')}")
+        tables.append(warehouse.save_bucketed(side, _stated_name(folder), key, folder))
+        catalog.drop_table(spark, _stated_name(folder))
+    # Merged, not broadcast: the buckets already hold what belongs together.
+    joined = tables[1].join(tables[0].hint("merge"), F.col("from_bank") == F.col("bank"))
+    return joined.groupBy("from_bank").agg(
+        F.count(F.lit(1)).alias("sent"),
+        F.sum("is_laundering").alias("sent_flagged"),
+        F.first("received").alias("received"),
+        F.first("received_flagged").alias("received_flagged"),
+    )
+
+
+#: The day that is loaded again, with the rows of one parity only.
+RELOADED = "2024-01-10"
+
+
+def reloaded_day_table(ledger: DataFrame) -> DataFrame:
+    """Rows and keys per day before and after one day is loaded again in part."""
+    spark = ledger.sparkSession
+    folder = shared_folder(spark, "reloaded")
+    warehouse.save_ledger_files(ledger, folder)
+    per_day = [F.count(F.lit(1)).alias("n"), F.sum("txn_id").alias("keys")]
+    before = store(files.read_parquet(spark, folder).groupBy("txn_date").agg(*per_day))
+    again = ledger.where((F.col("txn_date") == F.lit(RELOADED).cast("date")) & (F.col("txn_id") % 2 == 0))
+    warehouse.reload_days(again, folder)
+    after = files.read_parquet(spark, folder).groupBy("txn_date").agg(*per_day)
+    return before.withColumnsRenamed({"n": "n_before", "keys": "keys_before"}).join(
+        after, "txn_date", "left"
+    )
+
+
+def file_table(ledger: DataFrame) -> DataFrame:
+    """Rows per day of the staged files, from the files' own metadata."""
+    spark = ledger.sparkSession
+    folder = shared_folder(spark, "probed")
+    warehouse.save_ledger_files(ledger, folder)
+    found = files.file_relation(spark.read.parquet(folder))
+    day = F.to_date(F.regexp_extract("path", "txn_date=([0-9-]+)", 1))
+    return found.groupBy(day.alias("txn_date")).agg(
+        F.sum("rows").alias("n"), F.min(F.col("bytes") > 0).alias("all_filled")
+    )
+
+
+def schema_table(ledger: DataFrame) -> DataFrame:
+    """D2 + S17: columns of a stored result table, with how many rows fill them."""
+    spark = ledger.sparkSession
+    folder = shared_folder(spark, "described")
+    table = _stated_name(folder)
+    files.write_parquet(
+        ledger.drop("ts").withColumn("to_bank", F.when(F.col("to_bank") % 2 == 0, F.col("to_bank"))), folder
+    )
+    catalog.register_parquet(spark, table, folder)
+    filled = store(catalog.filled_columns(spark, table))
+    catalog.drop_table(spark, table)
+    return filled
+
+
+def mechanism_queries() -> dict[str, Query]:
+    """Layouts, reloads, sketches and compiled models as checked results."""
+    return {
+        "m9_scored_rows": _query(scored_rows_table, LEDGER),
+        "e2_area_under_pr": _query(pr_area_table, LEDGER),
+        "f9_encoded": _query(encoded_table, LEDGER),
+        "f10_index": _query(category_index_table, LEDGER),
+        "m5_folds": _query(fold_table, LEDGER),
+        "f5_left_out": _query(left_out_table, LEDGER),
+        "x2_same_account": _query(same_account_table, LEDGER),
+        "a8_sketch": _query(distinct_sketch_table, LEDGER),
+        "a17_sketch": _query(quantile_sketch_table, LEDGER),
+        "s9_bucketed": _query(bucketed_profiles, LEDGER),
+        "s7_reload_day": _query(reloaded_day_table, LEDGER),
+        "s24_files": _query(file_table, LEDGER),
+        "d2_schema": _query(schema_table, LEDGER),
+    }
+
+
 def model_queries() -> dict[str, Query]:
-    """Training has no SQL answer; grids and iterations are short, the rows are all used."""
+    """Training has no SQL answer; grids and iterations are those of the method, rows are
+    bounded by ``models.MOST_TRAINING_ROWS``."""
     return {
         "g2_components": _query(component_table, LEDGER),
         "f8_cyclic_encoding": _query(cyclic_table, LEDGER),
@@ -647,5 +840,6 @@ def all_queries() -> dict[str, Query]:
         **quality_queries(),
         **source_queries(),
         **model_queries(),
+        **mechanism_queries(),
         **volume_queries(),
     }

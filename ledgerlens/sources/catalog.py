@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -65,3 +66,17 @@ def describe_schema(spark: SparkSession, table: str) -> DataFrame:
         for column in spark.catalog.listColumns(table)
     ]
     return spark.createDataFrame(rows, "column_name string, data_type string")
+
+
+def filled_columns(spark: SparkSession, table: str) -> DataFrame:
+    """D2 with contents: column_name, data_type, and how many rows of the table hold a value.
+
+    One scan counts all columns; the result is turned to one row per column.
+    """
+    described = describe_schema(spark, table)
+    rows = spark.table(table)
+    counts = rows.agg(*[F.count(F.col(name)).alias(name) for name in rows.columns])
+    cells = F.array(
+        *[F.struct(F.lit(name).alias("column_name"), F.col(name).alias("filled")) for name in rows.columns]
+    )
+    return described.join(counts.select(F.inline(cells)), "column_name")

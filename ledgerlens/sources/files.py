@@ -132,3 +132,16 @@ def probe_output(spark: SparkSession, path: str) -> dict[str, object]:
         head, found, _ = row["sample"].partition(tail)
         location = head + found
     return {"files": row["files"], "bytes": row["bytes"], "location": location}
+
+
+def file_relation(frame: DataFrame) -> DataFrame:
+    """Path, bytes, rows and write time of every file behind ``frame``, as a relation.
+
+    Sizes come from the scan's own metadata column, so nothing is listed on the driver, and the
+    row counts show files that were written but hold nothing. Empty files do not appear.
+    """
+    return frame.groupBy(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("written"),
+    ).agg(F.count(F.lit(1)).alias("rows"))

@@ -106,3 +106,39 @@ def save_ledger_files(ledger: DataFrame, path: str) -> None:
         .partitionBy("txn_date")
         .parquet(path)
     )
+
+
+def reload_days(rows: DataFrame, path: str) -> None:
+    """Replace the days that ``rows`` holds in a ledger saved by day; all other days stay.
+
+    Says so on the write itself, so it holds whatever the session is set to.
+    """
+    (
+        rows.hint("rebalance", "txn_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "snappy")
+        .partitionBy("txn_date")
+        .parquet(path)
+    )
+
+
+def save_bucketed(
+    frame: DataFrame, table: str, key: str, path: str, buckets: int = BUCKETS
+) -> DataFrame:
+    """An external table at ``path``, hashed on ``key`` into files that joins can rely on.
+
+    One task writes one bucket, so the files of a bucket are few. Two tables with equal buckets
+    on their join keys are joined, and either is grouped by its key, without a shuffle.
+    """
+    (
+        frame.repartition(buckets, key)
+        .write.mode("overwrite")
+        .format("parquet")
+        .option("compression", "snappy")
+        .option("path", path)
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .saveAsTable(table)
+    )
+    return frame.sparkSession.table(table)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ledgerlens.registry import VOLUME_REPORTS
-from oracle import charts, features, reports
+from oracle import charts, features, mechanisms, reports
 from oracle.base import on_volume
 
 
@@ -14,6 +14,7 @@ def answers() -> dict[str, str]:
         **named,
         **charts.answers(),
         **learned,
+        **mechanisms.answers(),
         **reports.graph_answers(),
         **features.dense_answers({**named, **learned}),
         **{f"v_{name}": on_volume(named[name]) for name in VOLUME_REPORTS},
