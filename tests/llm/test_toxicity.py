@@ -98,3 +98,32 @@ def test_awkward_rows_and_labels(spark):
     scores = toxicity.score_texts(awkward(spark), none).collect()
     assert {row["score"] for row in scores} == {0.5}
     assert toxicity.score_texts(empty(spark), model).count() == 0
+
+
+def test_held_out_recall_in_every_language(spark):
+    """On the labels of the larger tables, which the query learns two thirds of."""
+    folder = "/root/testdata/sf0.1"
+    rated = (
+        queries.op2_toxicity(spark, folder)
+        .where("held_out")
+        .join(spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic"), "doc_id")
+        .join(spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id")
+        .groupBy("lang", "toxic")
+        .agg({"predicted": "sum", "*": "count"})
+        .collect()
+    )
+    found, total, blamed, clean = 0, 0, 0, 0
+    for lang, toxic, *_ in rated:
+        row = next(r for r in rated if r["lang"] == lang and r["toxic"] == toxic)
+        if toxic:
+            assert row["sum(predicted)"] >= 0.7 * row["count(1)"], lang
+            found, total = found + row["sum(predicted)"], total + row["count(1)"]
+        else:
+            blamed, clean = blamed + row["sum(predicted)"], clean + row["count(1)"]
+    assert found >= 0.85 * total and blamed <= 0.01 * clean
+
+
+def test_gate_lets_altered_insults_through():
+    gate = toxicity._Gate(("^idiot$", "^scum$"))
+    assert all(map(gate.passes, ["idiot", "id.iot", "i*diot", "idiots", "scuum", "sc.um"]))
+    assert not any(map(gate.passes, ["harmless", "riot", "is", ""]))
