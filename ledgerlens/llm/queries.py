@@ -235,7 +235,7 @@ def answers() -> dict[str, str]:
                    concat(array_to_string(list_reverse(string_split(regexp_replace(
                        regexp_extract(plain, '^[^/?:]*'), '^www[0-9]*[.]', ''), '.')), ','), ')',
                        regexp_replace(plain, '^[^/?:]*', '')) AS url_key,
-                   strftime(make_timestamp(1704067200000000 + page_id * 1000000),
+                   strftime(make_timestamp(1704067200000000 + (page_id % 1000000000) * 1000000),
                        '%Y-%m-%dT%H:%M:%SZ') AS captured
             FROM t""",
         "op5_exact_dedup": r"""
@@ -249,7 +249,9 @@ def answers() -> dict[str, str]:
         "op9_embeddings": """
             WITH RECURSIVE v AS (
                 SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-                WHERE label IS NOT NULL AND embedding IS NOT NULL),
+                WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
             pairs AS (
                 SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b USING (label)
                 WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),

@@ -77,6 +77,10 @@ class LoserTree:
             self._replay(winner)
 
 
+#: Pages without a time of capture are dated by their key within this many seconds.
+DATED_KEYS = 1_000_000_000
+
+
 def _record(row: dict) -> bytes:
     """One WARC record, without the last line end."""
     moment = (_EPOCH + timedelta(microseconds=row["micros"])).strftime("%Y-%m-%dT%H:%M:%SZ")
@@ -115,11 +119,13 @@ def write_archives(
     The row with the smallest key is the response, others revisit it and carry no payload. Null
     payloads and URLs are empty; a null key is written as empty and never chosen as the response
     of a keyed row; repeated rows with one key are all responses. ``captured`` is the time of
-    capture; without it pages are dated by their key. An empty table gives no archives.
+    capture; without it pages are dated by their key modulo DATED_KEYS. An empty table gives no archives.
     """
     ship_package(pages.sparkSession)
     if captured is None:
-        captured = F.timestamp_seconds(F.lit(1704067200) + F.coalesce(F.col(key), F.lit(0)))
+        # Keys like hashes would be dated beyond all calendars.
+        second = F.pmod(F.coalesce(F.col(key).cast("long"), F.lit(0)), F.lit(DATED_KEYS))
+        captured = F.timestamp_seconds(F.lit(1704067200) + second)
     rows = pages.select(
         F.col(key).cast("long").alias("page_id"),
         as_text(url).alias("url"),

@@ -65,3 +65,11 @@ def test_pipeline_stages(spark, tmp_path):
     assert len(previous) > 0.5 * len(first)
     assert {row["doc_id"] for row in docs.collect()} == previous.keys()
     assert max(row["offset"] + row["length"] for row in docs.collect()) <= packing.WINDOW
+
+
+def test_personal_data_stage_keeps_a_column_of_its_own_name(spark):
+    docs = spark.createDataFrame(
+        [(1, "mail a.b@c.org now", 18, "mine")], "doc_id bigint, text string, n_chars bigint, pii_spans string"
+    )
+    (row,) = corpus_pipeline.mask_personal_data(spark, docs, SF_TINY).collect()
+    assert row["pii_spans"] == "mine" and "a.b@c.org" not in row["text"] and row["n_chars"] == len(row["text"])

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 from helpers import awkward, empty
 
-from ledgerlens.llm import string_kernel, toxicity
+from ledgerlens.llm import queries, string_kernel, toxicity
 
 
 def _slow(s, t, size=string_kernel.SUBSEQUENCE, decay=string_kernel.DECAY):
@@ -126,4 +126,4 @@ def test_held_out_recall_in_every_language(spark):
 def test_gate_lets_altered_insults_through():
     gate = toxicity._Gate(("^idiot$", "^scum$"))
     assert all(map(gate.passes, ["idiot", "id.iot", "i*diot", "idiots", "scuum", "sc.um"]))
-    assert not any(map(gate.passes, ["harmless", "riot", "is", ""]))
+    assert not any(map(gate.passes, ["harmless", "riding", "is", ""]))

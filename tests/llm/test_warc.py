@@ -103,3 +103,14 @@ def test_loser_tree(count):
     runs = [sorted(draw.randrange(50) for _ in range(draw.randrange(20))) for _ in range(count)]
     merged = [value for value in warc.LoserTree([iter([(v,) for v in run]) for run in runs])]
     assert merged == sorted((v,) for run in runs for v in run)
+
+
+def test_keys_like_hashes_are_dated(spark, tmp_path):
+    docs = spark.createDataFrame(
+        [(2**62, "http://a.b/", "x" * 200), (2**62 + 5, "http://a.b/", "x" * 200), (-7, "http://a.b/", "y")],
+        "page_id bigint, url string, html string",
+    )
+    warc.write_archives(docs, str(tmp_path / "archives"))
+    rows = {row["page_id"]: row for row in warc.merge_index(warc.read_archives(spark, str(tmp_path / "archives"))).collect()}
+    assert rows.keys() == {2**62, 2**62 + 5, -7}
+    assert rows[2**62 + 5]["refers_to"] == 2**62 and rows[-7]["record_type"] == "response"
