@@ -40,7 +40,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints, shared by driver and executors.
 
     The cluster names it in ``spark.checkpoint.dir``. Where it does not, a folder below
-    ``spark.sql.warehouse.dir`` is used, which all executors reach as well.
+    ``spark.sql.warehouse.dir`` is used; on a cluster that must not be a folder of one machine.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -50,6 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
     elif not current:
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        is_local = context.master.startswith("local") and not context.master.startswith("local-cluster")
+        if not is_local and (warehouse.startswith(("file:", "/")) or "://" not in warehouse):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
         context.setCheckpointDir(f"{warehouse}/_staging")
     return context.getCheckpointDir()
 
