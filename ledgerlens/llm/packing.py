@@ -193,8 +193,9 @@ def pack_documents(
 
         for whole in batches:
             for batch in slices(whole, column="_text"):
-                texts = [raw.decode("utf-8", "replace") for raw in batch.column("_text").to_pylist()]
-                for doc, raw in zip(batch.column("_key").to_pylist(), library.encode(texts)):
+                for doc, raw in zip(
+                    batch.column("_key").to_pylist(), library.encode(batch.column("_text"))
+                ):
                     ids = np.concatenate([np.frombuffer(raw, "<u4"), end])
                     if shard and size + len(ids) > shard_ids:
                         yield from flush()

@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from helpers import LONG, ROWS, SF_TINY, awkward, empty, table
@@ -48,6 +49,18 @@ def test_remembered_words_equal_the_library(library, monkeypatch):
         assert got == [_ids(library, text) for text in some]
 
 
+def test_cut_texts_equal_the_library(library):
+    signs = np.array(list("aatSé9²ªß×'.,!?(_&-") + [" "] * 8 + ["\n", "\n", "\n\n", "\t", "'s", "the", " The", "\r\n"])
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(signs, size)) for size in rng.integers(0, 60, 6000)]
+    encoder = words.Encoder(FILE)
+    got = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode(texts)]
+    assert got == [found.ids for found in library.encode_batch_fast(texts, add_special_tokens=False)]
+    spelled = pa.array([text.encode() for text in texts] + [b"bad \xff byte"])
+    again = [np.frombuffer(raw, "<u4").tolist() for raw in encoder.encode(spelled)]
+    assert again == [*got, _ids(library, "bad \ufffd byte")]
+
+
 @pytest.mark.parametrize("size", [0, 1, 2, 63, 64, 65, 1000])
 def test_elias_fano(size):
     rng = np.random.default_rng(size)
