@@ -192,27 +192,81 @@ def _confirmed(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it for each element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _fold(items: Column, state: Column, step, found: str) -> Column:
+    """The elements that ``step`` finds on its way through an array, in time of about n times its root.
+
+    ``step(state, item)`` gives the next state and an array of found elements. Appending to one
+    array would copy it each time, so stretches of about the root of n items have arrays of their own.
+    """
+    empty = F.array().cast(f"array<{found}>")
+
+    def stretches(known):
+        width = F.greatest(F.ceil(F.sqrt(F.size(known))).cast("int"), F.lit(1))
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((F.size(known) - 1) / width).cast("int")),
+            lambda at: F.slice(known, at * width + 1, width),
+        )
+
+    def through(done, item):
+        after, some = step(done["state"], item)
+        return F.struct(after.alias("state"), F.concat(done["found"], some.cast(f"array<{found}>")).alias("found"))
+
+    def stretch(done, part):
+        return F.aggregate(
+            part,
+            F.struct(done["state"].alias("state"), empty.alias("found")),
+            through,
+            lambda last: F.struct(
+                last["state"].alias("state"), F.concat(done["found"], F.array(last["found"])).alias("found")
+            ),
+        )
+
+    start = F.struct(state.alias("state"), F.array().cast(f"array<array<{found}>>").alias("found"))
+    every = lambda known: F.aggregate(stretches(known), start, stretch, lambda last: F.flatten(last["found"]))
+    return _let(items, lambda known: F.when(F.size(known) > 0, every(known)).otherwise(empty))
+
+
 def _accounts(placed: Column) -> Column:
     """Runs cut to the account numbers they begin with; none begins inside an earlier one."""
     cut = F.transform(
         placed, lambda span: F.struct(span["start"].alias("start"), account_in(span["match"]).alias("match"))
     )
-    empty = F.array().cast("array<struct<start:int,match:string>>")
-    return F.aggregate(
+    return _fold(
         F.filter(cut, lambda span: span["match"].isNotNull()),
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda done, span: F.when(span["start"] < done["at"], done).otherwise(
-            F.struct(
-                (span["start"] + F.length(span["match"])).alias("at"),
-                F.concat(done["found"], F.array(span)).alias("found"),
-            )
+        F.lit(0),
+        lambda at, span: (
+            F.when(span["start"] < at, at).otherwise(span["start"] + F.length(span["match"])),
+            F.when(span["start"] < at, F.array()).otherwise(F.array(span)),
         ),
-    )["found"]
+        _PLACED,
+    )
 
 
+_PLACED = "struct<start:int,match:string>"
 _SPAN = "array<struct<start:int,rank:int,kind:string,end:int,score:double>>"
 
 
+#: Characters of the parts in which a text is looked up.
+_PART = 512
+
+
+def _parts(text: Column) -> Column:
+    """A text in parts of _PART code points, so that looking up a place does not scan the text."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PART}}}"), F.lit(0))
+
+
+def _cut(parts: Column, begin: Column, size: Column) -> Column:
+    """At most ``size`` characters of a text from a position on."""
+    first = F.floor(begin / _PART).cast("int")
+    near = F.slice(parts, first + 1, F.floor(size / _PART).cast("int") + 2)
+    return F.substring(F.array_join(near, ""), begin - first * _PART + 1, size)
+
+
 def _spans(rank: int, kind: Kind, text: Column) -> Column:
     """Confirmed spans of one kind with their scores, in order."""
     pattern = F.lit(kind.pattern)
@@ -222,37 +276,25 @@ def _spans(rank: int, kind: Kind, text: Column) -> Column:
         F.regexp_extract_all(text, pattern, F.lit(kind.run)).alias("match"),
     )
     taken = lambda match: F.lit(kind.first) if kind.run else F.length(match)
-    empty = F.array().cast("array<struct<start:int,match:string>>")
-    placed = F.aggregate(
+    placed = _fold(
         pairs,
-        F.struct(F.lit(0).alias("at"), empty.alias("found")),
-        lambda done, pair: F.struct(
-            (
-                done["at"] + F.length(pair["gap"]) + F.coalesce(taken(pair["match"]), F.lit(0))
-            ).alias("at"),
-            F.when(pair["match"].isNull(), done["found"])
-            .otherwise(
-                F.concat(
-                    done["found"],
-                    F.array(
-                        F.struct(
-                            (done["at"] + F.length(pair["gap"])).cast("int").alias("start"),
-                            pair["match"].alias("match"),
-                        )
-                    ),
-                )
-            )
-            .alias("found"),
+        F.lit(0),
+        lambda at, pair: (
+            at + F.length(pair["gap"]) + F.coalesce(taken(pair["match"]), F.lit(0)),
+            F.when(pair["match"].isNull(), F.array()).otherwise(
+                F.array(F.struct((at + F.length(pair["gap"])).alias("start"), pair["match"].alias("match")))
+            ),
         ),
-    )["found"]
+        _PLACED,
+    )
     if kind.run:
         placed = _accounts(placed)
     confirmed = F.filter(placed, lambda span: _confirmed(kind, span["match"]))
 
-    def scored(span):
+    def scored(parts, span):
         begin, size = span["start"], F.length(span["match"])
-        before = F.substring(text, F.greatest(begin - CONTEXT + 1, F.lit(1)), F.least(begin, F.lit(CONTEXT)))
-        after = F.substring(text, begin + size + 1, F.lit(CONTEXT))
+        before = _cut(parts, F.greatest(begin - CONTEXT, F.lit(0)), F.least(begin, F.lit(CONTEXT)))
+        after = _cut(parts, begin + size, F.lit(CONTEXT))
         near = F.lower(F.concat(before, F.lit(" "), after)).rlike(kind.context)
         score = F.lit(kind.score) + F.when(near, F.lit(0.3)).otherwise(F.lit(0.0))
         return F.struct(
@@ -263,7 +305,9 @@ def _spans(rank: int, kind: Kind, text: Column) -> Column:
             F.least(score, F.lit(1.0)).alias("score"),
         )
 
-    found = F.transform(confirmed, scored)
+    found = _let(
+        _parts(text), lambda parts: F.transform(confirmed, lambda span: scored(parts, span))
+    )
     if not kind.base:
         found = F.filter(found, lambda span: span["score"] >= REPORT_AT)
     # Most texts hold no match of a kind: they cost one scan for the hint.
@@ -278,7 +322,8 @@ def find_personal_data(docs: DataFrame, text: str = "text") -> DataFrame:
     check; account numbers and national ids only from a score of ``REPORT_AT`` on, which
     nearby words raise. Repeated rows each get their spans. A column of the same name is replaced.
     """
-    every = F.flatten(F.array(*[_spans(i, kind, as_text(text)) for i, kind in enumerate(KINDS)]))
+    source = as_text(text)
+    every = F.flatten(F.array(*[_spans(i, kind, source) for i, kind in enumerate(KINDS)]))
     return docs.withColumn("pii_spans", F.array_sort(every))
 
 
@@ -307,24 +352,28 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     found = find_personal_data(docs, text)
     source = F.col(text)
-    masked = F.aggregate(
-        F.col("pii_spans"),
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda done, span: F.struct(
-            F.when(
-                span["start"] >= done["at"],
-                F.concat(
-                    done["out"],
-                    F.substring(source, done["at"] + 1, span["start"] - done["at"]),
-                    F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]")),
+    end = F.struct(
+        F.length(source).alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit(None).cast("string").alias("kind"),
+        F.length(source).alias("end"), F.lit(0.0).alias("score"),
+    )
+
+    def piece(parts, at, span):
+        name = F.concat(F.lit("["), F.upper(span["kind"]), F.lit("]"))
+        return F.concat(_cut(parts, at, span["start"] - at), F.coalesce(name, F.lit("")))
+
+    masked = _let(
+        _parts(source),
+        lambda parts: F.array_join(
+            _fold(
+                F.concat("pii_spans", F.array(end)),
+                F.lit(0),
+                lambda at, span: (
+                    F.greatest(at, span["end"]),
+                    F.when(span["start"] >= at, F.array(piece(parts, at, span))).otherwise(F.array()),
                 ),
-            )
-            .otherwise(done["out"])
-            .alias("out"),
-            F.greatest(done["at"], span["end"]).alias("at"),
-        ),
-        lambda done: F.concat(
-            done["out"], F.substring(source, done["at"] + 1, F.length(source))
+                "string",
+            ),
+            "",
         ),
     )
     return found.withColumn(

@@ -114,3 +114,19 @@ def test_redaction_keeps_the_rest_and_the_columns(spark):
 def test_no_python_in_plan(spark):
     plan = pii.find_personal_data(awkward(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_very_many_matches_in_one_text(spark):
+    german = "DE89370400440532013000"
+    parts = [f"é{at} u{at}@ab.de 😀 10.0.0.{at % 300} IBAN {german} {'x' * (at % 700)}" for at in range(3000)]
+    text = " ".join(parts)
+    row = pii.find_personal_data(spark.createDataFrame([(text,)], "text string")).first()
+    base = ",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in row["pii_spans"] if s["kind"] != "iban")
+    assert base == _brute(text)
+    accounts = [s for s in row["pii_spans"] if s["kind"] == "iban"]
+    assert [text[s["start"] : s["end"]] for s in accounts] == [german] * 3000
+    assert {s["score"] for s in accounts} == {1.0}
+    masked = pii.redact(spark.createDataFrame([(text,)], "text string")).first()["text"]
+    expected = re.sub(r"u[0-9]+@ab\.de", "[EMAIL]", text).replace(german, "[IBAN]")
+    octet = r"10\.0\.0\.(1?[0-9]?[0-9]|2[0-4][0-9]|25[0-5])(?![0-9])"
+    assert masked == re.sub(octet, "[IP]", expected)
