@@ -2,7 +2,7 @@
 
 A shard is a run of documents of one input split, closed at a bounded number of ids. Over a
 shard an inverted index with BM25 weights is built; the next unused document seeds a window,
-its weightiest terms ask the index, and the best unused neighbours fill the window, the last of
+all its terms ask the index, and the best unused neighbours fill the window, the last of
 them cut where the window ends. Its rest goes on as the next seed. What is left at the end of a
 shard is cut into powers of two, which need no padding. Nothing is shuffled, and the work per
 shard is bounded, so the cost follows the number of shards.
@@ -27,9 +27,6 @@ WINDOW = 2048
 #: A shard is closed at this many ids (a longer document has a shard of its own).
 SHARD_IDS = 2_000_000
 
-#: Terms of a seed that ask the index.
-QUERY_TERMS = 12
-
 _K1, _B = 1.2, 0.75
 
 _PIECES = (
@@ -62,19 +59,22 @@ class Index:
         self.posted, self.posted_weights = owner[order], self.weights[order]
         self.lists = np.concatenate([[0], np.cumsum(frequency)])
 
-    def neighbours(self, seed: int) -> np.ndarray:
-        """Documents that share one of the seed's weightiest terms, best first."""
-        own = slice(self.starts[seed], self.starts[seed + 1])
-        terms, weights = self.terms[own], self.weights[own]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argsort(-weights, kind="stable")[:QUERY_TERMS]]
-        scores = np.zeros(self.size)
-        for term in terms:
-            listed = slice(self.lists[term], self.lists[term + 1])
-            scores[self.posted[listed]] += self.posted_weights[listed]
-        scores[seed] = 0
-        hits = np.flatnonzero(scores)
-        return hits[np.argsort(-scores[hits], kind="stable")]
+    def neighbours(self, seed: int, unused: np.ndarray, most: int) -> np.ndarray:
+        """The best ``most`` unused documents that share a term with the seed, best first.
+
+        All terms of the seed ask. Of equal scores the earlier document comes first.
+        """
+        terms = self.terms[self.starts[seed] : self.starts[seed + 1]]
+        begins, ends = self.lists[terms], self.lists[terms + 1]
+        sizes = ends - begins
+        listed = np.repeat(ends - np.cumsum(sizes), sizes) + np.arange(sizes.sum())
+        scores = np.bincount(self.posted[listed], self.posted_weights[listed], self.size)
+        hits = np.flatnonzero((scores > 0) & unused)
+        found = scores[hits]
+        if len(hits) > most:
+            good = found >= np.partition(found, len(found) - most)[len(found) - most]
+            hits, found = hits[good], found[good]
+        return hits[np.argsort(-found, kind="stable")][:most]
 
 
 def _windows(docs: list[np.ndarray], window: int) -> Iterator[list[tuple[int, int, int]]]:
@@ -104,8 +104,8 @@ def _windows(docs: list[np.ndarray], window: int) -> Iterator[list[tuple[int, in
 
         carried = place(seed, start)
         if room:
-            near = index.neighbours(seed)
-            for doc in near[~used[near]]:
+            # Every document has an id at least, so no more than the room are of use.
+            for doc in index.neighbours(seed, ~used, room):
                 used[doc] = True
                 carried = place(int(doc), 0)
                 if not room:

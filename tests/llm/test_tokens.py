@@ -199,3 +199,27 @@ def test_query_digests(spark, library, plain_codec):
     assert pieces.agg(F.sum("length")).first()[0] == sum(
         len(_ids(library, text)) + 1 for text in docs.values()
     )
+
+
+def test_neighbours_follow_plain_bm25():
+    rng = np.random.default_rng(3)
+    docs = [rng.zipf(1.3, size).clip(1, 400).astype(np.uint32) for size in rng.integers(1, 120, 60)]
+    mean = np.mean([len(doc) for doc in docs])
+    holders = {term: sum(term in doc for doc in docs) for term in range(1, 401)}
+
+    def score(seed, other):
+        total = 0.0
+        for term in set(docs[seed].tolist()) & set(docs[other].tolist()):
+            count, df = int((docs[other] == term).sum()), holders[term]
+            idf = np.log(1 + (len(docs) - df + 0.5) / (df + 0.5))
+            total += idf * count * 2.2 / (count + 1.2 * (0.25 + 0.75 * len(docs[other]) / mean))
+        return total
+
+    index = packing.Index(docs)
+    for seed in range(0, 60, 7):
+        unused = rng.random(60) < 0.7
+        unused[seed] = False
+        expected = [o for o in np.flatnonzero(unused) if score(seed, o) > 0]
+        expected.sort(key=lambda o: (-round(score(seed, o), 9), o))
+        assert index.neighbours(seed, unused, 60).tolist() == expected
+        assert index.neighbours(seed, unused, 5).tolist() == expected[:5]
