@@ -8,6 +8,7 @@ import statistics
 
 import pytest
 
+from ledgerlens import registry
 from ledgerlens.operators import trailing
 from ledgerlens.plans.features import add_row_features, build_features
 
@@ -125,3 +126,32 @@ def test_building_the_plan_runs_nothing(spark, make_ledger):
     before = set(status.getJobIdsForGroup(None))
     build_features(ledger)
     assert set(status.getJobIdsForGroup(None)) == before
+
+
+def test_a_recurring_value_changes_its_count_only_where_it_comes_and_goes(make_ledger):
+    """Hourly rows over three days: the count moves at the first and behind the last row, and is
+    handed to every bucket between."""
+    rows = [{"s": DAY + 3600 * hour, "dst": "SAME"} for hour in range(72)]
+    base = add_row_features(make_ledger(rows))
+    side = trailing.SENDER.only(["out_unique_dst_24h"])
+    assert trailing._distinct_events(base, side).count() <= 2 + 5
+    found = trailing.add_trailing(base, side, base).select("out_unique_dst_24h").distinct().collect()
+    assert [row[0] for row in found] == [1]
+
+
+@pytest.mark.parametrize("column", trailing.SENDER.columns())
+def test_a_side_gives_the_same_when_less_is_asked(make_ledger, column):
+    base = add_row_features(make_ledger(random_rows(60, 3)))
+    whole = trailing.add_trailing(base, trailing.SENDER, base).select("txn_id", column)
+    some = trailing.add_trailing(base, trailing.SENDER.only([column]), base).select("txn_id", column)
+    assert sorted(whole.collect()) == sorted(some.collect())
+
+
+@pytest.mark.parametrize("name", ["x2_same_account", "x4_rule_flags"])
+def test_rules_compute_only_what_they_read(spark, name):
+    """No squares, and of the distinct counts only that of receiving banks."""
+    query = registry.all_queries()[name](spark, "/root/testdata/sf0.001")
+    plan = query._jdf.queryExecution().optimizedPlan().toString()
+    assert "q4" not in plan
+    assert "AS kind" not in plan or name == "x4_rule_flags"
+    assert "payment_format" not in plan
