@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.held import held
+from ledgerlens.llm.held import held, let_go
 from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.llm.string_kernel import Machine, fit
 
@@ -298,6 +298,7 @@ def learn(
     ).frame
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for at, raw in enumerate(batch.column("_text")):
                 some, row = words(raw.as_py().decode("utf-8", "replace")), batch.slice(at, 1)
@@ -390,6 +391,7 @@ def _cut(words_: DataFrame) -> DataFrame:
     """gram and word for every string of four or five characters of every word."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             pairs = [(gram, word) for word in batch.column("word").to_pylist() for gram in grams(word)]
             yield pa.RecordBatch.from_arrays(

@@ -26,7 +26,7 @@ _WORD = r"^ [A-Za-z]+$"
 _CUT = "\x00"
 
 #: Units remembered by a Python worker (about 200 bytes each).
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 
 #: Units not seen before that are handed to the library as one text.
 _TOGETHER = 32
@@ -133,7 +133,7 @@ def encoder(path: str) -> Encoder:
     return held(("words", path), lambda: Encoder(path))
 
 
-def slices(batch, most_bytes: int = 8 << 20, column: str = "text"):
+def slices(batch, most_bytes: int = 4 << 20, column: str = "text"):
     """An Arrow batch in parts of a bounded number of text bytes (one row at least)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start, total = 0, 0

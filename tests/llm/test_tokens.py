@@ -11,7 +11,7 @@ import pytest
 from helpers import LONG, ROWS, SF_TINY, awkward, empty, table
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bpe, packing, queries, token_files, words
+from ledgerlens.llm import bpe, held, packing, queries, token_files, words
 from ledgerlens.llm.elias_fano import EliasFano
 from ledgerlens.session import shared_folder
 
@@ -223,3 +223,10 @@ def test_neighbours_follow_plain_bm25():
         expected.sort(key=lambda o: (-round(score(seed, o), 9), o))
         assert index.neighbours(seed, unused, 60).tolist() == expected
         assert index.neighbours(seed, unused, 5).tolist() == expected[:5]
+
+
+def test_a_worker_lets_go_of_words_before_other_work():
+    """What packing remembers is not kept while the next operator cuts words or builds fingerprints."""
+    held.held(("words", "some"), lambda: "an encoder")
+    held.let_go()
+    assert held._HELD == {}
