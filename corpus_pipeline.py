@@ -26,8 +26,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a similarity of 0.8 of their five-word shingles."""
-    return simhash.keep_one(docs, words=5, similarity=0.8)
+    """One document of each group linked by SimHash fingerprints that differ in three bits at most
+    (BK-trees, as ``op7_simhash``), or by a similarity of 0.8 of their five-word shingles."""
+    return simhash.keep_one(docs, radius=3, words=5, similarity=0.8)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

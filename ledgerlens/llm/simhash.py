@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.held import let_go
 from ledgerlens.llm.sorted_groups import groups
 from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.operators.components import connected_components
@@ -65,6 +66,7 @@ def fingerprints(
     ship_package(docs.sparkSession)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             found = np.fromiter(
                 (fingerprint(raw.as_py(), words) for raw in batch.column("_text")),
@@ -367,6 +369,9 @@ BANDS, BAND_ROWS, LENIENT = 24, 5, 0.55
 #: Documents and shingles of a part of candidates that are compared exactly.
 PART_ROWS, PART_SHINGLES = 512, 1 << 19
 
+#: Texts with a word.
+_HAS_WORDS = r"[^\x20\x09-\x0D]"
+
 #: Bytes of shingle sets that a worker hands on at a time.
 _HANDED = 1 << 23
 
@@ -562,6 +567,7 @@ def similar_documents(
     ship_package(docs.sparkSession)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         schema = pa.schema(
             [
                 ("_row", pa.int64()),
@@ -627,11 +633,22 @@ def similar_documents(
     return marked.select("_row", "same").join(grouped, "same").select("_row", "group")
 
 
-def keep_one(docs: DataFrame, text: str = "text", **how) -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", radius: int | None = None, **how) -> DataFrame:
     """The first row of each group of similar documents, with all its columns.
 
-    Rows that are similar to no other stay, as do null texts and texts without words.
+    With ``radius``, rows are linked by their SimHash fingerprints within that many bits
+    (``near_duplicates``) as well, and groups are those of both kinds of links. Rows that are similar
+    to no other stay, as do null texts and texts without words.
     """
-    found = similar_documents(docs, text, **how)
-    dropped = Stage(found.where(F.col("_row") != F.col("group")).select(F.col("_row").alias(ROW)), "similar-rows").frame
+    similar = similar_documents(docs, text, **how)
+    links = similar.where(F.col("_row") != F.col("group")).select(
+        F.col("_row").alias("src"), F.col("group").alias("dst")
+    )
+    if radius is not None:
+        worded = docs.select(row_number().alias(ROW), text).where(F.col(text).rlike(_HAS_WORDS))
+        near = near_duplicates(worded, ROW, text, radius=radius).where(F.col(ROW) != F.col("component_id"))
+        near = near.select(F.col(ROW).alias("src"), F.col("component_id").alias("dst"))
+        both = Stage(links.union(near).distinct(), "near-links").frame
+        links = _components(both).where("id <> component").select(F.col("id").alias("src"))
+    dropped = Stage(links.select(F.col("src").alias(ROW)), "similar-rows").frame
     return without(docs, dropped)

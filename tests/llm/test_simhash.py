@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from helpers import SF_TINY, awkward, empty, table
 
+import corpus_pipeline
 from ledgerlens.llm import simhash
 
 
@@ -181,3 +182,13 @@ def test_similar_groups_equal_comparing_all(spark, part_rows):
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = {row["doc_id"] for row in simhash.keep_one(frame, part_rows=part_rows).collect()}
     assert kept == set(root)
+
+
+def test_pipeline_stage_links_by_fingerprints_too(spark):
+    """The first three differ in few fingerprint bits, though their sets of shingles are unlike."""
+    texts = ["a " * 60 + end for end in ("x", "y", "z")] + ["one two three four five six seven", "", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert max(_jaccard(texts[0], other) for other in texts[1:3]) < 0.8
+    kept = corpus_pipeline.drop_near_copies(spark, frame, "").collect()
+    assert sorted(row["doc_id"] for row in kept) == [0, 3, 4, 5]
+    assert simhash.keep_one(frame).count() == 6
