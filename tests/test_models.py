@@ -240,3 +240,22 @@ def test_registered_models_search_the_whole_grid(spark, monkeypatch, name, combi
     getattr(registry, name)(None, None)
     assert len(asked[0].combinations()) == combinations
     assert asked[0].estimator.getMaxIter() == rounds
+
+
+def test_cross_validation_runs_few_tasks_a_job(spark, monkeypatch):
+    """60,000 rows are one task of each of the thousands of jobs."""
+    seen = []
+
+    class Stopped(Exception):
+        pass
+
+    class Watched(models.CrossValidator):
+        def fit(self, train):
+            seen.append((train.rdd.getNumPartitions(), train.count(), self.getParallelism()))
+            raise Stopped
+
+    monkeypatch.setattr(models, "CrossValidator", Watched)
+    rows = spark.range(60_000).selectExpr("id AS txn_id", "id AS features", "1 AS label", "1.0D AS weight")
+    with pytest.raises(Stopped):
+        models.cross_validate(models.logistic_candidate(), rows)
+    assert seen == [(1, 60_000, 8)]
