@@ -26,6 +26,7 @@ from ledgerlens.llm.held import let_go
 from ledgerlens.llm.sorted_groups import groups
 from ledgerlens.llm.staging import ROW, Stage, as_bytes, row_number, ship_package, without
 from ledgerlens.operators.components import connected_components
+from ledgerlens.session import discard_staged, shared_folder, staged_count
 
 #: Fingerprints that one part of a divided shard holds.
 SHARD = 8192
@@ -640,15 +641,20 @@ def keep_one(docs: DataFrame, text: str = "text", radius: int | None = None, **h
     (``near_duplicates``) as well, and groups are those of both kinds of links. Rows that are similar
     to no other stay, as do null texts and texts without words.
     """
-    similar = similar_documents(docs, text, **how)
-    links = similar.where(F.col("_row") != F.col("group")).select(
-        F.col("_row").alias("src"), F.col("group").alias("dst")
-    )
+    links = None
     if radius is not None:
+        # First, and without what it staged on its way, so that the disk holds one search at a time.
+        path = shared_folder(docs.sparkSession, "fingerprint-links")
+        since = staged_count()
         worded = docs.select(row_number().alias(ROW), text).where(F.col(text).rlike(_HAS_WORDS))
         near = near_duplicates(worded, ROW, text, radius=radius).where(F.col(ROW) != F.col("component_id"))
-        near = near.select(F.col(ROW).alias("src"), F.col("component_id").alias("dst"))
-        both = Stage(links.union(near).distinct(), "near-links").frame
-        links = _components(both).where("id <> component").select(F.col("id").alias("src"))
-    dropped = Stage(links.select(F.col("src").alias(ROW)), "similar-rows").frame
+        near.select(F.col(ROW).alias("src"), F.col("component_id").alias("dst")).write.parquet(path)
+        discard_staged(since)
+        links = docs.sparkSession.read.schema("src bigint, dst bigint").parquet(path)
+    similar = similar_documents(docs, text, **how).where(F.col("_row") != F.col("group"))
+    similar = similar.select(F.col("_row").alias("src"), F.col("group").alias("dst"))
+    if links is not None:
+        both = Stage(links.union(similar).distinct(), "near-links").frame
+        similar = _components(both).where("id <> component").select(F.col("id").alias("src"))
+    dropped = Stage(similar.select(F.col("src").alias(ROW)), "similar-rows").frame
     return without(docs, dropped)
