@@ -259,3 +259,22 @@ def test_cross_validation_runs_few_tasks_a_job(spark, monkeypatch):
     with pytest.raises(Stopped):
         models.cross_validate(models.logistic_candidate(), rows)
     assert seen == [(1, 60_000, 8)]
+
+
+def test_cross_validation_fits_all_rows(spark, monkeypatch):
+    """Also of more than 2,000,000 rows, of which about 2,000,000 were drawn before."""
+    seen = []
+
+    class Stopped(Exception):
+        pass
+
+    class Watched(models.CrossValidator):
+        def fit(self, train):
+            seen.append(train.agg(F.count("*"), F.sum("features")).first())
+            raise Stopped
+
+    monkeypatch.setattr(models, "CrossValidator", Watched)
+    rows = spark.range(2_100_000).selectExpr("id AS txn_id", "id AS features", "1 AS label", "1.0D AS weight")
+    with pytest.raises(Stopped):
+        models.cross_validate(models.logistic_candidate(), rows)
+    assert tuple(seen[0]) == (2_100_000, 2_100_000 * 2_099_999 // 2)
