@@ -371,7 +371,8 @@ def scored_phrases(frequent: DataFrame) -> DataFrame:
     )
     for part, name in (("first", "l"), ("rest", "r")):
         side = parts.select("lang", F.col("phrase").alias(part), F.col("f").alias(name), "salt")
-        cuts = cuts.join(side, ["lang", part, "salt"])
+        # Spark sizes these rows by their compressed file, as if each stood once, and would broadcast them.
+        cuts = cuts.join(side.hint("merge"), ["lang", part, "salt"])
     exact = "decimal(20,0)"
     score = f"cast(cast(2000000 as {exact}) * cast(a as {exact}) div (cast(l as {exact}) + cast(r as {exact})) as bigint)"
     best = cuts.groupBy("lang", "phrase", "a").agg(

@@ -148,3 +148,14 @@ def test_query_equals_sql(spark):
             spark, SF_SMALL, queries.all_queries()[name], queries.answers()[name], connection
         )
     assert equal, note
+
+
+def test_parts_of_phrases_are_not_broadcast(spark, tmp_path):
+    """Each stands 16 times, which Spark does not see in the size of the file."""
+    rows = [("en", 1, "a", 90), ("en", 1, "b", 80), ("en", 1, "c", 70), ("en", 2, "a b", 60), ("en", 2, "b c", 50), ("en", 3, "a b c", 40)]
+    spark.createDataFrame(rows, "lang string, size int, phrase string, f bigint").write.parquet(str(tmp_path / "f"))
+    scored = phrases.scored_phrases(spark.read.parquet(str(tmp_path / "f")))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin [lang") == 2
+    found = sorted(tuple(row) for row in scored.collect())
+    assert found == [("en", "a b", 60, 90, 80, 705882), ("en", "a b c", 40, 90, 50, 571428)]
