@@ -278,3 +278,21 @@ def test_cross_validation_fits_all_rows(spark, monkeypatch):
     with pytest.raises(Stopped):
         models.cross_validate(models.logistic_candidate(), rows)
     assert tuple(seen[0]) == (2_100_000, 2_100_000 * 2_099_999 // 2)
+
+
+def test_large_tables_are_fitted_few_at_a_time():
+    """Every fit keeps its rows: 8 at a time of any size filled memory, then disk."""
+    assert [models.fits_at_a_time(rows, 12) for rows in (0, 72_000, 4_300_000, 26_000_000)] == [12, 12, 3, 1]
+    assert models.fits_at_a_time(72_000, 2) == 8
+
+
+def test_models_store_what_they_read(spark, monkeypatch):
+    """The stored feature table has no column that nothing reads, and shuffles none to get it."""
+    ledger, kept = derived.transactions(spark, SF_TINY), []
+    monkeypatch.setattr(registry, "store", lambda table: kept.append(table) or table)
+    registry._encoded(ledger)
+    assert set(kept[0].columns) == models.MODEL_COLUMNS
+    assert features.build_features(ledger).columns[:3] == ["to_account", "ts_unix", "from_account"]
+    full = features.build_features(ledger).select("txn_id", *features.ROW_FEATURES)
+    alone = features.add_row_features(ledger).select("txn_id", *features.ROW_FEATURES)
+    assert full.exceptAll(alone).isEmpty() and full.count() == alone.count()
